@@ -1,0 +1,16 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_up_to(max_rows: int, side: DataFrame) -> DataFrame:
+    """side with a broadcast hint if it has at most max_rows rows, else unhinted.
+
+    The count stops at max_rows + 1. Without the hint Spark plans the join from the
+    sizes it knows, and adaptive execution splits skewed keys.
+    """
+    fits = side.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(side) if fits else side
