@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 def utc_timestamp(text: Column) -> Column:
     """ISO text to a UTC wall-clock timestamp. Text without a zone is taken as UTC."""
-    zoned = text.rlike(r"\d{2}:\d{2}.*(Z|UTC|[+-]\d{2}(:?\d{2})?)$")
-    micros = F.unix_micros(F.when(zoned, text).cast("timestamp"))
+    zoned = F.substring(text, 12, 40).rlike("[A-Z+-]")
     # unix_micros counts from the epoch in UTC whatever the session zone is.
-    moved = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
-    )
-    return F.when(zoned, moved).otherwise(F.when(~zoned, text).cast("timestamp_ntz"))
+    micros = F.unix_micros(text.cast("timestamp")).cast("decimal(20,0)")
+    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    in_utc = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.when(zoned, in_utc).otherwise(text.cast("timestamp_ntz"))
 
 
 def day(ts: Column) -> Column:

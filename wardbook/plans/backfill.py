@@ -15,6 +15,7 @@ from wardbook.operators.selection import (
 )
 from wardbook.plans.model_tests import report
 from wardbook.plans.warehouse import Warehouse
+from wardbook.sources.folders import written
 from wardbook.sources.pages import normalized, page_rows, read_pages
 from wardbook.sources.raw_table import (
     PROBE_TABLE,
@@ -63,16 +64,10 @@ def ingest(
     return upsert(spark, path, rows, time.time_ns() // 1000 if run_no is None else run_no)
 
 
-def build_and_test(
-    spark: SparkSession, raw: DataFrame, root: str
-) -> tuple[dict[str, DataFrame], DataFrame]:
+def build_and_test(raw: DataFrame, root: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """Rebuild all model tables under root and write the test report beside them."""
-    tables = Warehouse(spark, root, raw).build_all()
-    path = f"{root.rstrip('/')}/test_report"
-    frame = report(tables)
-    # Few rows from many small plans: one file is enough.
-    frame.coalesce(1).write.mode("overwrite").parquet(path)
-    return tables, spark.read.schema(frame.schema).parquet(path)
+    tables = Warehouse(root, raw).build_all()
+    return tables, written(report(tables), f"{root.rstrip('/')}/test_report", "overwrite")
 
 
 def backfill(
@@ -106,7 +101,7 @@ def backfill(
     )
     path = raw_table_path(root, table)
     check_raw(spark, path)
-    _, results = build_and_test(spark, read_raw(spark, path), root)
+    _, results = build_and_test(read_raw(spark, path), root)
     failed = results.where(~F.col("passed")).count()
     if failed:
         raise FailedTests(f"{failed} model tests failed, see {root.rstrip('/')}/test_report")

@@ -158,9 +158,16 @@ def borough_mix(flagged: DataFrame, dim_location: DataFrame, dim_type: DataFrame
     )
     total = F.col("total_requests")
     in_borough = F.sum("total_requests").over(Window.partitionBy("borough"))
-    # A scalar subquery over the same groups: Spark reuses their shuffle, and no
-    # window has to pull every group into one task.
-    in_all = groups.agg(F.sum("total_requests")).scalar()
+    # A scalar subquery over the same groups, so that no window pulls every group into
+    # one task. It takes all their columns: pruned to the count it would be another
+    # plan, and Spark could not reuse the groups it has already shuffled.
+    in_all = groups.agg(
+        F.struct(
+            F.sum("total_requests").alias("total"),
+            F.min("min_created_date"),
+            F.max("max_created_date"),
+        )
+    ).scalar()
     return groups.select(
         "min_created_date",
         "max_created_date",
@@ -168,5 +175,5 @@ def borough_mix(flagged: DataFrame, dim_location: DataFrame, dim_type: DataFrame
         "complaint_type",
         "total_requests",
         share_percent(total, in_borough).alias("pct_of_borough_requests"),
-        share_percent(total, in_all).alias("pct_of_all_requests"),
+        share_percent(total, in_all.getField("total")).alias("pct_of_all_requests"),
     )

@@ -25,7 +25,6 @@ from wardbook.schema import (
 )
 
 WS = f"'{BLANKS}'"
-ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
 
 
 def _record(overrides: dict[str, str] | None = None) -> str:
@@ -37,7 +36,7 @@ def _record(overrides: dict[str, str] | None = None) -> str:
             continue
         value = overrides.get(c, c)
         if c in TIMESTAMP_COLUMNS:
-            value = f"strftime({value}, {ISO})"
+            value = f"replace(CAST({value} AS VARCHAR), ' ', 'T')"
         fields.append(f"{c} := {value}")
     return f"CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR)"
 

@@ -53,7 +53,7 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self.warehouse = Warehouse(
-            spark, scratch_folder(spark, "models"), self.raw().drop(*JSON_COLUMNS)
+            scratch_folder(spark, "models"), self.raw().drop(*JSON_COLUMNS)
         )
 
     def raw(self) -> DataFrame:

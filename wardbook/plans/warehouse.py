@@ -6,9 +6,10 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from wardbook.plans import core, flags, marts, staging
+from wardbook.sources.folders import written
 
 
 @dataclass(frozen=True)
@@ -49,8 +50,7 @@ BUILD_THREADS = 4
 class Warehouse:
     """Model tables over one raw input, each written once when first asked for."""
 
-    def __init__(self, spark: SparkSession, root: str, raw: DataFrame):
-        self.spark = spark
+    def __init__(self, root: str, raw: DataFrame):
         self.root = root.rstrip("/")
         self._frames: dict[str, DataFrame] = {RAW: raw}
 
@@ -64,9 +64,7 @@ class Warehouse:
         if name not in self._frames:
             frame = self.plan(name)
             if not MODELS[name].is_view:
-                path = f"{self.root}/{name}"
-                frame.write.mode("overwrite").parquet(path)
-                frame = self.spark.read.schema(frame.schema).parquet(path)
+                frame = written(frame, f"{self.root}/{name}", "overwrite")
             self._frames[name] = frame
         return self._frames[name]
 

@@ -21,6 +21,8 @@ def cluster_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": str(partitions),
+        # Quantile sketches per day: past this many groups a task sorts its rows.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     }
 
 
@@ -33,6 +35,7 @@ def local_session(cores: int | str = 8, **settings: str) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for name, value in settings.items():

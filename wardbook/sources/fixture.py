@@ -17,13 +17,21 @@ SUPPLIERS = 10
 PARTS = 200
 DAY_SECONDS = 86_400
 MONTH_SECONDS = 30 * DAY_SECONDS
-ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, scan: DataFrame) -> DataFrame:
+    """rows over every core, where the scan behind them has fewer splits than cores.
+
+    Only an input of few splits is shuffled for it; a large one is left as it is read.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if scan.rdd.getNumPartitions() < cores else rows
+
+
 def _after(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
@@ -72,7 +80,7 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         (status == "F") | every(20), _after(created, (k * 104729) % MONTH_SECONDS)
     ).when((status == "P") & (k % 10 == 1), _after(created, -3600 * (1 + k % 24)))
 
-    dated = base.withColumns({"created_date": created, "closed_date": closed})
+    dated = _spread(base, orders).withColumns({"created_date": created, "closed_date": closed})
     columns = {
         "unique_key": text,
         "created_date": F.col("created_date"),
@@ -134,6 +142,11 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located.withColumn("raw_json", record_json()).select(*RAW_COLUMNS)
 
 
+def _iso(ts: Column) -> Column:
+    # date_format would take NTZ times through the session zone.
+    return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
+
+
 def _json(columns: list[str | Column]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
@@ -142,7 +155,7 @@ def record_json() -> Column:
     """A raw request as the JSON record a page would carry."""
     return _json(
         [
-            F.date_format(c, ISO_TIME).alias(c) if c in TIMESTAMP_COLUMNS else F.col(c)
+            _iso(F.col(c)).alias(c) if c in TIMESTAMP_COLUMNS else F.col(c)
             for c in RAW_COLUMNS
             if c != "raw_json"
         ]
@@ -171,10 +184,10 @@ def event_records(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
     ts = F.col("ts")
     fields = {
         "unique_key": key,
-        "created_date": F.date_format(ts, ISO_TIME),
+        "created_date": _iso(ts),
         "closed_date": F.when(
-            kind == "purchase", F.date_format(_after(ts, F.lit(5400)), ISO_TIME)
-        ).when(kind == "error", F.date_format(_after(ts, F.lit(-60)), ISO_TIME)),
+            kind == "purchase", _iso(_after(ts, F.lit(5400)))
+        ).when(kind == "error", _iso(_after(ts, F.lit(-60)))),
         "agency": kind,
         "agency_name": F.concat(F.lit("Desk "), kind),
         "complaint_type": F.concat(kind, F.lit(" request")),
@@ -188,7 +201,8 @@ def event_records(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
         "location": F.struct(F.col("value").alias("reading")),
         "source_field": F.lit("kept in raw_json only"),
     }
-    return read_table(spark, sf_dir, "events").select(
+    events = read_table(spark, sf_dir, "events")
+    return _spread(events, events).select(
         F.floor(event_id / PAGE_SIZE).cast("bigint").alias("page_no"),
         (event_id % PAGE_SIZE).alias("pos"),
         F.to_json(F.struct(*[e.alias(name) for name, e in fields.items()])).alias("record"),

@@ -1,11 +1,11 @@
-"""Folders every executor can reach."""
+"""Folders every executor can reach, and tables written to them."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,3 +43,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder if it is there."""
     fs, hadoop_path = _hadoop(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def written(rows: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
+    """rows written as Parquet and read back: later plans see their size, not their lineage."""
+    rows.write.mode(mode).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

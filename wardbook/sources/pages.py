@@ -30,14 +30,14 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_rows(pages: DataFrame) -> DataFrame:
     """(page_no, pos, record): the elements of every page; a page that is no array fails the job."""
-    records = F.from_json("value", "array<string>")
     not_a_list = F.raise_error(
         F.concat(F.lit("Expected a JSON array on page "), F.col("page_no").cast("string"))
     ).cast("array<string>")
-    checked = pages.withColumn("records", F.when(records.isNull(), not_a_list).otherwise(records))
-    return checked.select("page_no", F.posexplode("records").alias("pos", "record")).withColumn(
-        "pos", F.col("pos").cast("bigint")
-    )
+    records = F.coalesce(F.from_json("value", "array<string>"), not_a_list)
+    # The outer form, because Spark puts a filter on the array before the plain one
+    # and would parse every page several times for it.
+    rows = pages.select("page_no", F.posexplode_outer(records).alias("pos", "record"))
+    return rows.where(F.col("pos").isNotNull()).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def normalized(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardbook.functions.dates import day
 from wardbook.operators.latest import arrival_order, latest_per_key
 from wardbook.schema import ARRIVAL_COLUMNS, PARTITION_COLUMN, RAW_COLUMNS, STORED_SCHEMA
-from wardbook.sources.folders import exists, remove, scratch_folder
+from wardbook.sources.folders import exists, remove, scratch_folder, written
 
 # The tables an ingest may write to.
 PRODUCTION_TABLE = "raw_311_requests"
@@ -70,10 +70,11 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
     page of the same run or from a later run, so neither the order micro-batches
     arrive in nor a replay changes the result.
 
-    Plain files have no MERGE. Only the days that gain or lose a row are rewritten:
-    their new content goes to a scratch table first and replaces the day folders
-    from there, so no folder is overwritten while it is being read. An ingest that
-    fails on the way is completed by running it again.
+    Plain files have no MERGE. Rows for days the table does not have yet are appended.
+    A stored day that gains or loses a row is rewritten: its new content goes to a
+    scratch table first and replaces the day folder from there, so no folder is
+    overwritten while it is being read. An ingest that fails on the way may leave an
+    old version beside the new one; running it again removes the old one.
     """
     create_if_missing(spark, path)
     scratch = scratch_folder(spark, "upsert")
@@ -82,62 +83,67 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
     arrived = rows.withColumns(
         {"run_no": F.lit(run_no).cast("bigint"), PARTITION_COLUMN: day(F.col("created_date"))}
     )
-    arrived.write.parquet(f"{scratch}/batch")
-    batch = spark.read.schema(arrived.schema).parquet(f"{scratch}/batch")
+    batch = written(arrived, f"{scratch}/batch")
     loaded = batch.count()
-    if loaded == 0:
-        remove(spark, scratch)
-        return 0
-
-    stored = _stored(spark, path)
-    replacing = _replacing(batch, stored)
-    replacing.write.parquet(f"{scratch}/replacing")
-    replacing = spark.read.schema(replacing.schema).parquet(f"{scratch}/replacing")
+    if loaded:
+        _merge(spark, path, batch, scratch)
+    remove(spark, scratch)
+    return loaded
 
-    days = _days(replacing, PARTITION_COLUMN) | _days(replacing.where("was_stored"), "stored_day")
-    kept = stored.where(_on_days(days)).join(replacing.select(KEY), KEY, "left_anti")
-    _write(kept.unionByName(replacing.select(stored.columns)), f"{scratch}/days", "errorifexists")
 
-    rewritten = spark.read.schema(STORED_SCHEMA).parquet(f"{scratch}/days")
-    rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> None:
+    stored = _stored(spark, path)
+    # Narrow: key, arrival and day of the stored rows whose key is in the batch.
+    touched = written(
+        stored.select(KEY, *ARRIVAL_COLUMNS, PARTITION_COLUMN).join(
+            batch.select(KEY), KEY, "left_semi"
+        ),
+        f"{scratch}/touched",
+    )
+    replacing = written(_replacing(batch, touched), f"{scratch}/replacing")
+    keys = replacing.select(KEY)
+
+    gaining = _days(replacing)
+    losing = _days(touched.join(keys, KEY, "left_semi"))
+    rewritten = _days(stored.where(_on_days(gaining | losing)))
+
+    fresh = gaining - rewritten
+    if fresh:
+        _write(replacing.where(_on_days(fresh)), path, "append")
+    if not rewritten:
+        return
+    kept = stored.where(_on_days(rewritten)).join(keys, KEY, "left_anti")
+    content = kept.unionByName(replacing.where(_on_days(rewritten)))
+    _write(content, f"{scratch}/days", "errorifexists")
+    new_days = _stored(spark, f"{scratch}/days")
+    new_days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         PARTITION_COLUMN
     ).parquet(path)
     # Dynamic overwrite leaves a day alone that no row is left for.
-    for emptied in days - _days(rewritten, PARTITION_COLUMN):
+    for emptied in rewritten - _days(new_days):
         remove(spark, f"{path}/{PARTITION_COLUMN}={emptied or NULL_PARTITION}")
-    remove(spark, scratch)
-    return loaded
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
-def _replacing(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Latest batch row per key that is not older than its stored row, with that row's day."""
+def _replacing(batch: DataFrame, touched: DataFrame) -> DataFrame:
+    """The latest batch row per key, if the stored row is not a later arrival."""
     newest = latest_per_key(batch, KEY, arrival_order()).drop("pos")
-    # Four narrow columns of the stored rows the batch touches; never more than the batch.
-    touched = (
-        stored.select(KEY, *ARRIVAL_COLUMNS, PARTITION_COLUMN)
-        .join(batch.select(KEY), KEY, "left_semi")
-        .select(
-            KEY,
-            F.struct(*ARRIVAL_COLUMNS).alias("stored_arrival"),
-            F.col(PARTITION_COLUMN).alias("stored_day"),
-        )
-    )
-    arrival = F.struct(*ARRIVAL_COLUMNS)
+    latest_stored = latest_per_key(touched, KEY, [F.desc(c) for c in ARRIVAL_COLUMNS])
+    stored_arrival = latest_stored.select(KEY, F.struct(*ARRIVAL_COLUMNS).alias("stored_arrival"))
+    is_later = F.struct(*ARRIVAL_COLUMNS) >= F.col("stored_arrival")
     return (
-        newest.join(touched, KEY, "left")
-        .where(F.col("stored_arrival").isNull() | (arrival >= F.col("stored_arrival")))
-        .withColumn("was_stored", F.col("stored_arrival").isNotNull())
+        newest.join(stored_arrival, KEY, "left")
+        .where(F.col("stored_arrival").isNull() | is_later)
         .drop("stored_arrival")
     )
 
 
-def _days(rows: DataFrame, column: str) -> set[dt.date | None]:
-    """Distinct days: as many as the calendar has, however many rows there are."""
-    return {r[0] for r in rows.select(column).distinct().collect()}
+def _days(rows: DataFrame) -> set[dt.date | None]:
+    """Distinct created days: as many as the calendar has, however many rows there are."""
+    return {r[0] for r in rows.select(PARTITION_COLUMN).distinct().collect()}
 
 
 def _on_days(days: set[dt.date | None]) -> Column:
