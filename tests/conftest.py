@@ -15,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem events".split()
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session(8, **{"spark.sql.maxMetadataStringLength": "10000"})
     yield session
     session.stop()
 

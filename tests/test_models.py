@@ -1,0 +1,262 @@
+"""Models on hand-made rows, and counts on the derived test input."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+from rows import at, raw_frame
+
+from wardbook.plans import core
+from wardbook.plans.flags import complaints_flagged
+from wardbook.plans.marts import borough_mix, daily_metrics, monthly_metrics
+from wardbook.plans.registry import Inputs
+from wardbook.plans.reports import rows_per_day, top_complaint_types
+from wardbook.plans.staging import stage_requests
+from wardbook.plans.warehouse import MODELS, Warehouse
+
+FACT = (
+    "complaint_key string, unique_key string, created_at timestamp_ntz, closed_at timestamp_ntz, "
+    "location_id string, agency_id string, complaint_type_id string, status_id string"
+)
+
+
+def fact(spark, *rows):
+    return spark.createDataFrame([(r[0], *r) for r in rows], FACT)
+
+
+def statuses(spark, *rows):
+    return spark.createDataFrame(rows, "status_id string, status string")
+
+
+def test_flags(spark, zone):
+    facts = fact(
+        spark,
+        ("ok", at(1), at(2), "l", "a", "c", "closed"),
+        ("open status", at(1), at(2), "l", "a", "c", "open"),
+        ("reversed", at(2), at(1, 22, 59, 59, 500000), "l", "a", "c", "open"),
+        ("same time", at(2), at(2), "l", "a", "c", "open"),
+        ("not closed", at(2), None, "l", "a", "c", "open"),
+        ("no creation", None, at(2), "l", "a", "c", "open"),
+        ("unknown status", at(1), at(2), "l", "a", "c", "?"),
+        ("no ids", at(1), at(2), None, None, None, None),
+        ("no agency", at(1), at(2), "l", None, "c", "closed"),
+    )
+    dim = statuses(spark, ("closed", "CLOSED"), ("open", "OPEN"))
+    rows = {r["unique_key"]: r for r in complaints_flagged(facts, dim).collect()}
+    assert len(rows) == 9
+
+    def flagged(column):
+        return {key for key, r in rows.items() if r[column] == 1}
+
+    assert flagged("is_invalid_time_order") == {"reversed"}
+    assert flagged("is_closed_at_status_mismatch") == {"open status", "same time"}
+    assert flagged("is_missing_location_id") == {"no ids"}
+    assert flagged("is_missing_complaint_type_id") == {"no ids"}
+    assert flagged("is_missing_agency_id") == {"no ids", "no agency"}
+    assert flagged("is_missing_status_id") == {"no ids"}
+    assert flagged("is_missing_critical_fields") == {"no ids", "no agency"}
+    assert rows["reversed"]["resolution_hours"] == -1.0
+    assert rows["not closed"]["resolution_hours"] is None
+    assert rows["no creation"]["metric_month"] is None
+    assert rows["ok"]["metric_date"] == dt.date(2026, 7, 1)
+    assert rows["ok"]["metric_month"] == dt.date(2026, 7, 1)
+
+
+def flagged_rows(spark, *rows):
+    facts = fact(spark, *[(k, c, d, "l", "a", "c", "closed") for k, c, d in rows])
+    return complaints_flagged(facts, statuses(spark, ("closed", "CLOSED")))
+
+
+def test_daily_keeps_created_days_only(spark, zone):
+    flagged = flagged_rows(
+        spark,
+        ("a", at(1, 6), at(2, 6)),
+        ("b", at(1, 11, 59, 59), at(3, 6)),
+        ("c", at(1, 12), at(2, 12)),
+        ("d", at(1, 0), at(1, 10)),
+        ("e", at(2, 18), at(2, 17)),
+        ("f", None, at(2)),
+    )
+    days = {r["metric_date"].day: r for r in daily_metrics(flagged).collect()}
+    # Day 3 has a closure but no creation, and the reversed row counts as no closure.
+    assert set(days) == {1, 2}
+    first, second = days[1], days[2]
+    assert (first["created_count"], first["closed_count"], first["daily_net_case_flow"]) == (4, 1, 3)
+    assert (second["created_count"], second["closed_count"], second["daily_net_case_flow"]) == (1, 2, -1)
+    assert first["created_morning_count"] == 2
+    assert first["created_afternoon_count"] == 1
+    assert first["created_overnight_count"] == 1
+    assert second["created_evening_count"] == 1
+    assert second["invalid_time_order_count"] == 1
+    assert second["avg_resolution_hours"] == 24.0
+    assert second["median_resolution_hours"] == 24.0
+    assert first["p95_resolution_hours"] == 10.0
+
+
+def test_a_day_without_closures_has_no_hours(spark):
+    (row,) = daily_metrics(flagged_rows(spark, ("a", at(1), None))).collect()
+    assert (row["closed_count"], row["daily_net_case_flow"]) == (0, 1)
+    assert row["avg_resolution_hours"] is None and row["p90_resolution_hours"] is None
+
+
+def test_monthly_counts_closures_by_created_month(spark, zone):
+    flagged = flagged_rows(
+        spark,
+        ("a", dt.datetime(2026, 6, 30, 23), at(1, 1)),
+        ("b", at(1), at(1, 0, 20)),
+        ("c", at(2), None),
+        ("d", at(2), at(1)),
+        ("e", None, at(2)),
+    )
+    june, july = monthly_metrics(flagged).collect()
+    assert (june["month_start"], july["month_start"]) == (dt.date(2026, 6, 1), dt.date(2026, 7, 1))
+    assert (june["created_count"], june["closed_count"], june["net_case_flow"]) == (1, 1, 0)
+    assert (july["created_count"], july["closed_count"], july["net_case_flow"]) == (3, 1, 2)
+    assert july["invalid_time_order_count"] == 1
+    assert (june["avg_resolution_hours"], july["avg_resolution_hours"]) == (2.0, 0.33)
+    assert july["median_resolution_hours"] == 0.33
+
+
+def test_borough_mix(spark):
+    raw = raw_frame(
+        spark,
+        {"unique_key": "1", "created_date": at(1), "borough": "Bronx", "complaint_type": "Noise"},
+        {"unique_key": "2", "created_date": at(5), "borough": "bronx ", "complaint_type": "noise"},
+        {"unique_key": "3", "created_date": at(2), "borough": "BRONX", "complaint_type": " "},
+        {"unique_key": "4", "created_date": at(3), "borough": None, "complaint_type": "Noise"},
+        {"unique_key": "5", "created_date": None, "borough": "Bronx", "complaint_type": "Noise"},
+    )
+    stg = stage_requests(raw)
+    flagged = complaints_flagged(core.fct_complaint(stg), core.dim_status(stg))
+    mix = borough_mix(flagged, core.dim_location(stg), core.dim_complaint_type(stg))
+    rows = {(r["borough"], r["complaint_type"]): r for r in mix.collect()}
+    assert set(rows) == {("BRONX", "NOISE"), ("BRONX", "UNSPECIFIED"), ("UNSPECIFIED", "NOISE")}
+    noise = rows["BRONX", "NOISE"]
+    assert (noise["total_requests"], noise["min_created_date"], noise["max_created_date"]) == (
+        2, at(1).date(), at(5).date(),
+    )
+    assert noise["pct_of_borough_requests"] == Decimal("66.67")
+    assert noise["pct_of_all_requests"] == Decimal("50.00")
+    assert rows["UNSPECIFIED", "NOISE"]["pct_of_borough_requests"] == Decimal("100.00")
+
+
+def test_null_attributes_keep_their_key_but_have_no_dimension_row(spark):
+    stg = stage_requests(raw_frame(spark, {"unique_key": "1", "created_date": at(1)}))
+    for dimension in (core.dim_agency, core.dim_complaint_type, core.dim_status, core.dim_channel):
+        assert dimension(stg).count() == 0
+    (fact_row,) = core.fct_complaint(stg).collect()
+    assert fact_row["agency_id"] and fact_row["status_id"] and fact_row["channel_id"]
+    (location,) = core.dim_location(stg).collect()
+    assert location["location_id"] == location["location_key"] == fact_row["location_id"]
+
+
+def test_facts_drop_rows_without_key(spark):
+    stg = stage_requests(raw_frame(spark, {"unique_key": None}, {"unique_key": "1"}))
+    assert core.fct_complaint(stg).count() == 1
+    assert core.fct_complaint_text(stg).count() == 1
+
+
+def test_dates_come_from_all_three_times(spark, zone):
+    stg = stage_requests(
+        raw_frame(
+            spark,
+            {"unique_key": "1", "created_date": at(1, 23, 59), "closed_date": at(2)},
+            {"unique_key": "2", "resolution_action_updated_date": at(4), "closed_date": at(1)},
+        )
+    )
+    assert sorted(r["date_id"] for r in core.dim_date(stg).collect()) == [20260701, 20260702, 20260704]
+
+
+def test_staging_without_json(spark):
+    raw = raw_frame(spark, {"unique_key": "1", "latitude": "91", "longitude": "0"})
+    stg = stage_requests(raw.drop("location", "raw_json"))
+    assert "raw_json" not in stg.columns and "raw_json" in stage_requests(raw).columns
+    row = stg.first()
+    assert row["valid_lat_long"] is False and row["invalid_close_before_create"] is False
+
+
+def test_rows_per_day(spark, zone):
+    raw = raw_frame(
+        spark,
+        *[{"unique_key": str(i), "created_date": t} for i, t in enumerate(
+            [at(1), at(2), at(2, 23, 59, 59, 900000), at(3), at(4), None])],
+    )
+    assert [tuple(r) for r in rows_per_day(raw, "2026-07-02", "2026-07-03").collect()] == [
+        (dt.date(2026, 7, 2), 2), (dt.date(2026, 7, 3), 1),
+    ]
+
+
+def test_top_complaint_types(spark):
+    mix = spark.createDataFrame(
+        [("A", "x", 5), ("B", "x", 1), ("A", "y", 6), ("A", "z", 9)],
+        "borough string, complaint_type string, total_requests long",
+    )
+    assert [tuple(r) for r in top_complaint_types(mix, 2).collect()] == [("z", 9), ("x", 6)]
+
+
+@pytest.fixture(scope="module")
+def inputs(spark):
+    return Inputs(spark, f"{TESTDATA}/sf0.01")
+
+
+@pytest.mark.parametrize(
+    "name, count",
+    {
+        "stg_311_requests": 15000,
+        "dim_date": 2423,
+        "dim_location": 15000,
+        "dim_agency": 10,
+        "dim_complaint_type": 421,
+        "dim_status": 3,
+        "dim_channel": 3,
+        "fct_311_complaint": 15000,
+        "int_complaints_flagged": 15000,
+        "fct_daily_metrics": 2399,
+        "fct_monthly_metrics": 80,
+        "fct_borough_complaint_mix": 42,
+    }.items(),
+)
+def test_golden_row_counts(inputs, name, count):
+    assert inputs.table(name).count() == count
+
+
+def test_golden_values(inputs):
+    flagged = inputs.table("int_complaints_flagged")
+    sums = flagged.agg(
+        F.count("closed_at"), F.sum("is_invalid_time_order"), F.sum("is_closed_at_status_mismatch")
+    ).first()
+    assert tuple(sums) == (5986, 532, 516)
+    daily = inputs.table("fct_daily_metrics").agg(F.sum("closed_count")).first()[0]
+    monthly = inputs.table("fct_monthly_metrics").agg(F.sum("closed_count")).first()[0]
+    assert (daily, monthly) == (5411, 5454)
+    january = inputs.table("fct_monthly_metrics").orderBy("month_start").first()
+    assert (
+        january["created_count"], january["closed_count"], january["avg_resolution_hours"],
+        january["p90_resolution_hours"], january["closed_at_status_mismatch_count"],
+    ) == (182, 74, 369.97, 619.39, 8)
+    top = inputs.table("fct_borough_complaint_mix").orderBy(F.desc("total_requests")).first()
+    assert (top["borough"], top["complaint_type"], top["total_requests"]) == (
+        "BROOKLYN", "MEDIUM", 674,
+    )
+    assert (top["pct_of_borough_requests"], top["pct_of_all_requests"]) == (
+        Decimal("23.30"), Decimal("4.49"),
+    )
+
+
+def test_models_are_sql_views(spark, inputs):
+    inputs.warehouse.create_views()
+    count = spark.sql(
+        "SELECT count(*) FROM int_complaints_flagged f JOIN dim_agency a ON f.agency_id = a.agency_id"
+    ).first()[0]
+    assert count == 15000 - 169
+
+
+def test_a_warehouse_writes_tables_once(spark, root):
+    raw = raw_frame(spark, {"unique_key": "1", "created_date": at(1)})
+    warehouse = Warehouse(root, raw)
+    tables = warehouse.build_all()
+    assert set(tables) == set(MODELS)
+    assert warehouse.table("dim_date") is tables["dim_date"]
+    assert spark.read.parquet(f"{root}/fct_311_complaint").count() == 1

@@ -1,0 +1,74 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from rows import write_page
+
+from wardbook.schema import RAW_COLUMNS
+from wardbook.sources.pages import normalized, page_rows, read_pages, write_pages
+
+
+def load(spark, folder):
+    return normalized(page_rows(read_pages(spark, str(folder))))
+
+
+def test_pages_become_raw_rows(spark, tmp_path, zone):
+    write_page(
+        tmp_path,
+        7,
+        [
+            {
+                "unique_key": 123,
+                "created_date": "2026-07-01T10:00:00.000",
+                "agency": " nypd ",
+                "location": {"latitude": "40.7", "human": {"city": "NY"}},
+                "extra": [1, 2],
+            },
+            {"unique_key": "b", "closed_date": "2026-07-02T02:30:00.5"},
+        ],
+    )
+    write_page(tmp_path, 8, [])
+    rows = load(spark, tmp_path)
+    assert rows.columns == [*RAW_COLUMNS, "page_no", "pos"]
+    first, second = rows.orderBy("pos").collect()
+    assert (first["page_no"], first["pos"], first["unique_key"]) == (7, 0, "123")
+    assert first["created_date"] == dt.datetime(2026, 7, 1, 10)
+    assert first["agency"] == " nypd "
+    assert json.loads(first["location"]) == {"latitude": "40.7", "human": {"city": "NY"}}
+    assert json.loads(first["raw_json"])["extra"] == [1, 2]
+    assert first["closed_date"] is None and first["borough"] is None
+    assert second["closed_date"] == dt.datetime(2026, 7, 2, 2, 30, 0, 500000)
+
+
+@pytest.mark.parametrize("page", ['{"error": true}', "null", "oops", '[{"unique_key": 1}, {'])
+def test_a_page_that_is_no_array_fails(spark, tmp_path, page):
+    write_page(tmp_path, 3, page)
+    with pytest.raises(Exception, match="Expected a JSON array on page 3"):
+        page_rows(read_pages(spark, str(tmp_path))).collect()
+
+
+@pytest.mark.parametrize("record", [{"agency": "X"}, {"unique_key": None}, None])
+def test_a_record_without_key_fails(spark, tmp_path, record):
+    write_page(tmp_path, 0, [{"unique_key": 1}, record])
+    with pytest.raises(Exception, match="unique_key"):
+        load(spark, tmp_path).collect()
+
+
+def test_a_bad_date_fails(spark, tmp_path):
+    write_page(tmp_path, 0, [{"unique_key": 1, "created_date": "soon"}])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load(spark, tmp_path).collect()
+
+
+def test_written_pages_read_back(spark, root):
+    records = spark.range(2500).select(
+        F.floor(F.col("id") / 1000).cast("bigint").alias("page_no"),
+        (F.col("id") % 1000).alias("pos"),
+        F.to_json(F.struct(F.col("id").alias("unique_key"))).alias("record"),
+    )
+    write_pages(records, f"{root}/pages")
+    rows = page_rows(read_pages(spark, f"{root}/pages"))
+    back = rows.select("page_no", "pos", "record")
+    assert back.exceptAll(records).count() == 0
+    assert records.exceptAll(back).count() == 0

@@ -1,0 +1,51 @@
+import pytest
+from rows import at, raw_frame
+
+from wardbook.operators.selection import by_dates, first_pages, in_date_range, on_target_date
+
+TIMES = {
+    "before": at(1, 23, 59, 59, 999999),
+    "start": at(2),
+    "last_second": at(2, 23, 59, 59),
+    "last_half": at(2, 23, 59, 59, 500000),
+    "next": at(3),
+    "unknown": None,
+}
+
+
+@pytest.fixture
+def rows(spark):
+    return raw_frame(spark, *[{"unique_key": k, "created_date": t} for k, t in TIMES.items()])
+
+
+def keys(frame):
+    return {r["unique_key"] for r in frame.collect()}
+
+
+def test_target_date_is_half_open(rows, zone):
+    assert keys(on_target_date(rows, "2026-07-02")) == {"start", "last_second", "last_half"}
+    assert keys(on_target_date(rows, "2026-07-01", 2)) == {
+        "before", "start", "last_second", "last_half",
+    }
+
+
+def test_range_ends_on_the_last_whole_second(rows, zone):
+    assert keys(in_date_range(rows, "2026-07-02", "2026-07-02")) == {"start", "last_second"}
+
+
+def test_choice_of_filter(rows):
+    assert keys(by_dates(rows)) == set(TIMES)
+    assert keys(
+        by_dates(rows, target_date="2026-07-03", start_date="2026-07-01", end_date="2026-07-01")
+    ) == {"next"}
+    with pytest.raises(ValueError):
+        by_dates(rows, start_date="2026-07-01")
+    with pytest.raises(ValueError):
+        by_dates(rows, end_date="2026-07-01")
+
+
+def test_first_pages(spark):
+    pages = spark.range(6).withColumnRenamed("id", "page_no")
+    assert first_pages(pages).count() == 3
+    assert first_pages(pages, 1).count() == 1
+    assert first_pages(pages, None).count() == 6

@@ -549,7 +549,7 @@ merged AS (
 )""",
             select=_latest("merged", "unique_key, created_date, agency, status", in_page_order),
         ),
-        "raw_gate_report": _raw(
+        "raw_gate": _raw(
             "SELECT CAST(35 AS BIGINT) AS field_count, count(*) AS row_count FROM raw"
         ),
         "raw_target_date": _raw(
@@ -560,7 +560,7 @@ merged AS (
             "SELECT unique_key, created_date FROM raw WHERE created_date"
             f" BETWEEN TIMESTAMP '{first} 00:00:00' AND TIMESTAMP '{last} 23:59:59'"
         ),
-        "raw_rows_per_day": _raw(
+        "rows_per_day": _raw(
             "SELECT CAST(created_date AS DATE) AS day, count(*) AS row_count FROM raw"
             f" WHERE CAST(created_date AS DATE) BETWEEN DATE '{first}' AND DATE '{last}'"
             " GROUP BY 1 ORDER BY 1"
@@ -597,7 +597,7 @@ merged AS (
         "stg_validity": _stg(
             "SELECT unique_key, invalid_close_before_create, valid_lat_long FROM stg"
         ),
-        "surrogate_key_columns": _stg(
+        "surrogate_keys": _stg(
             "SELECT unique_key, location_key, agency_key, complaint_type_key, status_key,"
             " channel_key FROM stg"
         ),
@@ -623,8 +623,8 @@ merged AS (
             )
             + f" FROM flagged WHERE {VALID} GROUP BY 1"
         ),
-        "created_and_closed": _marts("SELECT metric_date, created_count, closed_count FROM daily"),
-        "top_types": _marts(
+        "created_vs_closed": _marts("SELECT metric_date, created_count, closed_count FROM daily"),
+        "top_complaint_types": _marts(
             "SELECT complaint_type, CAST(sum(total_requests) AS BIGINT) AS total_requests FROM mix"
             " GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
         ),

@@ -88,9 +88,12 @@ def _plain_numbers(frame: DataFrame) -> DataFrame:
     return frame.withColumns({c: F.col(c).cast("double") for c in decimals})
 
 
-def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
+def query(name: str) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[name] = f
+        return f
+
+    return register
 
 
 def _labelled(label: str, parts: dict[str, DataFrame]) -> DataFrame:
@@ -102,8 +105,8 @@ def _labelled(label: str, parts: dict[str, DataFrame]) -> DataFrame:
 # Raw layer
 
 
-@query
-def raw_pages(i: Inputs) -> DataFrame:
+@query("raw_pages")
+def _raw_pages(i: Inputs) -> DataFrame:
     rows = page_rows(fixture.order_pages(i.raw()))
     return rows.select(
         "page_no",
@@ -113,8 +116,8 @@ def raw_pages(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def raw_normalized(i: Inputs) -> DataFrame:
+@query("raw_normalized")
+def _raw_normalized(i: Inputs) -> DataFrame:
     rows = normalized(page_rows(fixture.order_pages(i.raw())))
     return rows.select(
         *[c for c in RAW_COLUMNS if c != "raw_json"],
@@ -124,8 +127,8 @@ def raw_normalized(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def raw_page_cap(i: Inputs) -> DataFrame:
+@query("raw_page_cap")
+def _raw_page_cap(i: Inputs) -> DataFrame:
     rows = first_pages(fixture.event_records(i.spark, i.sf_dir, F.col("event_id")))
     return rows.select(
         "page_no",
@@ -146,14 +149,14 @@ def _order_versions(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def raw_dedup_latest(i: Inputs) -> DataFrame:
+@query("raw_dedup_latest")
+def _raw_dedup_latest(i: Inputs) -> DataFrame:
     order = [F.col("created_date").desc_nulls_last(), F.col("pos").desc()]
     return latest_per_key(_order_versions(i), "unique_key", order)
 
 
-@query
-def raw_upsert(i: Inputs) -> DataFrame:
+@query("raw_upsert")
+def _raw_upsert(i: Inputs) -> DataFrame:
     target = i.read("customer").select(
         F.col("c_custkey").cast("string").alias("unique_key"),
         F.lit(None).cast("timestamp_ntz").alias("created_date"),
@@ -163,28 +166,28 @@ def raw_upsert(i: Inputs) -> DataFrame:
     return merged(target, _order_versions(i))
 
 
-@query
-def raw_gate_report(i: Inputs) -> DataFrame:
+@query("raw_gate")
+def _raw_gate_report(i: Inputs) -> DataFrame:
     return raw_gate(i.raw())
 
 
-@query
-def raw_target_date(i: Inputs) -> DataFrame:
+@query("raw_target_date")
+def _raw_target_date(i: Inputs) -> DataFrame:
     return on_target_date(i.raw(), *TARGET_DATE).select("unique_key", "created_date")
 
 
-@query
-def raw_date_range(i: Inputs) -> DataFrame:
+@query("raw_date_range")
+def _raw_date_range(i: Inputs) -> DataFrame:
     return in_date_range(i.raw(), *DAY_RANGE).select("unique_key", "created_date")
 
 
-@query
-def raw_rows_per_day(i: Inputs) -> DataFrame:
+@query("rows_per_day")
+def _raw_rows_per_day(i: Inputs) -> DataFrame:
     return rows_per_day(i.raw(), *DAY_RANGE)
 
 
-@query
-def stream_ingest(i: Inputs) -> DataFrame:
+@query("stream_ingest")
+def _stream_ingest(i: Inputs) -> DataFrame:
     root = scratch_folder(i.spark, "stream")
     records = fixture.event_records(i.spark, i.sf_dir, F.col("user_id"))
     write_pages(records, f"{root}/pages")
@@ -195,8 +198,8 @@ def stream_ingest(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def backfill_daily(i: Inputs) -> DataFrame:
+@query("backfill_daily")
+def _backfill_daily(i: Inputs) -> DataFrame:
     root = scratch_folder(i.spark, "backfill")
     records = fixture.event_records(i.spark, i.sf_dir, F.col("event_id"))
     write_pages(records, f"{root}/pages")
@@ -208,19 +211,19 @@ def backfill_daily(i: Inputs) -> DataFrame:
 # Staging and its expressions
 
 
-@query
-def stg_requests(i: Inputs) -> DataFrame:
+@query("stg_requests")
+def _stg_requests(i: Inputs) -> DataFrame:
     return stage_requests(i.raw())
 
 
-@query
-def stg_clean_text(i: Inputs) -> DataFrame:
+@query("stg_clean_text")
+def _stg_clean_text(i: Inputs) -> DataFrame:
     text = [c for c in RAW_COLUMNS if c in {*UPPER_COLUMNS, *CASE_KEPT_COLUMNS, "borough"}]
     return stage_requests(i.raw()).select("unique_key", *text)
 
 
-@query
-def stg_numeric(i: Inputs) -> DataFrame:
+@query("stg_numeric")
+def _stg_numeric(i: Inputs) -> DataFrame:
     return stage_requests(i.raw()).select(
         "unique_key",
         "latitude",
@@ -230,20 +233,20 @@ def stg_numeric(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def stg_validity(i: Inputs) -> DataFrame:
+@query("stg_validity")
+def _stg_validity(i: Inputs) -> DataFrame:
     return stage_requests(i.raw()).select(
         "unique_key", "invalid_close_before_create", "valid_lat_long"
     )
 
 
-@query
-def surrogate_key_columns(i: Inputs) -> DataFrame:
+@query("surrogate_keys")
+def _surrogate_key_columns(i: Inputs) -> DataFrame:
     return stage_requests(i.raw()).select("unique_key", *surrogate_keys())
 
 
-@query
-def date_parts(i: Inputs) -> DataFrame:
+@query("date_parts")
+def _date_parts(i: Inputs) -> DataFrame:
     return i.raw().select(
         "unique_key",
         *[e.alias(name) for name, e in calendar_columns(day(F.col("created_date"))).items()],
@@ -274,38 +277,38 @@ MODEL_QUERIES = {
 QUERIES.update({key: _model(name) for key, name in MODEL_QUERIES.items()})
 
 
-@query
-def resolution_percentiles(i: Inputs) -> DataFrame:
+@query("resolution_percentiles")
+def _resolution_percentiles(i: Inputs) -> DataFrame:
     return resolution_by(i.table("int_complaints_flagged"), F.col("metric_month"))
 
 
-@query
-def created_and_closed(i: Inputs) -> DataFrame:
+@query("created_vs_closed")
+def _created_and_closed(i: Inputs) -> DataFrame:
     return created_vs_closed(i.table("fct_daily_metrics"))
 
 
-@query
-def top_types(i: Inputs) -> DataFrame:
+@query("top_complaint_types")
+def _top_types(i: Inputs) -> DataFrame:
     return top_complaint_types(i.table("fct_borough_complaint_mix"))
 
 
 # Data checks, on inputs that do hold violations
 
 
-@query
-def dq_not_null(i: Inputs) -> DataFrame:
+@query("dq_not_null")
+def _dq_not_null(i: Inputs) -> DataFrame:
     stg = i.table("stg_311_requests")
     return quality.null_counts(stg, stg.columns)
 
 
-@query
-def dq_unique(i: Inputs) -> DataFrame:
+@query("dq_unique")
+def _dq_unique(i: Inputs) -> DataFrame:
     stg = i.table("stg_311_requests")
     return _labelled("column_name", {c: quality.duplicates(stg, c) for c in UNIQUE_COLUMNS})
 
 
-@query
-def dq_accepted_values(i: Inputs) -> DataFrame:
+@query("dq_accepted_values")
+def _dq_accepted_values(i: Inputs) -> DataFrame:
     stg = i.table("stg_311_requests")
     accepted = {"borough": model_tests.ACCEPTED_BOROUGHS, "status": ACCEPTED_STATUS}
     return _labelled(
@@ -314,8 +317,8 @@ def dq_accepted_values(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def dq_relationships(i: Inputs) -> DataFrame:
+@query("dq_relationships")
+def _dq_relationships(i: Inputs) -> DataFrame:
     parts = {}
     for child, column, parent, field in model_tests.RELATIONSHIPS:
         found = quality.orphans(i.table(child), column, i.table(parent), field)
@@ -323,21 +326,21 @@ def dq_relationships(i: Inputs) -> DataFrame:
     return _labelled("reference", parts)
 
 
-@query
-def dq_composite_key(i: Inputs) -> DataFrame:
+@query("dq_composite_key")
+def _dq_composite_key(i: Inputs) -> DataFrame:
     return quality.composite_duplicates(i.table("stg_311_requests"), ["agency", "agency_name"])
 
 
-@query
-def dq_pct_sum(i: Inputs) -> DataFrame:
+@query("dq_pct_sum")
+def _dq_pct_sum(i: Inputs) -> DataFrame:
     mix = i.table("fct_borough_complaint_mix")
     return _labelled(
         "tolerance", {t: quality.shares_off_total(mix, Decimal(t)) for t in TOLERANCES}
     )
 
 
-@query
-def dq_time_order_flag(i: Inputs) -> DataFrame:
+@query("dq_time_order_flag")
+def _dq_time_order_flag(i: Inputs) -> DataFrame:
     flagged = i.table("int_complaints_flagged")
     cleared = flagged.withColumn("is_invalid_time_order", F.lit(0))
     return _labelled(
@@ -349,6 +352,6 @@ def dq_time_order_flag(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def dq_report(i: Inputs) -> DataFrame:
+@query("dq_report")
+def _dq_report(i: Inputs) -> DataFrame:
     return model_tests.report({name: i.table(name) for name in MODELS})

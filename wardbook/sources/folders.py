@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder(_application: str) -> str:
+    return tempfile.mkdtemp(prefix="wardbook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from spark.checkpoint.dir.
 
@@ -18,9 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="wardbook-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder(spark.sparkContext.applicationId)
     raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
 
 

@@ -6,7 +6,7 @@ A page is one file that holds one JSON array. Its number is in its path, as in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardbook.functions.dates import utc_timestamp
@@ -64,9 +64,17 @@ def normalized(rows: DataFrame) -> DataFrame:
 
 
 def write_pages(records: DataFrame, folder: str) -> None:
-    """Write (page_no, pos, record) rows back as page files, PAGE_SIZE records at most each."""
-    listed = records.groupBy("page_no").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "record"))).alias("entries")
+    """Write (page_no, pos, record) rows as page files, one line per record.
+
+    The rows of a page are streamed into its file in order, never held together.
+    """
+    page = Window.partitionBy("page_no").orderBy("pos")
+    opening = F.when(F.row_number().over(page) == 1, "[").otherwise(",")
+    closing = F.when(F.lead("pos").over(page).isNull(), "]").otherwise("")
+    lines = records.withColumn("value", F.concat(opening, "record", closing))
+    (
+        lines.sortWithinPartitions("page_no", "pos")
+        .select("page_no", "value")
+        .write.partitionBy("page_no")
+        .text(folder)
     )
-    text = F.concat(F.lit("["), F.array_join("entries.record", ","), F.lit("]"))
-    listed.select("page_no", text.alias("value")).write.partitionBy("page_no").text(folder)

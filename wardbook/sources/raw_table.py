@@ -93,10 +93,11 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
 
 def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> None:
     stored = _stored(spark, path)
-    # Narrow: key, arrival and day of the stored rows whose key is in the batch.
+    # Narrow: key, arrival and day of the stored rows whose key is in the batch. The
+    # keys are made distinct first, so that many copies of one do not meet in a task.
     touched = written(
         stored.select(KEY, *ARRIVAL_COLUMNS, PARTITION_COLUMN).join(
-            batch.select(KEY), KEY, "left_semi"
+            batch.select(KEY).distinct(), KEY, "left_semi"
         ),
         f"{scratch}/touched",
     )
