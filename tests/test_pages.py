@@ -44,7 +44,7 @@ def test_pages_become_raw_rows(spark, tmp_path, zone):
 @pytest.mark.parametrize("page", ['{"error": true}', "null", "oops", '[{"unique_key": 1}, {'])
 def test_a_page_that_is_no_array_fails(spark, tmp_path, page):
     write_page(tmp_path, 3, page)
-    with pytest.raises(Exception, match="Expected a JSON array on page 3"):
+    with pytest.raises(Exception, match="No JSON array on page 3"):
         page_rows(read_pages(spark, str(tmp_path))).collect()
 
 

@@ -158,7 +158,7 @@ def test_day_filter_prunes_folders(spark, root):
 
 def test_table_names_are_checked(root):
     assert raw_table_path(root, "raw_311_requests").startswith(root)
-    with pytest.raises(ValueError, match="Invalid target table"):
+    with pytest.raises(ValueError, match="is no raw table"):
         raw_table_path(root, "other")
 
 
@@ -177,11 +177,11 @@ def test_probe_is_reset_only_in_test_mode_on_request(spark, root):
 
 def test_gate(spark, root):
     path = f"{root}/raw"
-    with pytest.raises(RuntimeError, match="does not exist"):
+    with pytest.raises(RuntimeError, match="no raw table"):
         check_raw(spark, path)
     create_if_missing(spark, path)
     create_if_missing(spark, path)
-    with pytest.raises(RuntimeError, match="no rows"):
+    with pytest.raises(RuntimeError, match="is empty"):
         check_raw(spark, path)
     put(spark, path, ("a", at(1), "x", 0))
     assert check_raw(spark, path) == 1

@@ -58,7 +58,7 @@ def test_target_date_and_no_cap(spark, root, pages):
 
 
 def test_unknown_table(spark, root, pages):
-    with pytest.raises(ValueError, match="Invalid target table"):
+    with pytest.raises(ValueError, match="is no raw table"):
         ingest(spark, str(pages), root, target_table="elsewhere")
 
 
@@ -120,7 +120,7 @@ def test_backfill_stops_on_violations_after_writing_the_report(spark, root, tmp_
 
 
 def test_backfill_of_nothing_stops_at_the_gate(spark, root, pages):
-    with pytest.raises(RuntimeError, match="no rows"):
+    with pytest.raises(RuntimeError, match="is empty"):
         backfill(spark, str(pages), root, start_date="2020-01-01", end_date="2020-01-02")
     with pytest.raises(ValueError, match="start_date and end_date"):
         backfill(spark, str(pages), root, start_date="2020-01-01", end_date="")

@@ -64,7 +64,7 @@ def by_dates(
     if target_date:
         return on_target_date(rows, target_date, offset_days)
     if bool(start_date) != bool(end_date):
-        raise ValueError("Give both start_date and end_date, or neither.")
+        raise ValueError("start_date and end_date go together")
     return in_date_range(rows, start_date, end_date) if start_date else rows
 
 

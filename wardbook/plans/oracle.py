@@ -184,40 +184,37 @@ def _date_id(column: str) -> str:
     return f"CAST(strftime(CAST({column} AS DATE), '%Y%m%d') AS BIGINT)"
 
 
-# Hashes of NULL attributes keep their key in the facts, while dimensions skip them.
+DATES = "unnest([created_date, closed_date, resolution_action_updated_date])"
+CRITICAL = "location_id complaint_type_id agency_id status_id".split()
+INVALID = "coalesce(closed_at < created_at, false)"
+MISMATCH = "coalesce(closed_at >= created_at AND status <> 'CLOSED', false)"
+
+
+def _dimension(key: str, key_name: str, *columns: str) -> str:
+    # Hashes of NULL attributes keep their key in the facts; dimensions skip them.
+    names = ", ".join(columns)
+    return (
+        f"SELECT {key} AS {key_name}, {names} FROM stg"
+        f" WHERE coalesce({names}, NULL) IS NOT NULL GROUP BY ALL"
+    )
+
+
 CORE = f"""
 dim_date AS (
-  SELECT DISTINCT {_calendar('d')} FROM (
-    SELECT CAST(created_date AS DATE) AS d FROM stg WHERE created_date IS NOT NULL
-    UNION SELECT CAST(closed_date AS DATE) FROM stg WHERE closed_date IS NOT NULL
-    UNION SELECT CAST(resolution_action_updated_date AS DATE) FROM stg
-      WHERE resolution_action_updated_date IS NOT NULL)
+  SELECT {_calendar('d')}
+  FROM (SELECT DISTINCT CAST(t AS DATE) AS d FROM (SELECT {DATES} AS t FROM stg) WHERE t IS NOT NULL)
 ),
 dim_location AS (
-  SELECT DISTINCT location_key AS location_id, location_key, city, borough, landmark,
-    street_name, incident_zip, park_borough, cross_street_1, cross_street_2,
-    intersection_street_1, intersection_street_2, incident_address, park_facility_name,
-    latitude, longitude, x_coordinate_state_plane, y_coordinate_state_plane,
-    community_board, council_district
-  FROM stg WHERE location_key IS NOT NULL
-),
-dim_agency AS (
-  SELECT DISTINCT agency_key AS agency_id, agency, agency_name FROM stg
-  WHERE agency IS NOT NULL OR agency_name IS NOT NULL
+  SELECT location_key AS location_id, location_key, {', '.join(LOCATION_PARTS)}
+  FROM stg GROUP BY ALL
 ),
+dim_agency AS ({_dimension('agency_key', 'agency_id', 'agency', 'agency_name')}),
 dim_complaint_type AS (
-  SELECT DISTINCT complaint_type_key AS complaint_type_id, complaint_type, descriptor,
-    descriptor_2
-  FROM stg
-  WHERE complaint_type IS NOT NULL OR descriptor IS NOT NULL OR descriptor_2 IS NOT NULL
-),
-dim_status AS (
-  SELECT DISTINCT status_key AS status_id, status FROM stg WHERE status IS NOT NULL
-),
-dim_channel AS (
-  SELECT DISTINCT channel_key AS channel_id, open_data_channel_type FROM stg
-  WHERE open_data_channel_type IS NOT NULL
+  {_dimension('complaint_type_key', 'complaint_type_id', 'complaint_type', 'descriptor',
+              'descriptor_2')}
 ),
+dim_status AS ({_dimension('status_key', 'status_id', 'status')}),
+dim_channel AS ({_dimension('channel_key', 'channel_id', 'open_data_channel_type')}),
 fct_complaint AS (
   SELECT unique_key AS complaint_key, unique_key, created_date AS created_at,
     closed_date AS closed_at, resolution_action_updated_date AS resolution_action_updated_at,
@@ -232,21 +229,16 @@ fct_complaint_text AS (
   SELECT unique_key, resolution_description FROM stg WHERE unique_key IS NOT NULL
 ),
 flagged AS (
-  SELECT f.complaint_key, f.unique_key, f.created_at, f.closed_at,
-    CAST(f.created_at AS DATE) AS metric_date,
-    CAST(date_trunc('month', f.created_at) AS DATE) AS metric_month,
-    f.location_id, f.complaint_type_id, f.agency_id, f.status_id,
-    date_sub('second', f.created_at, f.closed_at) / CAST(3600 AS DOUBLE) AS resolution_hours,
-    CASE WHEN f.closed_at < f.created_at THEN 1 ELSE 0 END AS is_invalid_time_order,
-    CASE WHEN f.location_id IS NULL THEN 1 ELSE 0 END AS is_missing_location_id,
-    CASE WHEN f.complaint_type_id IS NULL THEN 1 ELSE 0 END AS is_missing_complaint_type_id,
-    CASE WHEN f.agency_id IS NULL THEN 1 ELSE 0 END AS is_missing_agency_id,
-    CASE WHEN f.status_id IS NULL THEN 1 ELSE 0 END AS is_missing_status_id,
-    CASE WHEN f.location_id IS NULL OR f.complaint_type_id IS NULL OR f.agency_id IS NULL
-           OR f.status_id IS NULL THEN 1 ELSE 0 END AS is_missing_critical_fields,
-    CASE WHEN f.closed_at >= f.created_at AND s.status <> 'CLOSED' THEN 1 ELSE 0 END
-      AS is_closed_at_status_mismatch
-  FROM fct_complaint f LEFT JOIN dim_status s ON f.status_id = s.status_id
+  SELECT complaint_key, unique_key, created_at, closed_at,
+    CAST(created_at AS DATE) AS metric_date,
+    CAST(date_trunc('month', created_at) AS DATE) AS metric_month,
+    location_id, complaint_type_id, agency_id, status_id,
+    date_sub('second', created_at, closed_at) / CAST(3600 AS DOUBLE) AS resolution_hours,
+    CAST({INVALID} AS INTEGER) AS is_invalid_time_order,
+    {', '.join(f'CAST({c} IS NULL AS INTEGER) AS is_missing_{c}' for c in CRITICAL)},
+    CAST({' OR '.join(f'{c} IS NULL' for c in CRITICAL)} AS INTEGER) AS is_missing_critical_fields,
+    CAST({MISMATCH} AS INTEGER) AS is_closed_at_status_mismatch
+  FROM fct_complaint LEFT JOIN dim_status USING (status_id)
 )"""
 
 FLAG_NAMES = (
@@ -313,11 +305,10 @@ monthly AS (
   FROM flagged WHERE metric_month IS NOT NULL GROUP BY 1
 ),
 named AS (
-  SELECT created_at, coalesce(nullif(trim(l.borough), ''), 'UNSPECIFIED') AS borough,
-    coalesce(c.complaint_type, 'UNSPECIFIED') AS complaint_type
-  FROM flagged i
-  LEFT JOIN dim_location l ON i.location_id = l.location_id
-  LEFT JOIN dim_complaint_type c ON i.complaint_type_id = c.complaint_type_id
+  SELECT created_at, coalesce(borough, 'UNSPECIFIED') AS borough,
+    coalesce(complaint_type, 'UNSPECIFIED') AS complaint_type
+  FROM flagged LEFT JOIN dim_location USING (location_id)
+  LEFT JOIN dim_complaint_type USING (complaint_type_id)
   WHERE created_at IS NOT NULL
 ),
 mix_counts AS (
@@ -431,9 +422,7 @@ def _orphan_rows(child: str, column: str, parent: str, field: str) -> str:
 def _wrong_flags(flag: str) -> str:
     return (
         f"SELECT unique_key, created_at, closed_at, CAST({flag} AS INTEGER) AS is_invalid_time_order"
-        f" FROM flagged WHERE (closed_at IS NOT NULL AND created_at IS NOT NULL"
-        f" AND closed_at < created_at AND {flag} <> 1) OR (NOT (closed_at IS NOT NULL"
-        f" AND created_at IS NOT NULL AND closed_at < created_at) AND {flag} <> 0)"
+        f" FROM flagged WHERE {flag} <> CAST({INVALID} AS INTEGER)"
     )
 
 

@@ -52,13 +52,12 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.raw = fixture.raw_requests(spark, sf_dir)
+        self.staged = stage_requests(self.raw)
         self.warehouse = Warehouse(
-            scratch_folder(spark, "models"), self.raw().drop(*JSON_COLUMNS)
+            scratch_folder(spark, "models"), self.raw.drop(*JSON_COLUMNS)
         )
 
-    def raw(self) -> DataFrame:
-        return fixture.raw_requests(self.spark, self.sf_dir)
-
     def table(self, name: str) -> DataFrame:
         return self.warehouse.table(name)
 
@@ -107,7 +106,7 @@ def _labelled(label: str, parts: dict[str, DataFrame]) -> DataFrame:
 
 @query("raw_pages")
 def _raw_pages(i: Inputs) -> DataFrame:
-    rows = page_rows(fixture.order_pages(i.raw()))
+    rows = page_rows(fixture.order_pages(i.raw))
     return rows.select(
         "page_no",
         "pos",
@@ -118,7 +117,7 @@ def _raw_pages(i: Inputs) -> DataFrame:
 
 @query("raw_normalized")
 def _raw_normalized(i: Inputs) -> DataFrame:
-    rows = normalized(page_rows(fixture.order_pages(i.raw())))
+    rows = normalized(page_rows(fixture.order_pages(i.raw)))
     return rows.select(
         *[c for c in RAW_COLUMNS if c != "raw_json"],
         F.get_json_object("raw_json", "$.complaint_type").alias("json_complaint_type"),
@@ -168,22 +167,22 @@ def _raw_upsert(i: Inputs) -> DataFrame:
 
 @query("raw_gate")
 def _raw_gate_report(i: Inputs) -> DataFrame:
-    return raw_gate(i.raw())
+    return raw_gate(i.raw)
 
 
 @query("raw_target_date")
 def _raw_target_date(i: Inputs) -> DataFrame:
-    return on_target_date(i.raw(), *TARGET_DATE).select("unique_key", "created_date")
+    return on_target_date(i.raw, *TARGET_DATE).select("unique_key", "created_date")
 
 
 @query("raw_date_range")
 def _raw_date_range(i: Inputs) -> DataFrame:
-    return in_date_range(i.raw(), *DAY_RANGE).select("unique_key", "created_date")
+    return in_date_range(i.raw, *DAY_RANGE).select("unique_key", "created_date")
 
 
 @query("rows_per_day")
 def _raw_rows_per_day(i: Inputs) -> DataFrame:
-    return rows_per_day(i.raw(), *DAY_RANGE)
+    return rows_per_day(i.raw, *DAY_RANGE)
 
 
 @query("stream_ingest")
@@ -213,18 +212,18 @@ def _backfill_daily(i: Inputs) -> DataFrame:
 
 @query("stg_requests")
 def _stg_requests(i: Inputs) -> DataFrame:
-    return stage_requests(i.raw())
+    return i.staged
 
 
 @query("stg_clean_text")
 def _stg_clean_text(i: Inputs) -> DataFrame:
     text = [c for c in RAW_COLUMNS if c in {*UPPER_COLUMNS, *CASE_KEPT_COLUMNS, "borough"}]
-    return stage_requests(i.raw()).select("unique_key", *text)
+    return i.staged.select("unique_key", *text)
 
 
 @query("stg_numeric")
 def _stg_numeric(i: Inputs) -> DataFrame:
-    return stage_requests(i.raw()).select(
+    return i.staged.select(
         "unique_key",
         "latitude",
         "longitude",
@@ -235,19 +234,19 @@ def _stg_numeric(i: Inputs) -> DataFrame:
 
 @query("stg_validity")
 def _stg_validity(i: Inputs) -> DataFrame:
-    return stage_requests(i.raw()).select(
+    return i.staged.select(
         "unique_key", "invalid_close_before_create", "valid_lat_long"
     )
 
 
 @query("surrogate_keys")
 def _surrogate_key_columns(i: Inputs) -> DataFrame:
-    return stage_requests(i.raw()).select("unique_key", *surrogate_keys())
+    return i.staged.select("unique_key", *surrogate_keys())
 
 
 @query("date_parts")
 def _date_parts(i: Inputs) -> DataFrame:
-    return i.raw().select(
+    return i.raw.select(
         "unique_key",
         *[e.alias(name) for name, e in calendar_columns(day(F.col("created_date"))).items()],
     )

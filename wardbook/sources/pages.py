@@ -31,7 +31,7 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
 def page_rows(pages: DataFrame) -> DataFrame:
     """(page_no, pos, record): the elements of every page; a page that is no array fails the job."""
     not_a_list = F.raise_error(
-        F.concat(F.lit("Expected a JSON array on page "), F.col("page_no").cast("string"))
+        F.concat(F.lit("No JSON array on page "), F.col("page_no").cast("string"))
     ).cast("array<string>")
     records = F.coalesce(F.from_json("value", "array<string>"), not_a_list)
     # The outer form, because Spark puts a filter on the array before the plain one
@@ -51,7 +51,7 @@ def normalized(rows: DataFrame) -> DataFrame:
     def field(name: str) -> Column:
         value = F.col(f"payload.{name}")
         if name == "unique_key":
-            missing = F.raise_error(F.lit("A record is missing the required field unique_key"))
+            missing = F.raise_error(F.lit("A page record has no unique_key"))
             return F.coalesce(value, missing.cast("string"))
         return utc_timestamp(value) if name in TIMESTAMP_COLUMNS else value
 

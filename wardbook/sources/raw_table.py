@@ -23,7 +23,7 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 def raw_table_path(root: str, table: str) -> str:
     if table not in RAW_TABLES:
-        raise ValueError(f"Invalid target table: {table}. Allowed: {RAW_TABLES}")
+        raise ValueError(f"{table!r} is no raw table; there are {RAW_TABLES}")
     return f"{root.rstrip('/')}/{table}"
 
 
@@ -56,10 +56,10 @@ def raw_gate(raw: DataFrame) -> DataFrame:
 def check_raw(spark: SparkSession, path: str) -> int:
     """Row count of the raw table; fails if the table is missing or empty."""
     if not exists(spark, path):
-        raise RuntimeError(f"Expected raw table does not exist: {path}")
+        raise RuntimeError(f"There is no raw table at {path}")
     rows = raw_gate(read_raw(spark, path)).first()["row_count"]
     if rows == 0:
-        raise RuntimeError(f"Raw table contains no rows: {path}")
+        raise RuntimeError(f"The raw table at {path} is empty")
     return rows
 
 
