@@ -82,6 +82,19 @@ def test_cleaning_is_done_once_per_column(spark, raw_path):
     assert len(re.findall(r"upper\(agency#", plan)) == 1
 
 
+def test_staging_compiles_to_methods_the_jvm_will_compile(spark, raw_path):
+    """HotSpot leaves methods of more than 8,000 bytes to the interpreter."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stg = stage_requests(spark.read.schema(RAW_SCHEMA).parquet(raw_path))
+        code = spark._jvm.PythonSQLUtils.explainString(stg._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_the_status_lookup_is_broadcast_by_its_file_size(spark, root):
     facts = spark.range(1000).selectExpr(
         "cast(id as string) complaint_key", "cast(id as string) unique_key",
