@@ -51,18 +51,30 @@ def unaccepted_values(rows: DataFrame, column: str, accepted: list[str]) -> Data
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """(from_field, row_count): child values without a parent and the rows they stand on.
+    """(from_field, row_count): child values without a parent and the rows they stand on."""
+    return orphan_values(
+        child.select(F.col(column).alias("from_field")),
+        parent.select(F.col(field).alias("from_field")),
+    )
+
+
+def orphan_values(child: DataFrame, parent: DataFrame) -> DataFrame:
+    """Child rows that no parent row equals, without those holding a NULL, and their count.
 
-    The child is reduced to its distinct values first, so a value carried by a third
-    of all rows reaches the join as one row.
+    The child is reduced to its distinct rows first, so a value carried by a third of
+    all rows reaches the join as one row.
     """
-    references = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("from_field"))
-        .agg(F.count("*").alias("row_count"))
-    )
-    parents = parent.select(F.col(field).alias("from_field"))
-    return references.join(parents, "from_field", "left_anti")
+    references = child.dropna().groupBy(child.columns).agg(F.count("*").alias("row_count"))
+    return references.join(parent, child.columns, "left_anti")
+
+
+def tagged_values(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """(test, value): the values of several columns as text, one scan for all of them."""
+    entries = [
+        F.struct(F.lit(test).alias("test"), F.col(c).cast("string").alias("value"))
+        for test, c in columns.items()
+    ]
+    return rows.select(F.inline(F.array(*entries)))
 
 
 def shares_off_total(mix: DataFrame, tolerance: Decimal = SHARE_TOLERANCE) -> DataFrame:

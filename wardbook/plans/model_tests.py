@@ -77,55 +77,77 @@ RELATIONSHIPS = [
 ]
 
 
-def not_null_report(tables: dict[str, DataFrame]) -> list[DataFrame]:
+Tables = dict[str, DataFrame]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _not_null(tables: Tables) -> DataFrame:
     """One scan per model, whatever the number of columns."""
-    return [
-        quality.null_counts(tables[model], columns).select(
-            F.concat(F.lit(f"not_null {model}."), "column_name").alias("test"), "failures"
-        )
-        for model, columns in NOT_NULL.items()
-    ]
+    return _union(
+        [
+            quality.null_counts(tables[model], columns).select(
+                F.concat(F.lit(f"not_null {model}."), "column_name").alias("test"), "failures"
+            )
+            for model, columns in NOT_NULL.items()
+        ]
+    )
+
+
+def _per_test(failures: DataFrame, tests: list[str]) -> DataFrame:
+    """(test, failures) with the tests that found nothing."""
+    entries = [F.struct(F.lit(test).alias("test")) for test in tests]
+    every = failures.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    count = F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
+    return every.join(failures, "test", "left").select("test", count)
 
 
-def report(tables: dict[str, DataFrame]) -> DataFrame:
+def _unique(tables: Tables) -> DataFrame:
+    """All unique tests in one grouping of (test, value)."""
+    tests = {m: {f"unique {m}.{c}": c for c in columns} for m, columns in UNIQUE.items()}
+    values = _union([quality.tagged_values(tables[m], columns) for m, columns in tests.items()])
+    found = quality.composite_duplicates(values.dropna(), ["test", "value"])
+    failures = found.groupBy("test").agg(F.count("*").alias("failures"))
+    return _per_test(failures, [test for columns in tests.values() for test in columns])
+
+
+def _relationships(tables: Tables) -> DataFrame:
+    """All relationship tests in one anti-join of (test, value); child rows are counted."""
+    children: dict[str, dict[str, str]] = {}
+    parents = []
+    for child, column, parent, field in RELATIONSHIPS:
+        test = f"relationships {child}.{column} {parent}.{field}"
+        children.setdefault(child, {})[test] = column
+        parents.append(quality.tagged_values(tables[parent], {test: field}))
+    values = _union([quality.tagged_values(tables[m], columns) for m, columns in children.items()])
+    found = quality.orphan_values(values, _union(parents))
+    failures = found.groupBy("test").agg(F.sum("row_count").alias("failures"))
+    return _per_test(failures, [test for columns in children.values() for test in columns])
+
+
+def report(tables: Tables) -> DataFrame:
     """(test, failures, passed) of every declared test, as one job.
 
     A relationship counts the child rows without a parent, the other tests the rows
     their check returns.
     """
-    rows = F.count("*")
-    counts: list[tuple[str, DataFrame]] = []
-
-    def add(test: str, violations: DataFrame, failures=rows) -> None:
-        counts.append((test, violations.agg(F.coalesce(failures, F.lit(0)).alias("failures"))))
-
-    for model, columns in UNIQUE.items():
-        for column in columns:
-            add(f"unique {model}.{column}", quality.duplicates(tables[model], column))
-    for model, columns in COMPOSITE_UNIQUE.items():
-        add(
-            f"unique_composite_key {model}", quality.composite_duplicates(tables[model], columns)
-        )
-    add(
-        "accepted_values stg_311_requests.borough",
-        quality.unaccepted_values(tables["stg_311_requests"], "borough", ACCEPTED_BOROUGHS),
-    )
-    for child, column, parent, field in RELATIONSHIPS:
-        add(
-            f"relationships {child}.{column} {parent}.{field}",
-            quality.orphans(tables[child], column, tables[parent], field),
-            F.sum("row_count"),
-        )
-    add(
-        "shares_total_100 fct_borough_complaint_mix",
-        quality.shares_off_total(tables["fct_borough_complaint_mix"]),
+    stg, mix = tables["stg_311_requests"], tables["fct_borough_complaint_mix"]
+    checks = {
+        f"unique_composite_key {model}": quality.composite_duplicates(tables[model], columns)
+        for model, columns in COMPOSITE_UNIQUE.items()
+    }
+    checks["accepted_values stg_311_requests.borough"] = quality.unaccepted_values(
+        stg, "borough", ACCEPTED_BOROUGHS
     )
-    add(
-        "time_order_flag int_complaints_flagged",
-        quality.wrong_time_order_flags(tables["int_complaints_flagged"]),
+    checks["shares_total_100 fct_borough_complaint_mix"] = quality.shares_off_total(mix)
+    checks["time_order_flag int_complaints_flagged"] = quality.wrong_time_order_flags(
+        tables["int_complaints_flagged"]
     )
-
-    parts = not_null_report(tables) + [
-        frame.select(F.lit(test).alias("test"), "failures") for test, frame in counts
+    counts = [
+        found.agg(F.count("*").alias("failures")).select(F.lit(test).alias("test"), "failures")
+        for test, found in checks.items()
     ]
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
+    parts = [_not_null(tables), _unique(tables), _relationships(tables), *counts]
+    return _union(parts).withColumn("passed", F.col("failures") == 0)
