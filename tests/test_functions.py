@@ -101,9 +101,16 @@ def test_utc_timestamp(spark, zone):
     ]
 
 
-def test_bad_timestamp_text_fails(spark):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        column(spark, ["not a time"], "v string", utc_timestamp(F.col("v")))
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("text", ["not a time", "", "2026-13-01T00:00:00", "2026-07-01T25:00:00Z"])
+def test_bad_timestamp_text_fails(spark, ansi, text):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=f"No timestamp: {text}"):
+            column(spark, [text], "v string", utc_timestamp(F.col("v")))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_elapsed_seconds_ignores_the_session_zone(spark, zone):

@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 
 
 def utc_timestamp(text: Column) -> Column:
-    """ISO text to a UTC wall-clock timestamp. Text without a zone is taken as UTC."""
+    """ISO text to a UTC wall-clock timestamp; text that is no time fails the job.
+
+    Text without a zone is taken as UTC.
+    """
     zoned = F.substring(text, 12, 40).rlike("[A-Z+-]")
     # unix_micros counts from the epoch in UTC whatever the session zone is.
-    micros = F.unix_micros(text.cast("timestamp")).cast("decimal(20,0)")
+    micros = F.unix_micros(text.try_cast("timestamp")).cast("decimal(20,0)")
     seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     in_utc = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-    return F.when(zoned, in_utc).otherwise(text.cast("timestamp_ntz"))
+    parsed = F.when(zoned, in_utc).otherwise(text.try_cast("timestamp_ntz"))
+    no_time = F.raise_error(F.concat(F.lit("No timestamp: "), text)).cast("timestamp_ntz")
+    return F.coalesce(parsed, F.when(text.isNotNull(), no_time))
 
 
 def day(ts: Column) -> Column:

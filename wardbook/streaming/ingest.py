@@ -28,6 +28,8 @@ def stream_pages(
 
     The keyed upsert takes late and replayed pages as they are, so no watermark or
     state is kept. Micro-batches may come in any page order: rows carry their page.
+    Page numbers are compared within a run, so a feed that is resumed should keep its
+    run_no; the default is the time of the start.
     """
     path = raw_table_path(root, target_table)
     run = time.time_ns() // 1000 if run_no is None else run_no
