@@ -8,6 +8,7 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 from rows import at, raw_frame
 
+from wardbook.operators.measures import QUANTILE_ACCURACY, QUANTILES, quantiles
 from wardbook.plans import core
 from wardbook.plans.flags import complaints_flagged
 from wardbook.plans.marts import borough_mix, daily_metrics, monthly_metrics
@@ -260,3 +261,15 @@ def test_a_warehouse_writes_tables_once(spark, root):
     assert set(tables) == set(MODELS)
     assert warehouse.table("dim_date") is tables["dim_date"]
     assert spark.read.parquet(f"{root}/fct_311_complaint").count() == 1
+
+
+def test_quantiles_of_a_large_group_are_data_values_of_near_rank(spark):
+    """A group far larger than the sketch: rank error within 1 / accuracy."""
+    size = 300_000
+    rows = spark.range(size).select(
+        ((F.col("id") * 7919) % size).cast("double").alias("v"), (F.col("id") % 1).alias("g")
+    )
+    (found,) = rows.repartition(8).groupBy("g").agg(quantiles(F.col("v")).alias("q")).collect()
+    for value, q in zip(found["q"], QUANTILES.values()):
+        assert value == int(value)
+        assert abs(value - q * size) <= size / QUANTILE_ACCURACY + 1

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.numbers import decimal_text
 
-# The attributes behind each key, in hashing order, and the text that
-# stands in for NULL. The separator is not escaped, so equal joined text means an
+# The attributes behind each key, in hashing order and in the order of the
+# dimension's columns, and the text that stands in for NULL. The separator is not escaped, so equal joined text means an
 # equal key.
 SEPARATOR = "|"
 LOCATION_NULL = ""

@@ -33,7 +33,8 @@ def merged(target: DataFrame, pages: DataFrame, key: str = "unique_key") -> Data
     ``target`` has the row columns; ``pages`` has them plus page_no and pos. Any page
     row beats the target row of its key, and a later page beats an earlier one.
     """
-    stored = target.withColumns({"page_no": F.lit(-1).cast("bigint"), "pos": F.lit(0).cast("bigint")})
+    before_all = {"page_no": F.lit(-1).cast("bigint"), "pos": F.lit(0).cast("bigint")}
+    stored = target.withColumns(before_all)
     order = [
         F.col("page_no").desc(),
         F.col("created_date").desc_nulls_last(),

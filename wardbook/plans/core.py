@@ -9,31 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.dates import calendar_columns, date_id, day
+from wardbook.functions.keys import (
+    AGENCY_KEY,
+    CHANNEL_KEY,
+    COMPLAINT_TYPE_KEY,
+    LOCATION_KEY,
+    STATUS_KEY,
+)
 from wardbook.schema import TIMESTAMP_COLUMNS
 
-# The attributes of a location, in column order.
-LOCATION_COLUMNS = [
-    "city",
-    "borough",
-    "landmark",
-    "street_name",
-    "incident_zip",
-    "park_borough",
-    "cross_street_1",
-    "cross_street_2",
-    "intersection_street_1",
-    "intersection_street_2",
-    "incident_address",
-    "park_facility_name",
-    "latitude",
-    "longitude",
-    "x_coordinate_state_plane",
-    "y_coordinate_state_plane",
-    "community_board",
-    "council_district",
-]
-
-
 def dim_date(stg: DataFrame) -> DataFrame:
     """Every calendar date a request was created, closed or updated on; one scan."""
     dates = stg.select(F.explode(F.array(*[day(F.col(c)) for c in TIMESTAMP_COLUMNS])).alias("d"))
@@ -45,36 +29,33 @@ def dim_location(stg: DataFrame) -> DataFrame:
     """Distinct locations. The key is carried once through the shuffle."""
     distinct = (
         stg.where(F.col("location_key").isNotNull())
-        .select("location_key", *LOCATION_COLUMNS)
+        .select("location_key", *LOCATION_KEY)
         .distinct()
     )
     return distinct.select(F.col("location_key").alias("location_id"), *distinct.columns)
 
 
-def _attribute_dimension(stg: DataFrame, key: str, key_name: str, columns: list[str]) -> DataFrame:
+def _attribute_dimension(stg: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """Distinct combinations of the columns behind a key, if any of them is known."""
     any_known = reduce(or_, [F.col(c).isNotNull() for c in columns])
-    return stg.where(any_known).select(F.col(key).alias(key_name), *columns).distinct()
+    key = F.col(f"{name}_key").alias(f"{name}_id")
+    return stg.where(any_known).select(key, *columns).distinct()
 
 
 def dim_agency(stg: DataFrame) -> DataFrame:
-    return _attribute_dimension(stg, "agency_key", "agency_id", ["agency", "agency_name"])
+    return _attribute_dimension(stg, "agency", AGENCY_KEY)
 
 
 def dim_complaint_type(stg: DataFrame) -> DataFrame:
-    return _attribute_dimension(
-        stg,
-        "complaint_type_key",
-        "complaint_type_id",
-        ["complaint_type", "descriptor", "descriptor_2"],
-    )
+    return _attribute_dimension(stg, "complaint_type", COMPLAINT_TYPE_KEY)
 
 
 def dim_status(stg: DataFrame) -> DataFrame:
-    return _attribute_dimension(stg, "status_key", "status_id", ["status"])
+    return _attribute_dimension(stg, "status", STATUS_KEY)
 
 
 def dim_channel(stg: DataFrame) -> DataFrame:
-    return _attribute_dimension(stg, "channel_key", "channel_id", ["open_data_channel_type"])
+    return _attribute_dimension(stg, "channel", CHANNEL_KEY)
 
 
 def fct_complaint(stg: DataFrame) -> DataFrame:

@@ -65,16 +65,19 @@ class Inputs:
         return fixture.read_table(self.spark, self.sf_dir, name)
 
 
+# One set of model tables per application and input folder: the folders are read-only.
+_INPUTS: dict[tuple[str, str], Inputs] = {}
+
+
 def bind() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries as (spark, sf_dir) callables that share their model tables."""
-    built: dict[tuple[str, str], Inputs] = {}
 
     def bound(query: Query) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, sf_dir)
-            if key not in built:
-                built[key] = Inputs(spark, sf_dir)
-            return _plain_numbers(query(built[key]))
+            if key not in _INPUTS:
+                _INPUTS[key] = Inputs(spark, sf_dir)
+            return _plain_numbers(query(_INPUTS[key]))
 
         return run
 
@@ -193,7 +196,13 @@ def _stream_ingest(i: Inputs) -> DataFrame:
     stream_pages(i.spark, f"{root}/pages", root, f"{root}/progress", run_no=1).awaitTermination()
     stored = read_raw(i.spark, raw_table_path(root, PRODUCTION_TABLE))
     return stored.select(
-        "unique_key", "created_date", "closed_date", "agency", "descriptor", "location", "created_day"
+        "unique_key",
+        "created_date",
+        "closed_date",
+        "agency",
+        "descriptor",
+        "location",
+        "created_day",
     )
 
 
@@ -321,7 +330,8 @@ def _dq_relationships(i: Inputs) -> DataFrame:
     parts = {}
     for child, column, parent, field in model_tests.RELATIONSHIPS:
         found = quality.orphans(i.table(child), column, i.table(parent), field)
-        parts[f"{child}.{column}"] = found.withColumn("from_field", F.col("from_field").cast("string"))
+        as_text = F.col("from_field").cast("string")
+        parts[f"{child}.{column}"] = found.withColumn("from_field", as_text)
     return _labelled("reference", parts)
 
 

@@ -34,14 +34,11 @@ def cleaned(column: str) -> Column:
 
 def validity() -> dict[str, Column]:
     """Whether a request was closed before it was created, and has usable coordinates."""
-    created, closed = F.col("created_date"), F.col("closed_date")
-    latitude, longitude = F.col("latitude"), F.col("longitude")
+    reversed_times = F.col("closed_date") < F.col("created_date")
+    in_range = F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
     return {
-        "invalid_close_before_create": closed.isNotNull() & created.isNotNull() & (closed < created),
-        "valid_lat_long": latitude.isNotNull()
-        & longitude.isNotNull()
-        & latitude.between(-90, 90)
-        & longitude.between(-180, 180),
+        "invalid_close_before_create": F.coalesce(reversed_times, F.lit(False)),
+        "valid_lat_long": F.coalesce(in_range, F.lit(False)),
     }
 
 
