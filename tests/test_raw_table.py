@@ -228,3 +228,17 @@ def test_a_hot_day_is_split(spark, root):
     stored = read_raw(spark, path)
     assert stored.count() == 20000
     assert stored.select(F.input_file_name()).distinct().count() > 1
+
+
+def test_files_are_sorted_by_key(spark, root):
+    path = f"{root}/raw"
+    keys = [str(k) for k in range(100)]
+    random.Random(3).shuffle(keys)
+    put(spark, path, *[(k, at(1), "x", 0) for k in keys])
+    put(spark, path, *[(k, at(1), "y", 0) for k in keys[:10]], run=2)
+    rows = read_raw(spark, path).select("unique_key", F.input_file_name().alias("file")).collect()
+    by_file = {}
+    for row in rows:
+        by_file.setdefault(row["file"], []).append(row["unique_key"])
+    assert sum(map(len, by_file.values())) == 100
+    assert all(found == sorted(found) for found in by_file.values())

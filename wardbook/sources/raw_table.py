@@ -119,9 +119,13 @@ def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> No
     content = kept.unionByName(replacing.where(_on_days(rewritten)))
     _write(content, f"{scratch}/days", "errorifexists")
     new_days = _stored(spark, f"{scratch}/days")
-    new_days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        PARTITION_COLUMN
-    ).parquet(path)
+    (
+        new_days.sortWithinPartitions(PARTITION_COLUMN, KEY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PARTITION_COLUMN)
+        .parquet(path)
+    )
     # Dynamic overwrite leaves a day alone that no row is left for.
     for emptied in rewritten - _days(new_days):
         remove(spark, f"{path}/{PARTITION_COLUMN}={emptied or NULL_PARTITION}")
@@ -156,7 +160,12 @@ def _on_days(days: set[dt.date | None]) -> Column:
 
 def _write(rows: DataFrame, path: str, mode: str) -> None:
     # Rebalancing by day gives each day few files; adaptive execution splits a day
-    # that is too large for one task and joins days that are small.
-    rows.hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(
-        path
+    # that is too large for one task and joins days that are small. Writing by day
+    # sorts by day anyway; with the key after it, row groups have narrow key ranges.
+    (
+        rows.hint("rebalance", PARTITION_COLUMN)
+        .sortWithinPartitions(PARTITION_COLUMN, KEY)
+        .write.mode(mode)
+        .partitionBy(PARTITION_COLUMN)
+        .parquet(path)
     )
