@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from decimal import Decimal
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,11 +52,18 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.raw = fixture.raw_requests(spark, sf_dir)
-        self.staged = stage_requests(self.raw)
-        self.warehouse = Warehouse(
-            scratch_folder(spark, "models"), self.raw.drop(*JSON_COLUMNS)
-        )
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return fixture.raw_requests(self.spark, self.sf_dir)
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        return stage_requests(self.raw)
+
+    @cached_property
+    def warehouse(self) -> Warehouse:
+        return Warehouse(scratch_folder(self.spark, "models"), self.raw.drop(*JSON_COLUMNS))
 
     def table(self, name: str) -> DataFrame:
         return self.warehouse.table(name)
@@ -65,8 +72,9 @@ class Inputs:
         return fixture.read_table(self.spark, self.sf_dir, name)
 
 
-# One set of model tables per application and input folder: the folders are read-only.
-_INPUTS: dict[tuple[str, str], Inputs] = {}
+# One set of model tables per application, input folder and session zone. The folders are
+# read-only; a plan keeps the zone it was analysed under.
+_INPUTS: dict[tuple[str, ...], Inputs] = {}
 
 
 def bind() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -74,7 +82,8 @@ def bind() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def bound(query: Query) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            key = (spark.sparkContext.applicationId, sf_dir)
+            zone = spark.conf.get("spark.sql.session.timeZone")
+            key = (spark.sparkContext.applicationId, sf_dir, zone)
             if key not in _INPUTS:
                 _INPUTS[key] = Inputs(spark, sf_dir)
             return _plain_numbers(query(_INPUTS[key]))
