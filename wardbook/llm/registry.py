@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import mixing, oracle, quality, toxicity, url_filters
+from wardbook.llm import decontamination, language, mixing, oracle, quality, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,20 @@ def crc_of_id() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string"))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.leaks(documents, read(spark, sf_dir, "benchmark"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_of_id() % 4 == 2, F.lit(False))
+    model = language.trained(documents.where(~held_out).select("doc_id", "text", "lang"))
+    return language.identified(documents.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(documents).select("doc_id", "size", "source_size", "target", "taken")
@@ -104,6 +118,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_language": op2_language,
     "op4_mixing": op4_mixing,
     "op7_url_filters": op7_url_filters,
     "op9_quality": op9_quality,
