@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import decontamination, language, mixing, oracle, quality, toxicity, url_filters
+from wardbook.llm import decontamination, language, mixing, oracle, quality, substrings, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as captures: fetched some hours after the start of 2024, by page_id."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -121,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
     "op4_mixing": op4_mixing,
+    "op6_substrings": op6_substrings,
     "op7_url_filters": op7_url_filters,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
