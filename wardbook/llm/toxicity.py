@@ -78,7 +78,7 @@ def term_buckets(terms: tuple[tuple[str, ...], ...], of: int) -> list[list[np.nd
 
 
 def sample(documents: DataFrame, labels: DataFrame, rules: ToxicityRules) -> DataFrame:
-    """At most most_labelled labelled documents, as toxic and buckets (the distinct ones).
+    """At most most_labelled labelled documents, as toxic, place and buckets (the distinct ones).
 
     A keyed hash of the id picks them, half of each label, whatever the order of rows.
     Rows without id, label or text teach nothing; an id with several labels is as toxic
@@ -97,8 +97,8 @@ def sample(documents: DataFrame, labels: DataFrame, rules: ToxicityRules) -> Dat
     texts = (
         documents.select("doc_id", "text")
         .where("text IS NOT NULL")
-        .join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id")
-        .select("toxic", "text")
+        .join(F.broadcast(picked.select("doc_id", "toxic", F.col("__rank").alias("place"))), "doc_id")
+        .select("toxic", "place", "text")
     )
     of = rules.buckets
 
@@ -109,11 +109,10 @@ def sample(documents: DataFrame, labels: DataFrame, rules: ToxicityRules) -> Dat
                 np.unique(np.concatenate([f[a:b] for f in ids]))
                 for a, b in zip(words.first[:-1], words.first[1:], strict=True)
             ]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("toxic"), pa.array(distinct, pa.list_(pa.int32()))], ["toxic", "buckets"]
-            )
+            columns = [piece.column("toxic"), piece.column("place"), pa.array(distinct, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "place", "buckets"])
 
-    return texts.mapInArrow(buckets, "toxic int, buckets array<int>")
+    return texts.mapInArrow(buckets, "toxic int, place int, buckets array<int>")
 
 
 class _Rows:
@@ -121,8 +120,8 @@ class _Rows:
 
     def __init__(self, rows: list[np.ndarray], width: int):
         self.n, self.width = len(rows), width
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
-        self.column = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
+        self.column = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.column], self.n)
@@ -131,6 +130,14 @@ class _Rows:
         return np.bincount(self.column, slopes[self.row], self.width)
 
 
+def _renumbered(rows: list[np.ndarray], known: np.ndarray, of: int) -> list[np.ndarray]:
+    """The rows' known buckets, as places in known."""
+    place = np.full(of, -1, np.int32)
+    place[known] = np.arange(len(known))
+    found = [place[r] for r in rows]
+    return [np.sort(f[f >= 0]) for f in found]
+
+
 def _swapped(rows: list[np.ndarray], groups: list[list[np.ndarray]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Pairs of rows that differ in an identity term.
 
@@ -171,15 +178,16 @@ def fitted(toxic: np.ndarray, rows: list[np.ndarray], rules: ToxicityRules = Tox
         bias = 4.0 if share > 0.5 else -4.0
         return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), bias, rules.buckets)
     groups = term_buckets(rules.terms, rules.buckets)
-    seen, counts = np.unique(np.concatenate(rows), return_counts=True)
-    often = seen[counts >= rules.least_documents]
+    counts = np.bincount(np.concatenate(rows), minlength=rules.buckets)
+    often = np.flatnonzero(counts >= rules.least_documents)
     y = toxic.astype(float)
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
-    every = _Rows([np.searchsorted(often, r[np.isin(r, often, kind="table")]) for r in rows], len(often))
+    every = _Rows(_renumbered(rows, often, rules.buckets), len(often))
     apart = np.abs(every.back(share * (2 * y - 1))) / np.sqrt(every.back(share))
     often = often[np.argsort(-apart, kind="stable")[: rules.most_features]]
     known = np.union1d(often, np.concatenate([t for g in groups for t in g]))
-    columns = [np.searchsorted(known, r[np.isin(r, known, kind="table")]) for r in rows]
+    columns = _renumbered(rows, known, rules.buckets)
+    del every
     pairs = _swapped(columns, [[np.searchsorted(known, t) for t in g] for g in groups])
     x, width = _Rows(columns, len(known)), len(known)
     a, b = _Rows(pairs[0], width), _Rows(pairs[1], width)
@@ -234,13 +242,14 @@ def _threshold(logits: np.ndarray, y: np.ndarray) -> float:
 
 def trained(documents: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRules()) -> ToxicityModel:
     """A model from the labelled documents; without two labels, one that scores all alike."""
-    collected = sample(documents, labels, rules).toArrow()
-    order = np.argsort(
-        [f"{t} {b}" for t, b in zip(collected["toxic"].to_pylist(), collected["buckets"].to_pylist(), strict=True)]
-    )
-    toxic = collected["toxic"].to_numpy()[order].astype(int)
-    rows = collected["buckets"].to_pylist()
-    return fitted(np.minimum(toxic, 1), [np.array(rows[i], np.int64) for i in order], rules)
+    collected = sample(documents, labels, rules).toArrow().combine_chunks()
+    toxic, place = (collected[c].to_numpy().astype(int) for c in ("toxic", "place"))
+    order = np.lexsort((place, toxic))
+    if not len(order):
+        return fitted(toxic, [], rules)
+    buckets = collected["buckets"].chunk(0)
+    rows = np.split(buckets.flatten().to_numpy(), buckets.offsets.to_numpy()[1:-1])
+    return fitted(np.minimum(toxic[order], 1), [rows[i] for i in order], rules)
 
 
 def scores(model: ToxicityModel, column: pa.Array) -> np.ndarray:
