@@ -23,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 class MixRules:
     weights: tuple[int, ...] = (1, 2, 3)  # repeating, over the sources by code point
     most_copies: int = 3
-    bucket_rows: int = 20_000  # rows of a source that one task puts in order, on average
+    bucket_rows: int = 2_000  # rows of a source that one task puts in order, on average
     seed: str = "mix"
 
 

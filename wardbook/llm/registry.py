@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import decontamination, language, mixing, oracle, quality, substrings, toxicity, url_filters
+from wardbook.llm import decontamination, language, mixing, ngram_join, oracle, quality, substrings, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicated(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -125,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
     "op4_mixing": op4_mixing,
+    "op5_ngram_join": op5_ngram_join,
     "op6_substrings": op6_substrings,
     "op7_url_filters": op7_url_filters,
     "op9_quality": op9_quality,
