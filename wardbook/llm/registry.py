@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import decontamination, language, mixing, ngram_join, oracle, quality, substrings, toxicity, url_filters
+from wardbook.llm import decontamination, extraction, language, mixing, ngram_join, oracle, quality, substrings, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +104,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(read(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.measured(documents).select(
@@ -132,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op5_ngram_join": op5_ngram_join,
     "op6_substrings": op6_substrings,
     "op7_url_filters": op7_url_filters,
+    "op8_extraction": op8_extraction,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
