@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import decontamination, extraction, language, mixing, ngram_join, oracle, quality, substrings, toxicity, url_filters
+from wardbook.llm import decontamination, extraction, language, mixing, ngram_join, oracle, pii, quality, substrings, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,14 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The key of the registered query; a production run passes its own secret.
+PII_KEY = "registered query"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(documents).select("doc_id", "size", "source_size", "target", "taken")
@@ -132,6 +140,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
+    "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_ngram_join": op5_ngram_join,
     "op6_substrings": op6_substrings,
