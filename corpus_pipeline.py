@@ -18,5 +18,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, applied to the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = kept_table(stage(spark, docs, sf_dir), name)
+        docs = kept_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

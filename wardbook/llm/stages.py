@@ -1,15 +1,62 @@
-"""The stages of the corpus pipeline."""
+"""The stages of the corpus pipeline.
+
+Each takes the session, the documents that the stage before kept, and the folder of the
+input tables. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardbook.llm import decontamination, language, mixing, ngram_join, pii
+
+#: A language less likely than this is no language: with four, chance is 0.25.
+LEAST_LANGUAGE_SCORE = 0.3
+#: The key of the surrogates; a production run sets its own in this session setting.
+KEY_SETTING, DEFAULT_KEY = "wardbook.pii.key", "pipeline"
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network, trained on docs' own labels, recognises.
+
+    Rejected: texts that are null or have no letter, and those of which no language is
+    likely.
+    """
+    model = language.trained(docs.select("doc_id", "text", "lang"))
+    judged = language.identified(docs, model, keep_text=True)
+    kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return judged.where(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies, the one of the lowest doc_id."""
+    return ngram_join.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item leaks."""
+    return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
 
-from wardbook.llm import mixing
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for personal data; n_chars follows the text."""
+    done = pii.pseudonymised(docs, spark.conf.get(KEY_SETTING, DEFAULT_KEY))
+    return done.select(
+        *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    )
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights: the documents that the mix takes, with words taken."""
-    return mixing.mixed(docs).where("taken > 0")
+    """The mix: doc_id, source, size, source_size, target and taken of the documents it takes."""
+    taken = mixing.mixed(docs.select("doc_id", "text", "source")).where("taken > 0")
+    return taken.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-STAGES = [("mixing", mix)]
+STAGES = [
+    ("language", keep_languages),
+    ("near copies", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("personal data", replace_personal_data),
+    ("mixing", mix),
+]

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.llm.words import NOT_ALNUM, Words, pieces, words_of
@@ -89,15 +89,15 @@ def sample(documents: DataFrame, labels: DataFrame, rules: ToxicityRules) -> Dat
         .groupBy("doc_id")
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
-    ranked = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = marked.withColumn("__rank", F.row_number().over(ranked)).where(
-        F.col("__rank") <= rules.most_labelled // 2
-    )
+    marked = marked.withColumn("place", F.xxhash64("doc_id"))
+    half = rules.most_labelled // 2
+    picked = marked.where("toxic > 0").orderBy("place", "doc_id").limit(half)
+    picked = picked.unionByName(marked.where("toxic <= 0").orderBy("place", "doc_id").limit(half))
     # The picked ids are at most most_labelled rows.
     texts = (
         documents.select("doc_id", "text")
         .where("text IS NOT NULL")
-        .join(F.broadcast(picked.select("doc_id", "toxic", F.col("__rank").alias("place"))), "doc_id")
+        .join(F.broadcast(picked), "doc_id")
         .select("toxic", "place", "text")
     )
     of = rules.buckets
@@ -112,7 +112,7 @@ def sample(documents: DataFrame, labels: DataFrame, rules: ToxicityRules) -> Dat
             columns = [piece.column("toxic"), piece.column("place"), pa.array(distinct, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "place", "buckets"])
 
-    return texts.mapInArrow(buckets, "toxic int, place int, buckets array<int>")
+    return texts.mapInArrow(buckets, "toxic int, place long, buckets array<int>")
 
 
 class _Rows:
