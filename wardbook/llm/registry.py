@@ -87,7 +87,7 @@ def url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("pattern IS NOT NULL")
         .groupBy("pattern")
         .agg(F.max("category").alias("category"))
-        .withColumn("code", F.crc32(F.col("pattern")))
+        .withColumn("code", F.conv(F.substring(F.md5("pattern"), 1, 8), 16, 10).cast("long"))
     )
     start = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")
 
