@@ -1,0 +1,69 @@
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tests.llm.tables import documents, prose
+from wardbook.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    words = WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+    failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed
+
+
+def measure(frame):
+    fields = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed".split()
+    rows = quality.measured(frame).select("*", "quality.*").collect()
+    return [(r["text"], tuple(r[f] for f in fields), r["kept"], r["cleaned"]) for r in rows]
+
+
+def test_counts_match_brute_force(spark):
+    chance = random.Random(3)
+    texts = [None, "", " \n\t ", "a", "é" * 100_000, "one two " * 30, "x\r\ny\n\ny\nx"]
+    texts += [" ".join(chance.choice("ab") for _ in range(n)) for n in range(5, 60, 3)]
+    texts += [prose(chance, n) + "\n" + prose(chance, n) for n in (1, 8, 40, 3000)]
+    for text, counts, *_ in measure(documents(spark, *texts, *texts)):
+        assert counts == brute(text)
+
+
+def test_lines_that_fail_are_cleaned_away(spark):
+    good = "This line has more than ten words and it ends as all good sentences do."
+    other = "Another one follows here, which says something else entirely and ends well too."
+    text = "\n".join(["Home", good, "Read more", other, "a | b | c | d.", "All rights reserved, as always in the long lines of a page."])
+    [(_, _, kept, cleaned)] = measure(documents(spark, text))
+    assert cleaned.split("\n") == [good, other]
+    assert kept
+
+
+def test_documents_that_lose_too_much_are_rejected(spark):
+    bad = "\n".join(f"menu entry number {i}" for i in range(30))
+    chance = random.Random(4)
+    good = "\n".join(prose(chance, 10) for _ in range(30))
+    assert [kept for _, _, kept, _ in measure(documents(spark, bad, good))] == [False, True]
+
+
+def test_a_long_line_needs_no_full_stop(spark):
+    chance = random.Random(5)
+    assert [kept for _, _, kept, _ in measure(documents(spark, prose(chance, 200).replace(".", "")))] == [True]
+
+
+def test_columns_are_carried_along_and_empty_tables_stay_empty(spark):
+    frame = documents(spark, "a b", None).withColumn("n_words", F.lit(None).cast("string")).withColumn("__ql2", F.lit(1))
+    out = quality.measured(frame)
+    assert out.columns == [*frame.columns, "quality"]
+    assert out.count() == 2
+    assert quality.measured(frame.limit(0)).count() == 0
+
+
+def test_no_shuffle_and_no_python(spark):
+    plan = quality.measured(documents(spark, "a"))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Python" not in plan

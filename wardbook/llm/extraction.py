@@ -49,6 +49,7 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|object|canvas)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
+    r"|</?[a-zA-Z][^<>]*\Z"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^<>"']|"[^"]{0,4096}"|'[^']{0,4096}')*+)/?>""",
     re.DOTALL | re.IGNORECASE,
 )

@@ -61,17 +61,17 @@ def _letter(alphabet: str, hash_: Column, at: Column) -> Column:
     return F.substring(F.lit(alphabet), _hex(hash_, at) % len(alphabet) + 1, F.lit(1))
 
 
-def _like(char: Column, hash_: Column, at: Column, hexadecimal: Column) -> Column:
-    """A character of the same kind: a digit, or a letter of the same script and case."""
+def _like(char: Column, hash_: Column, at: Column, hexadecimal: Column, capitals: Column) -> Column:
+    """A character of the same kind: a hex digit, a digit, or a letter of the same script and case."""
     low = F.lower(char)
     new = (
-        F.when(hexadecimal, F.substring(hash_, at % 64 + 1, F.lit(1)))
+        F.when(hexadecimal, F.when(capitals, F.upper(F.substring(hash_, at % 64 + 1, F.lit(1)))).otherwise(F.substring(hash_, at % 64 + 1, F.lit(1))))
         .when(char.rlike(r"^\p{N}$"), (_hex(hash_, at) % 10).cast("string"))
         .when(char.rlike(r"^\p{IsCyrillic}$"), _letter(_CYRILLIC, hash_, at))
         .when(char.rlike(r"^\p{IsGreek}$"), _letter(_GREEK, hash_, at))
         .otherwise(_letter(_LATIN, hash_, at))
     )
-    return F.when(~char.rlike(r"^[\p{L}\p{N}]$"), char).when(low != char, F.upper(new)).otherwise(new)
+    return F.when(~char.rlike(r"^[\p{L}\p{N}]$"), char).when((low != char) & ~hexadecimal, F.upper(new)).otherwise(new)
 
 
 def _name(hash_: Column, kind: Column, like: Column) -> Column:
@@ -142,6 +142,7 @@ def surrogate(x: Column, key: str) -> Column:
         .when((kind == "secret") & part.rlike(r"^(AKIA|[a-z]+[_-])"), F.length(F.regexp_extract(part, r"^(AKIA|[a-z]+)", 1)))
         .otherwise(F.lit(0))
     )
+    capitals = part.rlike("[A-Z]")
     hexadecimal = (kind == "secret") & part.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
 
     def spelled(text: Column) -> Column:
@@ -149,7 +150,7 @@ def surrogate(x: Column, key: str) -> Column:
 
         def each(char: Column, place: Column) -> Column:
             at = F.length(_bare(F.substring(text, F.lit(1), place)))
-            return F.when(at < stay, char).otherwise(_like(char, hash_, at, hexadecimal & char.rlike("^[0-9a-fA-F]$")))
+            return F.when(at < stay, char).otherwise(_like(char, hash_, at, hexadecimal, capitals))
 
         return F.array_join(F.transform(chars, each), "")
 
