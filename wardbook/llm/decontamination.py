@@ -28,6 +28,7 @@ from wardbook.llm.words import NOT_ALNUM, pieces, window_hashes, within, words_o
 
 BITS, BLOCKS = 64, 4
 BLOCK_BITS = BITS // BLOCKS
+LANES, ONE_EACH = 16, np.uint64(0x0001000100010001)
 WINDOWS_AT_ONCE = 8192
 
 
@@ -38,8 +39,8 @@ class LeakRules:
     similarity: float = 0.8
     shingle: int = 5
     block_radius: int = 3  # of a block; all fingerprints within 4 * 3 + 3 = 15 bits are found
-    length_ratio: float = 1.1  # between one window length and the next
-    steps: int = 14  # windows that start within one window's length
+    length_ratio: float = 1.12  # between one window length and the next
+    steps: int = 12  # windows that start within one window's length
     items_at_once: int = 2048
 
     @property
@@ -70,19 +71,23 @@ class Shingles:
         return cls(window_hashes(words.hashes(), length)[starts], np.concatenate([[0], np.cumsum(counts)]))
 
     def ones(self) -> np.ndarray:
-        """For each bit, how many of the shingles before each place have it, modulo 2**16."""
-        bits = np.unpackbits(self.hashes.view(np.uint8).reshape(-1, 8), axis=1)
-        total = np.zeros((len(bits) + 1, BITS), np.uint16)
-        np.cumsum(bits, axis=0, dtype=np.uint16, out=total[1:])
-        return total
+        """For each bit, how many of the shingles before each place have it.
 
+        Four counts of 16 bits share a number. They run over into each other, but the
+        difference of two rows is right as long as its own counts fit.
+        """
+        total = np.zeros((LANES, len(self.hashes) + 1), np.uint64)
+        for lane in range(LANES):
+            np.cumsum((self.hashes >> np.uint64(lane)) & ONE_EACH, out=total[lane, 1:])
+        return np.ascontiguousarray(total.T)
 
-def fingerprints(ones: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """SimHashes of runs of fewer than 2**15 shingles; one that occurs twice weighs twice."""
-    have = ones[ends]
-    have -= ones[starts]
-    have *= 2
-    return np.packbits(have > (ends - starts).astype(np.uint16)[:, None], axis=1).view(np.uint64)[:, 0]
+
+def fingerprints(before: np.ndarray, upto: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHashes of runs of fewer than 2**15 shingles, from the counts of ones before each
+    run and up to its end; a shingle that occurs twice weighs twice."""
+    have = (upto - before).view(np.uint16)
+    half = (sizes // 2).astype(np.uint16)[:, None]
+    return np.packbits(have > half, axis=1).view(np.uint64)[:, 0]
 
 
 class Index:
@@ -105,15 +110,20 @@ class Index:
             sizes = [len(items.shingles[i]) for i in some]
             prints = np.concatenate(
                 [
-                    fingerprints(s.ones(), np.array([0]), np.array([len(s.hashes)]))
+                    fingerprints(*s.ones()[[0, -1], None], np.array([len(s.hashes)]))
                     for s in (Shingles(items.shingles[i], None) for i in some)
                 ]
             )
-            tables = np.zeros((BLOCKS, 1 << BLOCK_BITS, -(-len(some) // 8)), np.uint8)
-            for place, blocks in enumerate(prints.view(np.uint16).reshape(-1, BLOCKS)):
-                for block, value in enumerate(blocks):
-                    tables[block, int(value) ^ np.array(flips), place // 8] |= 128 >> place % 8
-            self.classes.append((round(float(np.median(sizes))), np.array(some), prints, tables))
+            groups = []
+            for at in range(0, len(some), 64):  # a bit of a number for each item
+                part = prints[at : at + 64]
+                kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if 8 * k(0).nbytes >= len(part))
+                tables = np.zeros((BLOCKS, 1 << BLOCK_BITS), kind)
+                for place, blocks in enumerate(part.view(np.uint16).reshape(-1, BLOCKS)):
+                    for block, value in enumerate(blocks):
+                        tables[block, int(value) ^ np.array(flips)] |= kind(1 << place)
+                groups.append((np.array(some[at : at + 64]), part, tables))
+            self.classes.append((round(float(np.median(sizes))), groups))
 
     def candidates(self, texts: Shingles) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Starts and ends of windows and the item that each is within the radius of."""
@@ -122,25 +132,30 @@ class Index:
             return
         ones = texts.ones()
         stop = np.repeat(texts.first[1:], np.diff(texts.first))
-        for length, some, prints, tables in self.classes:
+        for length, groups in self.classes:
             step = max(1, length // self.rules.steps)
-            for at in range(0, n, step * WINDOWS_AT_ONCE):
-                starts = np.arange(at, min(n, at + step * WINDOWS_AT_ONCE), step)
-                ends = np.minimum(starts + length, stop[starts])
-                full = ends - starts >= self.rules.similarity * length * 0.9
-                starts, ends = starts[full], ends[full]
-                if not len(starts):
-                    continue
-                found = fingerprints(ones, starts, ends)
+            # A document shorter than the window is a window, if an item of this size can match it.
+            starts = np.arange(0, n, step)
+            ends = np.minimum(starts + length, stop[::step])
+            full = ends - starts >= self.rules.similarity * length * 0.9
+            for at in range(0, len(starts), WINDOWS_AT_ONCE):
+                start, end = starts[at : at + WINDOWS_AT_ONCE], ends[at : at + WINDOWS_AT_ONCE]
+                before = ones[start[0] : start[-1] + 1 : step]
+                found = fingerprints(before, ones.take(end, axis=0), end - start)
                 blocks = found.view(np.uint16).reshape(-1, BLOCKS)
-                near = tables[0][blocks[:, 0]]
-                for block in range(1, BLOCKS):
-                    near |= tables[block][blocks[:, block]]
-                window, item = np.nonzero(np.unpackbits(near, axis=1, count=len(some)))
-                close = np.bitwise_count(found[window] ^ prints[item]) <= self.rules.radius
-                window, item = window[close], item[close]
-                if len(window):
-                    yield starts[window], ends[window], some[item]
+                for items, prints, tables in groups:
+                    near = tables[0].take(blocks[:, 0])
+                    for block in range(1, BLOCKS):
+                        near |= tables[block].take(blocks[:, block])
+                    near *= full[at : at + WINDOWS_AT_ONCE]
+                    window = np.flatnonzero(near)
+                    bits = np.unpackbits(near[window].view(np.uint8), bitorder="little")
+                    place = np.flatnonzero(bits.view(bool))
+                    row, item = np.divmod(place, 8 * near.itemsize)
+                    window = window[row]
+                    close = np.flatnonzero(np.bitwise_count(found[window] ^ prints[item]) <= self.rules.radius)
+                    if len(close):
+                        yield start[window[close]], end[window[close]], items[item[close]]
 
     def leaks(self, column: pa.Array) -> list[tuple[int, int, float, int]]:
         """Of each text and item that leak: the text's place, the item's, the similarity and
