@@ -4,9 +4,10 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry_module
+from wardbook.plans import oracle, registry
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-SQL = entry_module.oracle_sql()
+SQL = oracle.statements()
 SPARK_TYPES = {
     "BIGINT": "bigint",
     "VARCHAR": "string",
@@ -20,11 +21,11 @@ SPARK_TYPES = {
 
 @pytest.fixture(scope="module")
 def queries():
-    return entry_module.queries()
+    return registry.bind()
 
 
 def test_every_query_has_a_twin(queries):
-    assert set(queries) == set(SQL)
+    assert set(queries) == set(SQL) and set(queries) <= set(entry_module.queries())
 
 
 def test_entry_returns_the_monthly_metrics(spark):

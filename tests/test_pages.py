@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 from rows import write_page
 
 from wardbook.schema import RAW_COLUMNS
-from wardbook.sources.pages import normalized, page_rows, read_pages, write_pages
+from wardbook.sources.pages import (
+    normalized,
+    page_rows,
+    read_page_lines,
+    read_pages,
+    write_page_lines,
+    write_pages,
+)
 
 
 def load(spark, folder):
@@ -30,7 +37,7 @@ def test_pages_become_raw_rows(spark, tmp_path, zone):
     )
     write_page(tmp_path, 8, [])
     rows = load(spark, tmp_path)
-    assert rows.columns == [*RAW_COLUMNS, "page_no", "pos"]
+    assert rows.columns == [*RAW_COLUMNS, "page_no", "page_file", "pos"]
     first, second = rows.orderBy("pos").collect()
     assert (first["page_no"], first["pos"], first["unique_key"]) == (7, 0, "123")
     assert first["created_date"] == dt.datetime(2026, 7, 1, 10)
@@ -41,7 +48,13 @@ def test_pages_become_raw_rows(spark, tmp_path, zone):
     assert second["closed_date"] == dt.datetime(2026, 7, 2, 2, 30, 0, 500000)
 
 
-@pytest.mark.parametrize("page", ['{"error": true}', "null", "oops", '[{"unique_key": 1}, {'])
+BAD_PAGES = [
+    '{"error": true}', "null", "oops", '[{"unique_key": 1}, {', '[{"unique_key": 1}][{"unique_key": 2}]',
+    '[{"unique_key": 1}] oops', '[{"unique_key": 1}],[]', " ", "[] []",
+]
+
+
+@pytest.mark.parametrize("page", BAD_PAGES)
 def test_a_page_that_is_no_array_fails(spark, tmp_path, page):
     write_page(tmp_path, 3, page)
     with pytest.raises(Exception, match="No JSON array on page 3"):
@@ -72,3 +85,64 @@ def test_written_pages_read_back(spark, root):
     back = rows.select("page_no", "pos", "record")
     assert back.exceptAll(records).count() == 0
     assert records.exceptAll(back).count() == 0
+
+
+def test_blanks_around_an_array_are_fine(spark, tmp_path):
+    write_page(tmp_path, 1, ' \n[{"unique_key": "a"}]\n \t')
+    assert [r["unique_key"] for r in load(spark, tmp_path).collect()] == ["a"]
+
+
+def test_the_number_is_in_the_file_name_or_the_folder_above(spark, tmp_path):
+    for folder in ("page-7-feed", "landing-page-2024/deep"):
+        write_page(tmp_path / folder, 1, [{"unique_key": folder}])
+    (tmp_path / "page-9" / "page_no=12").mkdir(parents=True)
+    (tmp_path / "page-9" / "page_no=12" / "part-0.txt").write_text('[{"unique_key": "folder"}]')
+    rows = {r["unique_key"]: r["page_no"] for r in load(spark, tmp_path).collect()}
+    assert rows == {"page-7-feed": 1, "landing-page-2024/deep": 1, "folder": 12}
+
+
+@pytest.mark.parametrize("name", ["rows.json", "page-x.json", "mypage-3.json", "page_no=3.json"])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_file_without_number_fails_and_is_named(spark, tmp_path, name, ansi):
+    folder = tmp_path / "page-7-feed"
+    folder.mkdir()
+    (folder / name).write_text("[]")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=f"No page number in .*{name}"):
+            read_pages(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_files_of_one_number_are_one_page(spark, tmp_path):
+    from wardbook.operators.latest import arrival_order, latest_per_key
+
+    for folder, day in (("a", 2), ("b", 2), ("c", 1)):
+        record = {"unique_key": "k", "created_date": f"2026-07-0{day}T10:00:00", "status": folder}
+        write_page(tmp_path / folder, 4, [record])
+    rows = load(spark, tmp_path).withColumn("run_no", F.lit(1))
+    # The latest creation time wins, and of equal positions the last file.
+    assert [r["status"] for r in latest_per_key(rows, "unique_key", arrival_order()).collect()] == ["b"]
+
+
+def test_many_pages_in_a_file_give_the_same_rows(spark, root):
+    records = spark.range(2500).select(
+        F.floor(F.col("id") / 1000).cast("bigint").alias("page_no"),
+        (F.col("id") % 1000).alias("pos"),
+        F.to_json(F.struct(F.col("id").alias("unique_key"), F.lit('a"[{').alias("agency"))).alias("record"),
+    )
+    write_pages(records, f"{root}/pages")
+    write_page_lines(records, f"{root}/lines")
+    one = normalized(page_rows(read_pages(spark, f"{root}/pages"))).drop("page_file")
+    many = normalized(page_rows(read_page_lines(spark, f"{root}/lines"))).drop("page_file")
+    assert many.count() == 2500
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+@pytest.mark.parametrize("line", ['{"rows": []}', '{"page_no": 1}', "[]", "oops", '{"page_no": 1, "rows": []} x', '{"page_no": 1, "rows": {}}'])
+def test_a_line_that_is_no_page_fails(spark, tmp_path, line):
+    (tmp_path / "pages.jsonl").write_text('{"page_no": 0, "rows": []}\n' + line + "\n")
+    with pytest.raises(Exception, match="No page with a page_no|No JSON array on page 1"):
+        page_rows(read_page_lines(spark, str(tmp_path))).collect()

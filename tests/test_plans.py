@@ -7,9 +7,7 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import __spark_entry__ as entry_module
-from wardbook.operators.joins import broadcast_up_to
-from wardbook.plans import core
+from wardbook.plans import core, registry
 from wardbook.plans.flags import complaints_flagged
 from wardbook.plans.marts import borough_mix
 from wardbook.plans.staging import stage_requests
@@ -17,12 +15,12 @@ from wardbook.schema import RAW_SCHEMA
 from wardbook.sources.folders import shared_folder
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-NAMES = list(entry_module.queries())
+NAMES = list(registry.bind())
 
 
 @pytest.fixture(scope="module")
 def queries():
-    return entry_module.queries()
+    return registry.bind()
 
 
 def physical(frame):
@@ -121,12 +119,6 @@ def test_the_status_lookup_is_broadcast_by_its_file_size(spark, root):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_broadcast_up_to(spark):
-    rows = spark.range(20)
-    assert "ResolvedHint" in broadcast_up_to(20, rows)._jdf.queryExecution().analyzed().toString()
-    assert "Hint" not in broadcast_up_to(19, rows)._jdf.queryExecution().analyzed().toString()
-
-
 HOT_FLAGGED = T.StructType(
     [
         T.StructField("created_at", T.TimestampNTZType()),
@@ -171,3 +163,19 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = shared_folder(spark)
     assert folder == (configured.rstrip("/") if configured else folder)
     assert shared_folder(spark) == folder
+
+
+@pytest.mark.parametrize("name, most", [("dq_relationships", 2), ("dq_report", 4)])
+def test_the_suite_scans_the_fact_few_times(spark, queries, name, most):
+    plan = queries[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet[^\n]*/fct_311_complaint\b(?!_)", plan)
+    assert 1 <= len(scans) <= most
+
+
+def test_the_test_input_reads_whole_lookup_tables(spark):
+    plan = physical(queries_of("surrogate_keys", spark))
+    assert not re.search(r"PushedFilters: \[[^\]]*(LessThan|GreaterThan)[^\]]*(s_suppkey|p_partkey)", plan)
+
+
+def queries_of(name, spark):
+    return registry.bind()[name](spark, SF_DIR)

@@ -8,7 +8,7 @@ from rows import at, batch_frame
 
 from wardbook.schema import RAW_COLUMNS
 from wardbook.sources import raw_table
-from wardbook.sources.folders import exists
+from wardbook.sources.folders import exists, names
 from wardbook.sources.raw_table import (
     check_raw,
     create_if_missing,
@@ -18,6 +18,7 @@ from wardbook.sources.raw_table import (
     reset_probe,
     upsert,
 )
+from wardbook.sources.versions import current, publish
 
 
 def contents(spark, path):
@@ -54,7 +55,7 @@ def test_insert_update_and_move(spark, root):
         "a": (at(2), "y"), "b": (at(3), "y"), "c": (at(3), "y"), "d": (None, "y"),
     }
     assert folders(spark, path) == {at(2).date(), at(3).date(), None}
-    assert not exists(spark, f"{path}/created_day=2026-07-01")
+    assert "2026-07-01" not in current(spark, path)
 
 
 def test_rows_of_untouched_keys_stay(spark, root):
@@ -100,29 +101,76 @@ def test_empty_batch_changes_nothing(spark, root):
     assert contents(spark, path) == {"a": (at(1), "x")}
 
 
-@pytest.mark.parametrize("failing", ["removal", "publishing"])
-def test_a_failed_ingest_is_completed_by_running_it_again(spark, root, monkeypatch, failing):
+def test_readers_see_the_table_before_or_after_a_change_never_between(spark, root, monkeypatch):
+    """Read between every step of an upsert that moves days, and after a failure at each."""
     path = f"{root}/raw"
     put(spark, path, ("a", at(1), "x", 0), ("b", at(2), "x", 0), ("c", at(2), "x", 0))
+    before = contents(spark, path)
     batch = [("a", at(2), "y", 0), ("b", at(5), "y", 0)]
+    after = {"a": (at(2), "y"), "b": (at(5), "y"), "c": (at(2), "x")}
+    steps = ["written", "latest_per_key", "_days", "_write", "names", "publish"]
+    for failing in [*steps, None]:
+        seen = []
+
+        def watch(name, patched, failing=failing, seen=seen):
+            real = getattr(raw_table, name)
+
+            def step(*args, **kwargs):
+                seen.append(contents(spark, path))
+                if name == failing:
+                    raise OSError("lost")
+                return real(*args, **kwargs)
+
+            patched.setattr(raw_table, name, step)
+
+        with monkeypatch.context() as patched:
+            for name in steps:
+                watch(name, patched)
+            if failing:
+                with pytest.raises(OSError):
+                    put(spark, path, *batch, run=2)
+            else:
+                put(spark, path, *batch, run=2)
+        assert seen and all(s == before for s in seen)
+        assert contents(spark, path) == (before if failing else after)
+        assert not [n for n in names(spark, path) if n.startswith("_scratch")]
+
+
+def test_a_publish_that_fails_leaves_the_last_one(spark, root):
+    publish(spark, root, {"x": "v1/x"})
+    with pytest.raises(Exception, match="rename|exist|Rename"):
+        from wardbook.sources import versions
+
+        original = versions._manifest
+        try:
+            versions._manifest = lambda r, n: f"{r}/missing-folder-{n}/deep/m.json" if n else original(r, n)
+            versions.put_text(spark, f"{root}/_manifests/000000000000.json/no", "{}")
+        finally:
+            versions._manifest = original
+    assert current(spark, root) == {"x": "v1/x"}
+
+
+def test_old_versions_go_when_no_manifest_names_them(spark, root):
+    path = f"{root}/raw"
+    for run in range(1, 6):
+        put(spark, path, ("a", at(1), str(run), 0), ("b", at(run + 1), "x", 0), run=run)
+    live = set(current(spark, path).values())
+    assert len(live) == 2 and contents(spark, path)["a"] == (at(1), "5")
+    assert len(names(spark, f"{path}/_manifests")) == 2
+    days = [f"{v}/{d}" for v in names(spark, path) if v.startswith("version") for d in names(spark, f"{path}/{v}")]
+    kept = {d for d in days if "created_day" in d}
+    assert live <= kept and len(kept) <= 4
+
 
-    def fail(*_):
-        raise OSError("lost")
-
-    with monkeypatch.context() as patched:
-        if failing == "removal":
-            patched.setattr(raw_table, "remove", fail)
-        else:
-            write = raw_table._write
-            patched.setattr(
-                raw_table,
-                "_write",
-                lambda rows, to, mode: fail() if mode != "append" else write(rows, to, mode),
-            )
-        with pytest.raises(OSError):
-            put(spark, path, *batch, run=2)
-    put(spark, path, *batch, run=2)
-    assert contents(spark, path) == {"a": (at(2), "y"), "b": (at(5), "y"), "c": (at(2), "x")}
+def test_rows_are_written_in_full_twice(spark, root, monkeypatch):
+    path = f"{root}/raw"
+    put(spark, path, ("a", at(1), "x", 0), ("b", at(2), "x", 0))
+    wide = []
+    real_written, real_write = raw_table.written, raw_table._write
+    monkeypatch.setattr(raw_table, "written", lambda rows, to: wide.append(len(rows.columns)) or real_written(rows, to))
+    monkeypatch.setattr(raw_table, "_write", lambda rows, to: wide.append(len(rows.columns)) or real_write(rows, to))
+    put(spark, path, ("a", at(2), "y", 0), run=2)
+    assert sum(n >= len(RAW_COLUMNS) for n in wide) == 2 and len(wide) == 4
 
 
 def test_random_batches_against_a_dictionary(spark, root):

@@ -46,6 +46,6 @@ def test_choice_of_filter(rows):
 
 def test_first_pages(spark):
     pages = spark.range(6).withColumnRenamed("id", "page_no")
-    assert first_pages(pages).count() == 3
+    assert first_pages(pages, 3).count() == 3
     assert first_pages(pages, 1).count() == 1
     assert first_pages(pages, None).count() == 6

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 
 def arrival_order() -> list[Column]:
-    """Latest arrival first: page, then creation time with NULL last, then position."""
+    """Latest arrival first: page, then creation time with NULL last, position and file."""
     return [
         F.col("run_no").desc(),
         F.col("page_no").desc(),
         F.col("created_date").desc_nulls_last(),
         F.col("pos").desc(),
+        F.col("page_file").desc(),
     ]
 
 

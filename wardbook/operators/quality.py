@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: how far the shares may be from 100 in total.
 SHARE_TOLERANCE = Decimal("1.00")
 
 
-def null_rows(rows: DataFrame, column: str) -> DataFrame:
-    """Rows where the column is NULL."""
-    return rows.where(F.col(column).isNull())
+def counted(rows: DataFrame, tests: dict[str, Column], name: str = "test") -> DataFrame:
+    """(test, failures): the rows that meet each condition, in one pass over them."""
+    counts = rows.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(tests.values())])
+    entries = [F.struct(F.lit(t).alias(name), F.col(f"c{i}").alias("failures")) for i, t in enumerate(tests)]
+    return counts.select(F.inline(F.array(*entries)))
 
 
 def null_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, failures) for every column, in one pass over the rows."""
-    counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in columns]
-    return counts.select(F.inline(F.array(*entries)))
+    return counted(rows, {c: F.col(c).isNull() for c in columns}, "column_name")
 
 
 def duplicates(rows: DataFrame, column: str) -> DataFrame:
@@ -71,13 +71,18 @@ def shares_off_total(mix: DataFrame, tolerance: Decimal = SHARE_TOLERANCE) -> Da
     return total.where(F.abs(F.col("pct_sum") - 100) > F.lit(tolerance))
 
 
-def wrong_time_order_flags(flagged: DataFrame) -> DataFrame:
-    """Rows whose stored time-order flag differs from the one their times give."""
+def wrong_time_order_flag() -> Column:
+    """Whether the stored time-order flag differs from the one the row's times give."""
     invalid = (
         F.col("closed_at").isNotNull()
         & F.col("created_at").isNotNull()
         & (F.col("closed_at") < F.col("created_at"))
     )
-    return flagged.where(F.col("is_invalid_time_order") != F.when(invalid, 1).otherwise(0)).select(
+    return F.col("is_invalid_time_order") != F.when(invalid, 1).otherwise(0)
+
+
+def wrong_time_order_flags(flagged: DataFrame) -> DataFrame:
+    """Rows whose stored time-order flag differs from the one their times give."""
+    return flagged.where(wrong_time_order_flag()).select(
         "unique_key", "created_at", "closed_at", "is_invalid_time_order"
     )

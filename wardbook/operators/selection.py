@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from wardbook.schema import PARTITION_COLUMN
 
-# Defaults of an ingest without a date filter.
+# Fixed value: days that a target date covers.
 DEFAULT_OFFSET_DAYS = 1
-DEFAULT_MAX_PAGES = 3
 
 
 def _date(text: str | dt.date) -> dt.date:
@@ -68,6 +67,6 @@ def by_dates(
     return in_date_range(rows, start_date, end_date) if start_date else rows
 
 
-def first_pages(rows: DataFrame, max_pages: int | None = DEFAULT_MAX_PAGES) -> DataFrame:
+def first_pages(rows: DataFrame, max_pages: int | None) -> DataFrame:
     """Rows of the first max_pages pages (page_no counts from 0); None keeps all."""
     return rows if max_pages is None else rows.where(F.col("page_no") < max_pages)

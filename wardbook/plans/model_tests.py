@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.operators import quality
@@ -37,6 +37,7 @@ NOT_NULL = {
         "closed_at_status_mismatch_count",
     ],
 }
+# Columns without a value twice.
 UNIQUE = {
     "stg_311_requests": ["unique_key"],
     "dim_date": ["date_id", "full_date"],
@@ -51,11 +52,13 @@ UNIQUE = {
     "fct_daily_metrics": ["metric_date"],
     "fct_monthly_metrics": ["month_start"],
 }
+# Columns without a combination twice.
 COMPOSITE_UNIQUE = {
     "dim_agency": ["agency", "agency_name"],
     "dim_complaint_type": ["complaint_type", "descriptor", "descriptor_2"],
     "fct_borough_complaint_mix": ["borough", "complaint_type"],
 }
+# The boroughs.
 ACCEPTED_BOROUGHS = [
     "STATEN ISLAND",
     "BRONX",
@@ -64,6 +67,7 @@ ACCEPTED_BOROUGHS = [
     "BROOKLYN",
     "QUEENS",
 ]
+# Child, its column, parent, its column.
 RELATIONSHIPS = [
     ("fct_311_complaint", "created_date_id", "dim_date", "date_id"),
     ("fct_311_complaint", "closed_date_id", "dim_date", "date_id"),
@@ -77,55 +81,97 @@ RELATIONSHIPS = [
 ]
 
 
-def not_null_report(tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """One scan per model, whatever the number of columns."""
-    return [
-        quality.null_counts(tables[model], columns).select(
-            F.concat(F.lit(f"not_null {model}."), "column_name").alias("test"), "failures"
-        )
-        for model, columns in NOT_NULL.items()
-    ]
+MODEL_NAMES = list(NOT_NULL)
+
+
+def _pair(test: str, value: Column, is_parent: bool = False) -> Column:
+    return F.struct(F.lit(test).alias("test"), value.alias("value"), F.lit(is_parent).alias("is_parent"))
+
+
+def relationship(child: str, column: str, parent: str, field: str) -> str:
+    return f"relationships {child}.{column} {parent}.{field}"
+
+
+def _pairs(model: str, unique: bool) -> list[Column]:
+    """What a row of a model says to the tests by value: (test, value, is_parent)."""
+    text = lambda c: F.col(c).cast("string")
+    pairs = []
+    if unique:
+        pairs += [_pair(f"unique {model}.{c}", text(c)) for c in UNIQUE.get(model, [])]
+        if model in COMPOSITE_UNIQUE:
+            combined = F.to_json(F.array(*[text(c) for c in COMPOSITE_UNIQUE[model]]))
+            pairs.append(_pair(f"unique_composite_key {model}", combined))
+        if model == "stg_311_requests":
+            outside = F.when(~F.col("borough").isin(ACCEPTED_BOROUGHS), F.col("borough"))
+            pairs.append(_pair(f"accepted_values {model}.borough", outside))
+    for child, column, parent, field in RELATIONSHIPS:
+        test = relationship(child, column, parent, field)
+        if model == child:
+            pairs.append(_pair(test, text(column)))
+        if model == parent:
+            pairs.append(_pair(test, text(field), is_parent=True))
+    return pairs
+
+
+def values(tables: dict[str, DataFrame], unique: bool = True) -> DataFrame:
+    """(test, value, rows, parents) of the tests by value: uniqueness and accepted values,
+    if unique, and relationships.
+
+    Every table is scanned once: each row gives a pair for each test, and all pairs are
+    grouped together. Rows of one value are counted before the shuffle, so one that a
+    third of all rows carry is a row a task. NULLs are in no test by value.
+    """
+    parts = []
+    for model in MODEL_NAMES:
+        pairs = _pairs(model, unique)
+        if pairs:
+            parts.append(tables[model].select(F.inline(F.array(*pairs))))
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .where("value IS NOT NULL")
+        .groupBy("test", "value")
+        .agg(F.count_if(~F.col("is_parent")).alias("rows"), F.count_if("is_parent").alias("parents"))
+    )
+
+
+def orphans(tables: dict[str, DataFrame]) -> DataFrame:
+    """(test, from_field, row_count): child values of the relationships without a parent."""
+    found = values(tables, unique=False).where("rows > 0 AND parents = 0")
+    return found.select("test", F.col("value").alias("from_field"), F.col("rows").alias("row_count"))
+
+
+def _conditions(tables: dict[str, DataFrame]) -> DataFrame:
+    """(test, failures) of the tests row by row, one scan a table."""
+    parts = []
+    for model, columns in NOT_NULL.items():
+        tests = {f"not_null {model}.{c}": F.col(c).isNull() for c in columns}
+        if model == "int_complaints_flagged":
+            tests[f"time_order_flag {model}"] = quality.wrong_time_order_flag()
+        parts.append(quality.counted(tables[model], tests))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def report(tables: dict[str, DataFrame]) -> DataFrame:
     """(test, failures, passed) of every declared test, as one job.
 
     A relationship counts the child rows without a parent, the other tests the rows
-    their check returns.
+    or values their check returns.
     """
-    rows = F.count("*")
-    counts: list[tuple[str, DataFrame]] = []
-
-    def add(test: str, violations: DataFrame, failures=rows) -> None:
-        counts.append((test, violations.agg(F.coalesce(failures, F.lit(0)).alias("failures"))))
-
-    for model, columns in UNIQUE.items():
-        for column in columns:
-            add(f"unique {model}.{column}", quality.duplicates(tables[model], column))
-    for model, columns in COMPOSITE_UNIQUE.items():
-        add(
-            f"unique_composite_key {model}", quality.composite_duplicates(tables[model], columns)
-        )
-    add(
-        "accepted_values stg_311_requests.borough",
-        quality.unaccepted_values(tables["stg_311_requests"], "borough", ACCEPTED_BOROUGHS),
-    )
-    for child, column, parent, field in RELATIONSHIPS:
-        add(
-            f"relationships {child}.{column} {parent}.{field}",
-            quality.orphans(tables[child], column, tables[parent], field),
-            F.sum("row_count"),
-        )
-    add(
-        "shares_total_100 fct_borough_complaint_mix",
-        quality.shares_off_total(tables["fct_borough_complaint_mix"]),
+    failing = F.when(F.col("test").startswith("relationships"), F.when(F.col("parents") == 0, F.col("rows"))).when(
+        F.col("test").startswith("accepted_values") | (F.col("rows") > 1), F.lit(1)
     )
-    add(
-        "time_order_flag int_complaints_flagged",
-        quality.wrong_time_order_flags(tables["int_complaints_flagged"]),
-    )
-
-    parts = not_null_report(tables) + [
-        frame.select(F.lit(test).alias("test"), "failures") for test, frame in counts
+    by_value = values(tables).groupBy("test").agg(F.sum(failing).alias("failures"))
+    names = [f"unique {m}.{c}" for m, columns in UNIQUE.items() for c in columns]
+    names += [f"unique_composite_key {m}" for m in COMPOSITE_UNIQUE]
+    names += ["accepted_values stg_311_requests.borough", *[relationship(*r) for r in RELATIONSHIPS]]
+    # Tests that no value speaks to pass; the declared names are a row each.
+    some = tables["stg_311_requests"].sparkSession.range(1)
+    declared = some.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("test"))
+    by_value = declared.join(by_value, "test", "left")
+    shares = quality.shares_off_total(tables["fct_borough_complaint_mix"]).agg(F.count("*").alias("failures"))
+    parts = [
+        _conditions(tables),
+        by_value.select("test", F.coalesce("failures", F.lit(0)).alias("failures")),
+        shares.select(F.lit("shares_total_100 fct_borough_complaint_mix").alias("test"), "failures"),
     ]
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)

@@ -14,11 +14,11 @@ from wardbook.plans.registry import (
     EVENT_RANGE,
     TARGET_DATE,
     TOLERANCES,
+    TOP_TYPES,
     UNIQUE_COLUMNS,
 )
 from wardbook.schema import (
     CASE_KEPT_COLUMNS,
-    JSON_COLUMNS,
     RAW_COLUMNS,
     TIMESTAMP_COLUMNS,
     UPPER_COLUMNS,
@@ -50,8 +50,8 @@ base AS (
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  JOIN supplier ON s_suppkey = o_orderkey % 10
-  JOIN part ON p_partkey = o_orderkey % 200
+  JOIN supplier ON s_suppkey = o_orderkey % (SELECT count(*) FROM supplier)
+  JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)
 ),
 dated AS (
   SELECT *, CASE WHEN st = 'F' OR k % 20 = 0 THEN created + to_seconds((k * 104729) % 2592000)
@@ -145,11 +145,27 @@ def _hash(parts: list[str], null_text: str) -> str:
     return "md5(" + " || '|' || ".join(f"coalesce({p}, '{null_text}')" for p in parts) + ")"
 
 
-LOCATION_PARTS = (
-    "city borough landmark street_name incident_zip park_borough cross_street_1 cross_street_2 "
-    "intersection_street_1 intersection_street_2 incident_address park_facility_name latitude "
-    "longitude x_coordinate_state_plane y_coordinate_state_plane community_board council_district"
-).split()
+# Fixed values.
+LOCATION_PARTS = [
+    "city",
+    "borough",
+    "landmark",
+    "street_name",
+    "incident_zip",
+    "park_borough",
+    "cross_street_1",
+    "cross_street_2",
+    "intersection_street_1",
+    "intersection_street_2",
+    "incident_address",
+    "park_facility_name",
+    "latitude",
+    "longitude",
+    "x_coordinate_state_plane",
+    "y_coordinate_state_plane",
+    "community_board",
+    "council_district",
+]
 
 
 def _staging(source: str, columns: list[str]) -> str:
@@ -185,7 +201,13 @@ def _date_id(column: str) -> str:
 
 
 DATES = "unnest([created_date, closed_date, resolution_action_updated_date])"
-CRITICAL = "location_id complaint_type_id agency_id status_id".split()
+# Fixed values.
+CRITICAL = [
+    "location_id",
+    "complaint_type_id",
+    "agency_id",
+    "status_id",
+]
 INVALID = "coalesce(closed_at < created_at, false)"
 MISMATCH = "coalesce(closed_at >= created_at AND status <> 'CLOSED', false)"
 
@@ -241,10 +263,16 @@ flagged AS (
   FROM fct_complaint LEFT JOIN dim_status USING (status_id)
 )"""
 
-FLAG_NAMES = (
-    "invalid_time_order missing_critical_fields missing_location_id missing_complaint_type_id "
-    "missing_agency_id missing_status_id closed_at_status_mismatch"
-).split()
+# Fixed values.
+FLAG_NAMES = [
+    "invalid_time_order",
+    "missing_critical_fields",
+    "missing_location_id",
+    "missing_complaint_type_id",
+    "missing_agency_id",
+    "missing_status_id",
+    "closed_at_status_mismatch",
+]
 VALID = "closed_at IS NOT NULL AND created_at IS NOT NULL AND is_invalid_time_order = 0"
 SECONDS = "date_sub('second', created_at, closed_at)"
 
@@ -260,10 +288,12 @@ def _quantile(q: float, where: str) -> str:
     return f"quantile_disc(resolution_hours, {q}) FILTER (WHERE {where})"
 
 
+# Fixed values.
 QUANTILE_NAMES = {"median": 0.5, "p90": 0.9, "p95": 0.95}
 FLAG_COUNTS = ", ".join(
     f"CAST(sum(is_{f}) AS BIGINT) AS {f}_count" for f in FLAG_NAMES
 )
+# Fixed values.
 PARTS_OF_DAY = {
     "morning": "6 AND 11",
     "afternoon": "12 AND 17",
@@ -345,8 +375,7 @@ SQL_NAMES = {
     "fct_borough_complaint_mix": "mix",
 }
 
-MODEL_COLUMNS = [c for c in RAW_COLUMNS if c not in JSON_COLUMNS]
-STG = _staging("raw", MODEL_COLUMNS)
+STG = _staging("raw", RAW_COLUMNS)
 DOUBLE_COORDINATES = (
     "* REPLACE (CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude)"
 )
@@ -484,12 +513,23 @@ page_rows AS (
 
 def _event_raw() -> str:
     """Event rows as raw request rows, fields the records lack as NULL."""
-    known = (
-        "created_date closed_date resolution_action_updated_date agency agency_name complaint_type "
-        "descriptor status open_data_channel_type borough incident_zip latitude longitude"
-    ).split()
+    known = [
+        "created_date",
+        "closed_date",
+        "resolution_action_updated_date",
+        "agency",
+        "agency_name",
+        "complaint_type",
+        "descriptor",
+        "status",
+        "open_data_channel_type",
+        "borough",
+        "incident_zip",
+        "latitude",
+        "longitude",
+    ]
     columns = []
-    for c in MODEL_COLUMNS:
+    for c in RAW_COLUMNS:
         if c == "unique_key":
             columns.append("CAST(event_id AS VARCHAR) AS unique_key")
         else:
@@ -538,6 +578,24 @@ merged AS (
 )""",
             select=_latest("merged", "unique_key, created_date, agency, status", in_page_order),
         ),
+        "raw_upsert_table": """
+WITH changed AS (
+  SELECT o_orderkey AS k, o_orderdate AS t, o_orderstatus AS s,
+    date_trunc('month', o_orderdate) = DATE '1996-01-01' AS january FROM orders
+), after AS (
+  SELECT k, (k % 3 = 0 OR k % 5 = 0 OR k % 101 = 0 OR january) AS second, t, s, january FROM changed
+), stored AS (
+  SELECT CAST(k AS VARCHAR) AS unique_key,
+    CASE WHEN second AND k % 101 = 0 THEN NULL WHEN january THEN t + INTERVAL 1 MONTH
+         WHEN k % 5 = 0 THEN t + INTERVAL 40 DAY ELSE t END AS created_date,
+    CASE WHEN second THEN 'run 2' WHEN k % 7 = 0 THEN 'page 1' ELSE s END AS status
+  FROM after
+)
+SELECT *, CAST(created_date AS DATE) AS created_day FROM stored""",
+        "raw_probe_reset": """
+SELECT count(*) AS row_count, 'raw_311_requests' AS table_name FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL
+SELECT count(*), 'raw_311_requests_probe' FROM orders WHERE o_orderkey % 4 = 0""",
         "raw_gate": _raw(
             "SELECT CAST(35 AS BIGINT) AS field_count, count(*) AS row_count FROM raw"
         ),
@@ -568,7 +626,7 @@ merged AS (
         "backfill_daily": _with(
             EVENT_ROWS,
             _event_raw(),
-            _staging("event_raw", MODEL_COLUMNS),
+            _staging("event_raw", RAW_COLUMNS),
             CORE,
             MARTS,
             select="SELECT * FROM daily",
@@ -615,17 +673,23 @@ merged AS (
         "created_vs_closed": _marts("SELECT metric_date, created_count, closed_count FROM daily"),
         "top_complaint_types": _marts(
             "SELECT complaint_type, CAST(sum(total_requests) AS BIGINT) AS total_requests FROM mix"
-            " GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
+            f" GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {TOP_TYPES}"
         ),
         "dq_not_null": _stg(
             _union(
                 [
                     f"SELECT '{c}' AS column_name, count(*) AS failures FROM stg WHERE {c} IS NULL"
                     for c in [
-                        *MODEL_COLUMNS,
-                        *"location_key agency_key complaint_type_key status_key channel_key".split(),
-                        *"created_day closed_day".split(),
-                        *"invalid_close_before_create valid_lat_long".split(),
+                        *RAW_COLUMNS,
+                        "location_key",
+                        "agency_key",
+                        "complaint_type_key",
+                        "status_key",
+                        "channel_key",
+                        "created_day",
+                        "closed_day",
+                        "invalid_close_before_create",
+                        "valid_lat_long",
                     ]
                 ]
             )

@@ -22,11 +22,25 @@ from wardbook.plans.marts import resolution_by
 from wardbook.plans.reports import created_vs_closed, rows_per_day, top_complaint_types
 from wardbook.plans.staging import stage_requests
 from wardbook.plans.warehouse import MODELS, Warehouse
-from wardbook.schema import CASE_KEPT_COLUMNS, JSON_COLUMNS, RAW_COLUMNS, UPPER_COLUMNS
+from wardbook.schema import CASE_KEPT_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, UPPER_COLUMNS
 from wardbook.sources import fixture
-from wardbook.sources.folders import scratch_folder
-from wardbook.sources.pages import normalized, page_rows, write_pages
-from wardbook.sources.raw_table import PRODUCTION_TABLE, raw_gate, raw_table_path, read_raw
+from wardbook.sources.folders import scratch_folder, state
+from wardbook.sources.pages import (
+    PAGE_SIZE,
+    normalized,
+    page_rows,
+    write_page_lines,
+    write_pages,
+)
+from wardbook.sources.raw_table import (
+    PRODUCTION_TABLE,
+    RAW_TABLES,
+    raw_gate,
+    raw_table_path,
+    read_raw,
+    reset_probe,
+    upsert,
+)
 from wardbook.streaming.ingest import stream_pages
 
 Query = Callable[["Inputs"], DataFrame]
@@ -39,14 +53,16 @@ EVENT_RANGE = ("2024-01-01", "2024-01-31")
 UNIQUE_COLUMNS = ["unique_key", "location_key", "complaint_type_key", "status_key"]
 ACCEPTED_STATUS = ["OPEN", "CLOSED"]
 TOLERANCES = ["1.00", "0.00"]
+PAGE_CAP = 3
+STREAM_BATCHES = 3
+TOP_TYPES = 5  # the test tables have seven
 
 
 class Inputs:
     """The test tables of one folder and the model tables built from them.
 
     The models are materialised as the published ones are: staging, core and marts
-    are written once, into the shared folder, when the first query needs them. The
-    JSON payload is left out, since nothing after staging reads it.
+    are written once, into the shared folder, when the first query needs them.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -63,7 +79,7 @@ class Inputs:
 
     @cached_property
     def warehouse(self) -> Warehouse:
-        return Warehouse(scratch_folder(self.spark, "models"), self.raw.drop(*JSON_COLUMNS))
+        return Warehouse(scratch_folder(self.spark, "models"), self.raw)
 
     def table(self, name: str) -> DataFrame:
         return self.warehouse.table(name)
@@ -72,9 +88,11 @@ class Inputs:
         return fixture.read_table(self.spark, self.sf_dir, name)
 
 
-# One set of model tables per application, input folder and session zone. The folders are
-# read-only; a plan keeps the zone it was analysed under.
-_INPUTS: dict[tuple[str, ...], Inputs] = {}
+TABLES = ["orders", "customer", "nation", "region", "supplier", "part", "events"]
+
+# One set of model tables per application, input folder, state of its files and session
+# zone: a plan keeps the zone it was analysed under.
+_INPUTS: dict[tuple, Inputs] = {}
 
 
 def bind() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -83,7 +101,7 @@ def bind() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(query: Query) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             zone = spark.conf.get("spark.sql.session.timeZone")
-            key = (spark.sparkContext.applicationId, sf_dir, zone)
+            key = (spark.sparkContext.applicationId, sf_dir, zone, state(spark, sf_dir, TABLES))
             if key not in _INPUTS:
                 _INPUTS[key] = Inputs(spark, sf_dir)
             return _plain_numbers(query(_INPUTS[key]))
@@ -140,7 +158,7 @@ def _raw_normalized(i: Inputs) -> DataFrame:
 
 @query("raw_page_cap")
 def _raw_page_cap(i: Inputs) -> DataFrame:
-    rows = first_pages(fixture.event_records(i.spark, i.sf_dir, F.col("event_id")))
+    rows = first_pages(fixture.event_records(i.spark, i.sf_dir, F.col("event_id")), PAGE_CAP)
     return rows.select(
         "page_no",
         "pos",
@@ -197,12 +215,78 @@ def _raw_rows_per_day(i: Inputs) -> DataFrame:
     return rows_per_day(i.raw, *DAY_RANGE)
 
 
+STORED_ORDER = ["unique_key", "created_date", "status", "created_day"]
+
+
+def _order_rows(i: Inputs, page: int, kept: str = "true") -> DataFrame:
+    """Orders as raw rows of one page, in all columns; those that an expression keeps."""
+    known = {
+        "unique_key": F.col("o_orderkey").cast("string"),
+        "created_date": F.col("o_orderdate"),
+        "agency": F.col("o_orderpriority"),
+        "status": F.col("o_orderstatus"),
+    }
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in RAW_SCHEMA if f.name not in known}
+    return (
+        i.read("orders")
+        .where(kept)
+        .withColumns(known | missing)
+        .select(*RAW_COLUMNS, F.lit(page).cast("bigint").alias("page_no"), F.col("o_orderkey").alias("pos"))
+    )
+
+
+@query("raw_upsert_table")
+def _raw_upsert_table(i: Inputs) -> DataFrame:
+    """A stored table of all orders, upserted twice and read back.
+
+    The second run closes every third order, moves every fifth by 40 days, takes its
+    creation time from every 101st, and moves all orders of January 1996 to February, so
+    days gain rows, lose some, and are emptied. A later call of the first run's page 1
+    changes nothing but orders the second run left alone.
+    """
+    path = raw_table_path(scratch_folder(i.spark, "upsert"), PRODUCTION_TABLE)
+    upsert(i.spark, path, _order_rows(i, 0), run_no=1)
+    k = F.col("unique_key").cast("bigint")
+    january = F.date_trunc("month", "created_date") == F.lit("1996-01-01").cast("timestamp")
+    moved = (
+        F.when(k % 101 == 0, F.lit(None).cast("timestamp_ntz"))
+        .when(january, F.add_months("created_date", 1).cast("timestamp_ntz"))
+        .when(k % 5 == 0, F.timestamp_add("DAY", F.lit(40), F.col("created_date")))
+        .otherwise(F.col("created_date"))
+    )
+    changed = _order_rows(i, 0).where((k % 3 == 0) | (k % 5 == 0) | (k % 101 == 0) | january)
+    changed = changed.withColumns({"created_date": moved, "status": F.lit("run 2")})
+    upsert(i.spark, path, changed, run_no=2)
+    upsert(i.spark, path, _order_rows(i, 1, "o_orderkey % 7 = 0").withColumn("status", F.lit("page 1")), run_no=1)
+    return read_raw(i.spark, path).select(*STORED_ORDER)
+
+
+@query("raw_probe_reset")
+def _raw_probe_reset(i: Inputs) -> DataFrame:
+    """(table_name, row_count) after both tables took half of the orders, the probe was reset,
+    and both took the first quarter again."""
+    root = scratch_folder(i.spark, "probe")
+    paths = {t: raw_table_path(root, t) for t in RAW_TABLES}
+    for path in paths.values():
+        upsert(i.spark, path, _order_rows(i, 0, "o_orderkey % 2 = 0"), run_no=1)
+    reset_probe(i.spark, root, test=False, reset=True)
+    reset_probe(i.spark, root, test=True, reset=True)
+    for path in paths.values():
+        upsert(i.spark, path, _order_rows(i, 0, "o_orderkey % 4 = 0"), run_no=2)
+    return _labelled("table_name", {t: raw_gate(read_raw(i.spark, p)).select("row_count") for t, p in paths.items()})
+
+
 @query("stream_ingest")
 def _stream_ingest(i: Inputs) -> DataFrame:
+    """Pages of events in three batches or more; users come back in later ones."""
     root = scratch_folder(i.spark, "stream")
     records = fixture.event_records(i.spark, i.sf_dir, F.col("user_id"))
     write_pages(records, f"{root}/pages")
-    stream_pages(i.spark, f"{root}/pages", root, f"{root}/progress", run_no=1).awaitTermination()
+    last = i.read("events").agg(F.max("event_id")).first()[0]
+    files = max(1, (last // PAGE_SIZE + 1) // STREAM_BATCHES)
+    stream_pages(
+        i.spark, f"{root}/pages", root, f"{root}/progress", pages_per_batch=files, run_no=1
+    ).awaitTermination()
     stored = read_raw(i.spark, raw_table_path(root, PRODUCTION_TABLE))
     return stored.select(
         "unique_key",
@@ -217,12 +301,15 @@ def _stream_ingest(i: Inputs) -> DataFrame:
 
 @query("backfill_daily")
 def _backfill_daily(i: Inputs) -> DataFrame:
+    """Files of many pages, ingested, built, tested, published and opened again."""
     root = scratch_folder(i.spark, "backfill")
     records = fixture.event_records(i.spark, i.sf_dir, F.col("event_id"))
-    write_pages(records, f"{root}/pages")
+    write_page_lines(records, f"{root}/pages")
     first, last = EVENT_RANGE
-    backfill(i.spark, f"{root}/pages", root, start_date=first, end_date=last, run_no=1)
-    return i.spark.read.parquet(f"{root}/fct_daily_metrics")
+    backfill(
+        i.spark, f"{root}/pages", root, start_date=first, end_date=last, many_pages_a_file=True, run_no=1
+    )
+    return Warehouse.opened(i.spark, root).table("fct_daily_metrics")
 
 
 # Staging and its expressions
@@ -306,7 +393,7 @@ def _created_and_closed(i: Inputs) -> DataFrame:
 
 @query("top_complaint_types")
 def _top_types(i: Inputs) -> DataFrame:
-    return top_complaint_types(i.table("fct_borough_complaint_mix"))
+    return top_complaint_types(i.table("fct_borough_complaint_mix"), TOP_TYPES)
 
 
 # Data checks, on inputs that do hold violations
@@ -336,12 +423,9 @@ def _dq_accepted_values(i: Inputs) -> DataFrame:
 
 @query("dq_relationships")
 def _dq_relationships(i: Inputs) -> DataFrame:
-    parts = {}
-    for child, column, parent, field in model_tests.RELATIONSHIPS:
-        found = quality.orphans(i.table(child), column, i.table(parent), field)
-        as_text = F.col("from_field").cast("string")
-        parts[f"{child}.{column}"] = found.withColumn("from_field", as_text)
-    return _labelled("reference", parts)
+    found = model_tests.orphans({name: i.table(name) for name in MODELS})
+    # The child's column, from "relationships child.column parent.column".
+    return found.select("from_field", "row_count", F.split("test", " ")[1].alias("reference"))
 
 
 @query("dq_composite_key")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from wardbook.plans import core, flags, marts, staging
+from wardbook.schema import RAW_SCHEMA
 from wardbook.sources.folders import written
+from wardbook.sources.versions import current, publish
 
 
 @dataclass(frozen=True)
@@ -45,15 +48,38 @@ STAGING = ["stg_311_requests"]
 CORE = [name for name, model in MODELS.items() if model.inputs == ("stg_311_requests",)]
 MARTS = ["fct_daily_metrics", "fct_monthly_metrics", "fct_borough_complaint_mix"]
 BUILD_THREADS = 4
+MODEL_FOLDER = "models"
 
 
 class Warehouse:
-    """Model tables over one raw input, each written once when first asked for."""
+    """Model tables over one raw input, each written once when first asked for.
+
+    A warehouse writes to a build folder of its own under root. Nothing that is
+    published changes until publish(), which makes all tables of the build the current
+    ones at once.
+    """
 
     def __init__(self, root: str, raw: DataFrame):
         self.root = root.rstrip("/")
+        self.build = f"build-{uuid.uuid4().hex}"
         self._frames: dict[str, DataFrame] = {RAW: raw}
 
+    @classmethod
+    def opened(cls, spark: SparkSession, root: str) -> Warehouse:
+        """The published tables, as they were written; nothing is built."""
+        build = (current(spark, f"{root.rstrip('/')}/{MODEL_FOLDER}") or {}).get("build")
+        if build is None:
+            raise RuntimeError(f"There is no published warehouse at {root}")
+        found = cls(root, spark.createDataFrame([], RAW_SCHEMA))
+        found.build = build
+        for name, model in MODELS.items():
+            if not model.is_view:
+                found._frames[name] = spark.read.parquet(found.path(name))
+        return found
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{MODEL_FOLDER}/{self.build}/{name}"
+
     def plan(self, name: str) -> DataFrame:
         """The model over its inputs, not written itself."""
         model = MODELS[name]
@@ -64,7 +90,7 @@ class Warehouse:
         if name not in self._frames:
             frame = self.plan(name)
             if not MODELS[name].is_view:
-                frame = written(frame, f"{self.root}/{name}", "overwrite")
+                frame = written(frame, self.path(name))
             self._frames[name] = frame
         return self._frames[name]
 
@@ -75,6 +101,11 @@ class Warehouse:
                 list(pool.map(self.table, layer))
         return {name: self.table(name) for name in MODELS}
 
+    def publish(self) -> None:
+        """Make this build, which must be complete, the published one."""
+        spark = self._frames[RAW].sparkSession
+        publish(spark, f"{self.root}/{MODEL_FOLDER}", {"build": self.build})
+
     def create_views(self) -> None:
         """Temp views under the model names, for SQL."""
         for name in MODELS:

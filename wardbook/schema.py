@@ -55,13 +55,27 @@ CASE_KEPT_COLUMNS = [
     "y_coordinate_state_plane",
 ]
 COORDINATE_COLUMNS = ["latitude", "longitude"]
-JSON_COLUMNS = ["location", "raw_json"]
 
-UNCLEANED_COLUMNS = ["unique_key", *TIMESTAMP_COLUMNS, *COORDINATE_COLUMNS, *JSON_COLUMNS]
 UPPER_COLUMNS = [
-    c
-    for c in RAW_COLUMNS
-    if c not in UNCLEANED_COLUMNS and c not in CASE_KEPT_COLUMNS and c != "borough"
+    "agency",
+    "agency_name",
+    "complaint_type",
+    "descriptor",
+    "descriptor_2",
+    "status",
+    "open_data_channel_type",
+    "incident_address",
+    "street_name",
+    "cross_street_1",
+    "cross_street_2",
+    "intersection_street_1",
+    "intersection_street_2",
+    "landmark",
+    "city",
+    "community_board",
+    "police_precinct",
+    "park_borough",
+    "park_facility_name",
 ]
 
 # What a missing borough or complaint type is called.

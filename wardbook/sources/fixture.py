@@ -9,12 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.operators.joins import broadcast_up_to
 from wardbook.schema import RAW_COLUMNS, TIMESTAMP_COLUMNS
 from wardbook.sources.pages import PAGE_SIZE
 
-SUPPLIERS = 10
-PARTS = 200
 DAY_SECONDS = 86_400
 MONTH_SECONDS = 30 * DAY_SECONDS
 
@@ -23,26 +20,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(rows: DataFrame, scan: DataFrame) -> DataFrame:
-    """rows over every core, where the scan behind them has fewer splits than cores.
-
-    Only an input of few splits is shuffled for it; a large one is left as it is read.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if scan.rdd.getNumPartitions() < cores else rows
-
-
 def _after(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
 
-def _lookups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    # k % SUPPLIERS and k % PARTS can name no other rows than these.
-    supplier = read_table(spark, sf_dir, "supplier").where(
-        F.col("s_suppkey").between(0, SUPPLIERS - 1)
-    )
-    part = read_table(spark, sf_dir, "part").where(F.col("p_partkey").between(0, PARTS - 1))
-    return broadcast_up_to(SUPPLIERS, supplier), broadcast_up_to(PARTS, part)
+def _row_of(table: DataFrame, k: Column) -> Column:
+    """The key, from 0 up, of the row of a lookup table that belongs to k."""
+    return k % table.agg(F.count("*")).scalar()
 
 
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +34,7 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation, region = (
         read_table(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")
     )
-    supplier, part = _lookups(spark, sf_dir)
+    supplier, part = (read_table(spark, sf_dir, t) for t in ("supplier", "part"))
     homes = (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -58,9 +42,10 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     base = (
         orders.withColumn("k", F.col("o_orderkey"))
+        .withColumns({"its_supplier": _row_of(supplier, F.col("k")), "its_part": _row_of(part, F.col("k"))})
         .join(homes, F.col("o_custkey") == F.col("c_custkey"))
-        .join(supplier, F.col("k") % SUPPLIERS == F.col("s_suppkey"))
-        .join(part, F.col("k") % PARTS == F.col("p_partkey"))
+        .join(supplier, F.col("its_supplier") == F.col("s_suppkey"))
+        .join(part, F.col("its_part") == F.col("p_partkey"))
     )
 
     k = F.col("k")
@@ -80,7 +65,7 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         (status == "F") | every(20), _after(created, (k * 104729) % MONTH_SECONDS)
     ).when((status == "P") & (k % 10 == 1), _after(created, -3600 * (1 + k % 24)))
 
-    dated = _spread(base, orders).withColumns({"created_date": created, "closed_date": closed})
+    dated = base.withColumns({"created_date": created, "closed_date": closed})
     columns = {
         "unique_key": text,
         "created_date": F.col("created_date"),
@@ -202,7 +187,7 @@ def event_records(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
         "source_field": F.lit("kept in raw_json only"),
     }
     events = read_table(spark, sf_dir, "events")
-    return _spread(events, events).select(
+    return events.select(
         F.floor(event_id / PAGE_SIZE).cast("bigint").alias("page_no"),
         (event_id % PAGE_SIZE).alias("pos"),
         F.to_json(F.struct(*[e.alias(name) for name, e in fields.items()])).alias("record"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -17,13 +18,13 @@ def _local_folder(_application: str) -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from spark.checkpoint.dir.
 
-    Only a local session without the setting gets a temporary folder: there the one
-    machine is all there is.
+    Only a session of one process (master local or local[...]) without the setting gets a
+    temporary folder: there the one machine is all there is.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return _local_folder(spark.sparkContext.applicationId)
     raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
 
@@ -43,12 +44,50 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def state(spark: SparkSession, folder: str, tables: list[str]) -> tuple:
+    """Size and time of each table in a folder: another state means other rows."""
+    found = []
+    for table in tables:
+        fs, path = _hadoop(spark, f"{folder}/{table}.parquet")
+        if fs.exists(path):
+            size = fs.getContentSummary(path).getLength()
+            found.append((table, size, fs.getFileStatus(path).getModificationTime()))
+    return tuple(found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder if it is there."""
     fs, hadoop_path = _hadoop(spark, path)
     fs.delete(hadoop_path, True)
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder, sorted; none if it is not there."""
+    fs, path = _hadoop(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _hadoop(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that readers see whole or not at all: it is renamed into place."""
+    beside = f"{path}.{uuid.uuid4().hex}.tmp"
+    fs, hadoop_path = _hadoop(spark, beside)
+    stream = fs.create(hadoop_path)
+    stream.writeBytes(text)
+    stream.close()
+    if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        fs.delete(hadoop_path, False)
+        raise FileExistsError(path)
+
+
 def written(rows: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """rows written as Parquet and read back: later plans see their size, not their lineage."""
     rows.write.mode(mode).parquet(path)

@@ -1,8 +1,13 @@
-"""The raw request table: Parquet, one folder per created day, one row per unique_key."""
+"""The raw request table: Parquet, one folder per created day, one row per unique_key.
+
+A change writes the days it touches to a version folder of its own, and a manifest that is
+published afterwards says which version of each day holds.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +15,8 @@ from pyspark.sql import functions as F
 from wardbook.functions.dates import day
 from wardbook.operators.latest import arrival_order, latest_per_key
 from wardbook.schema import ARRIVAL_COLUMNS, PARTITION_COLUMN, RAW_COLUMNS, STORED_SCHEMA
-from wardbook.sources.folders import exists, remove, scratch_folder, written
+from wardbook.sources.folders import names, remove, written
+from wardbook.sources.versions import current, publish
 
 # The tables an ingest may write to.
 PRODUCTION_TABLE = "raw_311_requests"
@@ -28,8 +34,8 @@ def raw_table_path(root: str, table: str) -> str:
 
 
 def create_if_missing(spark: SparkSession, path: str) -> None:
-    if not exists(spark, path):
-        _write(spark.createDataFrame([], STORED_SCHEMA), path, "errorifexists")
+    if current(spark, path) is None:
+        publish(spark, path, {})
 
 
 def reset_probe(spark: SparkSession, root: str, *, test: bool, reset: bool) -> bool:
@@ -55,7 +61,7 @@ def raw_gate(raw: DataFrame) -> DataFrame:
 
 def check_raw(spark: SparkSession, path: str) -> int:
     """Row count of the raw table; fails if the table is missing or empty."""
-    if not exists(spark, path):
+    if current(spark, path) is None:
         raise RuntimeError(f"There is no raw table at {path}")
     rows = raw_gate(read_raw(spark, path)).first()["row_count"]
     if rows == 0:
@@ -70,29 +76,29 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
     page of the same run or from a later run, so neither the order micro-batches
     arrive in nor a replay changes the result.
 
-    Plain files have no MERGE. Rows for days the table does not have yet are appended.
-    A stored day that gains or loses a row is rewritten: its new content goes to a
-    scratch table first and replaces the day folder from there, so no folder is
-    overwritten while it is being read. An ingest that fails on the way may leave an
-    old version beside the new one; running it again removes the old one.
+    Plain files have no MERGE. Days that gain or lose a row are written anew, each row
+    once, and published together; until then, and if anything fails, the table is as it
+    was. Rows are written in full twice: the parsed batch and the new days.
     """
     create_if_missing(spark, path)
-    scratch = scratch_folder(spark, "upsert")
-
-    # The batch, parsed once. It may hold a key on several pages.
-    arrived = rows.withColumns(
+    scratch = f"{path}/_scratch-{uuid.uuid4().hex}"
+    arrived = rows if "page_file" in rows.columns else rows.withColumn("page_file", F.lit(""))
+    arrived = arrived.withColumns(
         {"run_no": F.lit(run_no).cast("bigint"), PARTITION_COLUMN: day(F.col("created_date"))}
     )
-    batch = written(arrived, f"{scratch}/batch")
-    loaded = batch.count()
-    if loaded:
-        _merge(spark, path, batch, scratch)
-    remove(spark, scratch)
+    try:
+        # The batch, parsed once. It may hold a key on several pages.
+        batch = written(arrived, f"{scratch}/batch")
+        loaded = batch.count()
+        if loaded:
+            _merge(spark, path, batch, scratch)
+    finally:
+        remove(spark, scratch)
     return loaded
 
 
 def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> None:
-    stored = _stored(spark, path)
+    stored, days = _stored(spark, path), current(spark, path)
     # Narrow: key, arrival and day of the stored rows whose key is in the batch. The
     # key bounds let the scan skip row groups, since keys mostly grow with time. Keys
     # are made distinct first, so that many copies of one do not meet in a task.
@@ -103,41 +109,38 @@ def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> No
         .join(batch.select(KEY).distinct(), KEY, "left_semi"),
         f"{scratch}/touched",
     )
-    replacing = written(_replacing(batch, touched), f"{scratch}/replacing")
-    keys = replacing.select(KEY)
-
-    gaining = _days(replacing)
-    losing = _days(touched.join(keys, KEY, "left_semi"))
-    rewritten = _days(stored.where(_on_days(gaining | losing)))
-
-    fresh = gaining - rewritten
-    if fresh:
-        _write(replacing.where(_on_days(fresh)), path, "append")
-    if not rewritten:
-        return
-    kept = stored.where(_on_days(rewritten)).join(keys, KEY, "left_anti")
-    content = kept.unionByName(replacing.where(_on_days(rewritten)))
-    _write(content, f"{scratch}/days", "errorifexists")
-    new_days = _stored(spark, f"{scratch}/days")
-    (
-        new_days.sortWithinPartitions(PARTITION_COLUMN, KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(path)
-    )
-    # Dynamic overwrite leaves a day alone that no row is left for.
-    for emptied in rewritten - _days(new_days):
-        remove(spark, f"{path}/{PARTITION_COLUMN}={emptied or NULL_PARTITION}")
+    winners = written(_replacing(batch, touched), f"{scratch}/winners")
+    keys = winners.select(KEY)
+    changed = _days(winners) | _days(touched.join(keys, KEY, "left_semi"))
+    rewritten = {d for d in changed if _name(d) in days}
+
+    place = [KEY, *ARRIVAL_COLUMNS, "page_file", "pos"]
+    replacing = batch.join(winners.select(*place), place, "left_semi").select(*STORED_SCHEMA.names)
+    kept = stored.where(_on_days(rewritten)).join(keys, KEY, "left_anti").select(*STORED_SCHEMA.names)
+    version = f"version={uuid.uuid4().hex}"
+    _write(kept.unionByName(replacing) if rewritten else replacing, f"{path}/{version}")
+
+    fresh = {n.split("=", 1)[1] for n in names(spark, f"{path}/{version}") if n.startswith(PARTITION_COLUMN)}
+    after = {d: folder for d, folder in days.items() if d not in {_name(c) for c in changed}}
+    publish(spark, path, after | {d: f"{version}/{PARTITION_COLUMN}={d}" for d in fresh})
+
+
+def _name(day_: dt.date | None) -> str:
+    return str(day_) if day_ else NULL_PARTITION
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+    folders = sorted((current(spark, path) or {}).values())
+    if not folders:
+        return spark.createDataFrame([], STORED_SCHEMA)
+    paths = [f"{path}/{folder}" for folder in folders]
+    return spark.read.schema(STORED_SCHEMA).option("basePath", path).parquet(*paths).select(*STORED_SCHEMA.names)
 
 
 def _replacing(batch: DataFrame, touched: DataFrame) -> DataFrame:
-    """The latest batch row per key, if the stored row is not a later arrival."""
-    newest = latest_per_key(batch, KEY, arrival_order()).drop("pos")
+    """Where in the batch the latest row of each key is, if the stored row is no later arrival."""
+    narrow = batch.select(KEY, *ARRIVAL_COLUMNS, "page_file", "pos", "created_date", PARTITION_COLUMN)
+    newest = latest_per_key(narrow, KEY, arrival_order()).drop("created_date")
     latest_stored = latest_per_key(touched, KEY, [F.desc(c) for c in ARRIVAL_COLUMNS])
     stored_arrival = latest_stored.select(KEY, F.struct(*ARRIVAL_COLUMNS).alias("stored_arrival"))
     is_later = F.struct(*ARRIVAL_COLUMNS) >= F.col("stored_arrival")
@@ -158,14 +161,13 @@ def _on_days(days: set[dt.date | None]) -> Column:
     return known | F.col(PARTITION_COLUMN).isNull() if None in days else known
 
 
-def _write(rows: DataFrame, path: str, mode: str) -> None:
+def _write(rows: DataFrame, path: str) -> None:
     # Rebalancing by day gives each day few files; adaptive execution splits a day
     # that is too large for one task and joins days that are small. Writing by day
     # sorts by day anyway; with the key after it, row groups have narrow key ranges.
     (
         rows.hint("rebalance", PARTITION_COLUMN)
         .sortWithinPartitions(PARTITION_COLUMN, KEY)
-        .write.mode(mode)
-        .partitionBy(PARTITION_COLUMN)
+        .write.partitionBy(PARTITION_COLUMN)
         .parquet(path)
     )

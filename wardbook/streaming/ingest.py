@@ -7,8 +7,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from wardbook.operators.selection import by_dates
-from wardbook.sources.pages import normalized, page_number, page_rows
+from wardbook.operators.selection import DEFAULT_OFFSET_DAYS, by_dates
+from wardbook.schema import RAW_SCHEMA
+from wardbook.sources.pages import normalized, page_files, page_lines, page_rows
 from wardbook.sources.raw_table import PRODUCTION_TABLE, raw_table_path, upsert
 
 
@@ -20,12 +21,18 @@ def stream_pages(
     *,
     target_table: str = PRODUCTION_TABLE,
     pages_per_batch: int = 1000,
+    many_pages_a_file: bool = False,
+    target_date: str | None = None,
+    offset_days: int = DEFAULT_OFFSET_DAYS,
     start_date: str | None = None,
     end_date: str | None = None,
     run_no: int | None = None,
 ) -> StreamingQuery:
     """Ingest the pages not seen before and stop; progress_folder remembers which were.
 
+    Pages are remembered for each choice of dates apart, so rows that one run leaves out
+    are still there for a run of other dates, or of none. pages_per_batch counts files.
+
     The keyed upsert takes late and replayed pages as they are, so no watermark or
     state is kept. Micro-batches may come in any page order: rows carry their page.
     Page numbers are compared within a run, so a feed that is resumed should keep its
@@ -34,21 +41,22 @@ def stream_pages(
     path = raw_table_path(root, target_table)
     run = time.time_ns() // 1000 if run_no is None else run_no
 
+    dates = {"target_date": target_date, "offset_days": offset_days, "start_date": start_date, "end_date": end_date}
+    by_dates(spark.createDataFrame([], RAW_SCHEMA), **dates)  # bad dates fail before the start
+    window = f"target-{target_date}-{offset_days}" if target_date else f"range-{start_date}-{end_date}"
+    progress = window if target_date or start_date else "all"
+
     def merge(pages: DataFrame, _batch: int) -> None:
-        rows = normalized(page_rows(pages))
-        upsert(
-            pages.sparkSession, path, by_dates(rows, start_date=start_date, end_date=end_date), run
-        )
-
-    pages = (
-        spark.readStream.option("maxFilesPerTrigger", pages_per_batch)
-        .option("recursiveFileLookup", True)
-        .text(pages_folder, wholetext=True)
-        .select(page_number().alias("page_no"), "value")
-    )
+        upsert(pages.sparkSession, path, by_dates(normalized(page_rows(pages)), **dates), run)
+
+    source = spark.readStream.option("maxFilesPerTrigger", pages_per_batch).option("recursiveFileLookup", True)
+    if many_pages_a_file:
+        pages = page_lines(source.text(pages_folder))
+    else:
+        pages = page_files(source.text(pages_folder, wholetext=True))
     return (
         pages.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", progress_folder)
+        .option("checkpointLocation", f"{progress_folder.rstrip('/')}/{progress}")
         .trigger(availableNow=True)
         .start()
     )
