@@ -41,17 +41,24 @@ def _record(overrides: dict[str, str] | None = None) -> str:
     return f"CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR)"
 
 
+# Materialised, since DuckDB else stops with an internal error of its own ("dictionary
+# column changed identity") where orders' columns meet computed join keys.
 RAW = f"""
+keyed AS MATERIALIZED (
+  SELECT o_orderkey AS k, o_custkey, o_orderstatus AS st, o_orderdate,
+    o_orderkey % (SELECT count(*) FROM supplier) AS its_supplier,
+    o_orderkey % (SELECT count(*) FROM part) AS its_part
+  FROM orders
+),
 base AS (
-  SELECT o_orderkey AS k, o_orderstatus AS st,
-         o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS created,
+  SELECT k, st, o_orderdate + to_seconds((k * 7919) % 86400) AS created,
          s_name, p_name, p_brand, p_type, n_nationkey AS nk, n_name, r_name
-  FROM orders
+  FROM keyed
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  JOIN supplier ON s_suppkey = o_orderkey % (SELECT count(*) FROM supplier)
-  JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)
+  JOIN supplier ON s_suppkey = its_supplier
+  JOIN part ON p_partkey = its_part
 ),
 dated AS (
   SELECT *, CASE WHEN st = 'F' OR k % 20 = 0 THEN created + to_seconds((k * 104729) % 2592000)
