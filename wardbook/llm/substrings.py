@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardbook.llm.tables import kept_table
+from wardbook.llm.tables import bound_batches, kept_table
 from wardbook.llm.words import BASES, Words, lists, pieces, ranges, window_hashes, within, words_of
 
 WINDOW_WORDS = 35
@@ -163,13 +163,13 @@ def _repeated(rows: DataFrame, by: list[str], name: str) -> DataFrame:
     """For each text, the places of its windows that occur more than once in the table.
 
     rows: a text's key, how often it occurs, and lists of hashes and places. Counts are
-    added up before they are shuffled, and the join is dealt by the window alone, so a
-    window that a third of all texts share is split between tasks.
+    added up before they are shuffled, and written: the join then reads both sides by
+    shuffles of its own, and a window that a third of all texts share is split between tasks.
     """
     each = rows.select(*KEY, "m", F.explode(F.arrays_zip(*by, "place")).alias("w")).select(
         *KEY, "m", *[F.col(f"w.{c}").alias(c) for c in by], "w.place"
     )
-    often = each.groupBy(*by).agg(F.sum("m").alias("n")).where("n > 1").select(*by)
+    often = kept_table(each.groupBy(*by).agg(F.sum("m").alias("n")).where("n > 1").select(*by), f"often-{name}", light=True)
     return each.select(*KEY, *by, "place").join(often, by).groupBy(*KEY).agg(F.collect_set("place").alias(name))
 
 
@@ -208,6 +208,7 @@ def deduplicated(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     word is in a repeated window if they are long enough, so both lose all. Other columns
     are carried along; those named as the result's are left out.
     """
+    bound_batches(documents.sparkSession)
     short, middle, full = lengths(window)
     taken = ("text", "k1", "k2", "n_words", "n_removed", "kept_sha256", "hash", "place", "left_sha256")
     carried = [c for c in documents.columns if c.lower() not in taken]

@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardbook.sources.folders import scratch_folder, written
 
 
-def kept_table(rows: DataFrame, purpose: str) -> DataFrame:
-    """rows written once to the folder that all executors share, and read back."""
+def kept_table(rows: DataFrame, purpose: str, light: bool = False) -> DataFrame:
+    """rows written once to the folder that all executors share, and read back.
+
+    light: rows much fewer or shorter than those they were made from, which are written
+    to an eighth of the files, so that small files do not add up.
+    """
+    if light:
+        rows = rows.coalesce(max(1, partitions_of(rows) // 8))
     return written(rows, scratch_folder(rows.sparkSession, f"llm-{purpose}"))
 
 
+#: Rows that Spark hands to Python at once. Its default, 10,000, would hold tens of MB of
+#: text several times over in every task.
+ROWS_AT_ONCE = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches that the session hands to Python from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def partitions_of(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
