@@ -22,6 +22,7 @@ def components(links: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         "links",
+        light=True,
     )
     print_before = None
     while True:
@@ -34,8 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         edges = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = kept_table(edges.where("a != b").distinct(), "large-star")
+        edges = kept_table(edges.where("a != b").distinct(), "large-star", light=True)
         lowest = edges.groupBy("a").agg(F.min("b").alias("low"))
         tied = edges.join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         edges = tied.unionByName(lowest.select("a", F.col("low").alias("b"))).where("a != b").distinct()
-        edges = kept_table(edges, "small-star")
+        edges = kept_table(edges, "small-star", light=True)

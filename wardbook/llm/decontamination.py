@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardbook.llm.tables import bound_batches
 from wardbook.llm.words import NOT_ALNUM, pieces, window_hashes, within, words_of
 
 BITS, BLOCKS = 64, 4
@@ -232,6 +233,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rules: LeakRules = LeakRul
     of it. Repeated rows and repeated items are each reported; an empty table on either
     side gives an empty result. Columns of documents with the result's names are left out.
     """
+    bound_batches(documents.sparkSession)
     carried = [c for c in documents.columns if c.lower() not in ("text", "item_id", "similarity", "first_word")]
     rows = documents.select(*[F.col(f"`{c}`") for c in carried], "text")
     kept = T.StructType(
@@ -264,6 +266,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rules: LeakRules = LeakRul
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, rules: LeakRules = LeakRules()) -> DataFrame:
     """The documents into which no item leaks, in all columns. See leaks() for the cases."""
+    bound_batches(documents.sparkSession)
     for items in item_blocks(benchmark, rules):
 
         def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardbook.llm.tables import bound_batches
 from wardbook.llm.words import pieces
 
 # Elements that begin and end a block of text.
@@ -302,6 +303,7 @@ def extracted(pages: DataFrame, rules: CutRules = CutRules()) -> DataFrame:
     page. Rows are independent, repeated ones alike; other columns are carried along, and
     ones called text or n_chars replaced.
     """
+    bound_batches(pages.sparkSession)
     carried = [c for c in pages.columns if c.lower() not in ("html", "text", "n_chars")]
     rows = pages.select(*[F.col(f"`{c}`") for c in carried], "html")
     kept = rows.drop("html").schema.add("text", "string").add("n_chars", "long")

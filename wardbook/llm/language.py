@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardbook.llm.tables import bound_batches
 from wardbook.llm.words import pieces, ranges, text_bytes
 
 UNDETERMINED = "und"
@@ -205,6 +206,7 @@ def _slopes(values: list[np.ndarray], rows: np.ndarray, labels: np.ndarray, rule
 
 def trained(documents: DataFrame, rules: LanguageRules = LanguageRules()) -> LanguageModel | None:
     """A network from the documents' text and lang; None if no row has both."""
+    bound_batches(documents.sparkSession)
     rows = sample(documents, rules).toArrow().to_pylist()
     rows.sort(key=lambda r: (r["lang"], r["snippet"]))
     return fitted([r["lang"] for r in rows], [r["snippet"] for r in rows], rules)
@@ -218,6 +220,7 @@ def identified(documents: DataFrame, model: LanguageModel | None, keep_text: boo
     point is named. Rows are judged one by one, repeated ones alike. text is left out
     unless keep_text; other columns are carried along, and lang_pred and score replaced.
     """
+    bound_batches(documents.sparkSession)
     taken = ("lang_pred", "score", "__letters") + (() if keep_text else ("text",))
     carried = [c for c in documents.columns if c.lower() not in taken]
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__letters")

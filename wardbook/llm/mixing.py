@@ -60,6 +60,7 @@ def source_targets(sizes: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
             "rooms",
         ),
         "filled",
+        light=True,
     )
     whole = filled.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
     level_here = (F.col("all_size") - (F.col("room_up_to") - F.col("room"))) / (
@@ -96,7 +97,7 @@ def mixed(documents: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
         .withColumn("__order", shuffled),
         "sizes",
     )
-    targets = kept_table(source_targets(sized, rules), "targets")
+    targets = kept_table(source_targets(sized, rules), "targets", light=True)
     queued = kept_table(_queued(sized, targets, rules), "queued")
     served = F.lit(0).cast("long")
     for copy in range(rules.most_copies):

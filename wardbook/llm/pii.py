@@ -195,6 +195,7 @@ def redraws(documents: DataFrame, key: str, draw: Callable[[Column], Column] | N
         .agg(F.min("a.part").alias("part"))
         .withColumn("draw", F.lit(0)),
         "entities",
+        light=True,
     )
     group = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind"))
     originals = state.select(group.alias("of"), F.col("canon").alias("own")).distinct()
@@ -202,12 +203,12 @@ def redraws(documents: DataFrame, key: str, draw: Callable[[Column], Column] | N
         x = drawn(F.struct("kind", "canon", "part"), F.col("draw"), key)
         new = state.withColumn("x", F.array(x)).withColumn("new", F.transform("x", lambda a: draw(a))[0]).drop("x")
         spelled = F.when(F.col("kind").isin("email", "ip"), F.lower("new")).otherwise(_bare(F.col("new")))
-        new = kept_table(new.withColumns({"of": group, "own": spelled}), "draws")
+        new = kept_table(new.withColumns({"of": group, "own": spelled}), "draws", light=True)
         first = new.groupBy("of", "own").agg(F.min(F.struct("draw", "kind", "canon")).alias("first"))
         judged = new.join(first, ["of", "own"]).join(originals.withColumn("real", F.lit(True)), ["of", "own"], "left")
         lost = (F.col("first.canon") != F.col("canon")) | (F.col("first.kind") != F.col("kind")) | F.col("real").isNotNull()
         state = kept_table(
-            judged.select("kind", "canon", "part", (F.col("draw") + lost.cast("int")).alias("draw"), lost.alias("lost")), "judged"
+            judged.select("kind", "canon", "part", (F.col("draw") + lost.cast("int")).alias("draw"), lost.alias("lost")), "judged", light=True
         )
         if state.where("lost").isEmpty():
             return state.where("draw > 0").select("kind", "canon", "draw")
@@ -225,7 +226,7 @@ def pseudonymised(documents: DataFrame, key: str) -> DataFrame:
     """
     carried = [c for c in documents.columns if c.lower() != "n_replaced"]
     rows = documents.select(*[F.col(f"`{c}`") for c in carried])
-    again = kept_table(redraws(rows, key), "redraws")
+    again = kept_table(redraws(rows, key), "redraws", light=True)
     found = rows.withColumn("__found", entities(F.col("text")))
     if again.isEmpty():
         placed = found.withColumn("__draws", F.create_map().cast("map<string,int>"))
@@ -236,7 +237,7 @@ def pseudonymised(documents: DataFrame, key: str) -> DataFrame:
         draws = some.join(again, ["kind", "canon"]).groupBy("__text").agg(
             F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\u0001", "kind", "canon"), "draw"))).alias("__draws")
         )
-        placed = found.withColumn("__text", F.xxhash64("text")).join(kept_table(draws, "text-draws"), "__text", "left").drop("__text")
+        placed = found.withColumn("__text", F.xxhash64("text")).join(kept_table(draws, "text-draws", light=True), "__text", "left").drop("__text")
     draw = lambda a: F.coalesce(
         F.try_element_at("__draws", F.concat_ws("\u0001", a["kind"], a["canon"])), F.lit(0)
     )

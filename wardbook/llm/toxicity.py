@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardbook.llm.tables import bound_batches
 from wardbook.llm.words import NOT_ALNUM, Words, pieces, words_of
 
 # Identity terms, in groups within which they are swapped.
@@ -242,6 +243,7 @@ def _threshold(logits: np.ndarray, y: np.ndarray) -> float:
 
 def trained(documents: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRules()) -> ToxicityModel:
     """A model from the labelled documents; without two labels, one that scores all alike."""
+    bound_batches(documents.sparkSession)
     collected = sample(documents, labels, rules).toArrow().combine_chunks()
     toxic, place = (collected[c].to_numpy().astype(int) for c in ("toxic", "place"))
     order = np.lexsort((place, toxic))
@@ -276,6 +278,7 @@ def scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     score of no words. Every row is scored by itself, repeated ones alike; other columns
     are carried along, and one called score is replaced.
     """
+    bound_batches(documents.sparkSession)
     carried = [c for c in documents.columns if c.lower() not in ("text", "score")]
     rows = documents.select("text", *[F.col(f"`{c}`") for c in carried])
     kept = rows.drop("text").schema.add("score", "double")

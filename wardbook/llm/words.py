@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that a task turns into arrays at once; a longer text makes its own piece.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 #: [^\x20\x09-\x0D]+ : the bytes that separate words.
 BLANKS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
