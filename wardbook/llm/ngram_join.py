@@ -2,13 +2,13 @@
 
 In each run every set of n-grams samples, with a hash all sets share, about two of its own
 n-grams; each is a bucket. Buckets that are too large are split again by a further sample,
-down to a last level. Similar sets choose alike, so a pair meets in some bucket of a run
+down to a last level, unless most of one stays together, as it does if its sets are similar. Similar sets choose alike, so a pair meets in some bucket of a run
 with a known chance, and the runs are repeated until a pair at the threshold is met with
 the target recall. Within buckets all pairs are compared, first by sketch, then exactly.
 
 Equal texts are one set with several copies. A pair that meets in several buckets counts
-in the lowest of them alone, which both sets' lists of buckets tell. Buckets of the last
-level are of any size: they are compared block by block, so that no task holds one.
+in the lowest of them alone, which both sets' lists of buckets tell. Buckets that are not split
+may be of any size: they are compared block by block, so that no task holds one.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.llm.components import components
-from wardbook.llm.tables import kept_table
+from wardbook.llm.tables import bound_batches, kept_table
 from wardbook.llm.words import lists, mix, pieces, window_hashes, within, words_of
 
 KEY = ("k1", "k2")
@@ -38,7 +38,8 @@ class JoinRules:
     words: int = 5
     samples: float = 2.0  # n-grams that a set samples for one bucket, on average
     levels: int = 3
-    bucket: int = 256  # sets of a bucket that is not split, and of a block
+    bucket: int = 256  # sets of a bucket that is not split
+    block: int = 640  # sets of a block, where a bucket is larger
     recall: float = 0.9999  # of pairs at the threshold; more similar ones are met more often
     sketch_distance: int = 48  # bits of 128; a pair at the threshold differs in 19, with a deviation of 4
 
@@ -145,27 +146,40 @@ def _leaves(classes: DataFrame, rules: JoinRules) -> DataFrame:
         F.floor(F.col("s.slots") / rules.levels).cast("int").alias("run"),
         F.col("s.tokens").alias("token"),
     )
-    found = []
-    entries = sampled.where("level = 0").select(*KEY, "run", F.xxhash64("run", "token").alias("path"))
+    found, large = [], None
+    entries = sampled.where("level = 0").select(
+        *KEY, "run", F.xxhash64("run", "token").alias("path"), F.lit(0).cast("long").alias("of"), F.lit(0).cast("long").alias("of_n")
+    )
     for level in range(rules.levels):
-        sizes = entries.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        shared = kept_table(entries.join(sizes, "path"), f"paths-{level}")
-        last = level == rules.levels - 1
-        found.append(shared.select("path", "n", *KEY) if last else shared.where(F.col("n") <= rules.bucket).select("path", "n", *KEY))
-        if not last:
-            tokens = sampled.where(F.col("level") == level + 1).drop("level")
-            entries = (
-                shared.where(F.col("n") > rules.bucket)
-                .join(tokens, [*KEY, "run"])
-                .select(*KEY, "run", F.xxhash64("path", "token").alias("path"))
-            )
+        sizes = entries.groupBy("path", "of", "of_n").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        # Written, so that the joins split a bucket of a third of all sets between tasks.
+        sizes = kept_table(sizes, f"sizes-{level}", light=True)
+        if large is not None:
+            # A bucket that stays mostly together is one of similar sets: it is compared as it is.
+            dense = sizes.groupBy("of", "of_n").agg(F.max("n").alias("most")).where("2 * most >= of_n").select("of")
+            dense = kept_table(dense, f"dense-{level}", light=True)
+            found.append(large.join(dense, large["path"] == dense["of"], "left_semi").select("path", "n", *KEY))
+            sizes = sizes.join(dense, "of", "left_anti")
+        shared = kept_table(entries.drop("of", "of_n").join(sizes.select("path", "n"), "path"), f"paths-{level}", light=level > 0)
+        if level == rules.levels - 1:
+            found.append(shared.select("path", "n", *KEY))
+            break
+        found.append(shared.where(F.col("n") <= rules.bucket).select("path", "n", *KEY))
+        large = shared.where(F.col("n") > rules.bucket)
+        if large.isEmpty():
+            break
+        tokens = sampled.where(F.col("level") == level + 1).drop("level")
+        entries = large.join(tokens, [*KEY, "run"]).select(
+            *KEY, "run", F.xxhash64("path", "token").alias("path"), F.col("path").alias("of"), F.col("n").alias("of_n")
+        )
+        entries = kept_table(entries, f"split-{level}", light=True)
     return reduce(DataFrame.unionByName, found)
 
 
 def _dealt(leaves: DataFrame, rules: JoinRules) -> DataFrame:
     """leaves with block, i and j: a bucket's sets are dealt to blocks, and each pair of
     blocks is a cell. A bucket of up to one block is one cell."""
-    blocks = F.ceil(F.col("n") / rules.bucket).cast("int")
+    blocks = F.ceil(F.col("n") / rules.block).cast("int")
     block = F.pmod(F.xxhash64(*KEY), blocks).cast("int")
     return (
         leaves.withColumn("block", block)
@@ -332,6 +346,7 @@ def text_classes(documents: DataFrame, rules: JoinRules = JoinRules()) -> DataFr
     each such group, that of class_id. Words are separated by ASCII blanks and otherwise
     unchanged. Null and wordless texts have no row.
     """
+    bound_batches(documents.sparkSession)
     rows = keyed(documents.select("doc_id", "text"))
     described = _described(rows.where("k1 IS NOT NULL"), rules)
     classes = kept_table(
@@ -342,12 +357,12 @@ def text_classes(documents: DataFrame, rules: JoinRules = JoinRules()) -> DataFr
         ),
         "classes",
     )
-    leaves = kept_table(_leaves(classes, rules), "leaves")
+    leaves = _leaves(classes, rules)
     met = leaves.groupBy(*KEY).agg(F.array_sort(F.collect_set("path")).alias("paths"))
     members = met.join(classes.select(*KEY, "s1", "s2"), list(KEY))
     cells = _dealt(leaves, rules).join(members, list(KEY))
     near = kept_table(_near(_together(cells.select(*CELL, "block", *KEY, "s1", "s2", "paths")), rules), "near")
-    grams = kept_table(_texts(rows.select(*KEY, "text"), near.select(*KEY).distinct(), rules), "grams")
+    grams = _texts(rows.select(*KEY, "text"), near.select(*KEY).distinct(), rules)
     linked = kept_table(_linked(_together(near.join(grams, list(KEY))), rules), "linked")
     key = F.struct(*KEY)
     tied = components(linked.select(key.alias("a"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("b")))
@@ -379,7 +394,8 @@ def joined(documents: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
     text is in no group: its class_id and rep_id are its own doc_id, with 0 links and 1
     copy. Texts of fewer than five words have one n-gram, of all their words. Repeated
     rows are copies. If all doc_ids of a group are null, so is its class_id. An empty
-    table gives an empty result.
+    table gives an empty result. Columns of documents called k1, k2 or as the result's
+    are left out.
     """
     added = ("class_id", "n_links", "rep_id", "copies")
     carried = [c for c in documents.columns if c.lower() not in (*added, "text", "k1", "k2")]
@@ -402,6 +418,7 @@ def one_of_each(documents: DataFrame, rules: JoinRules = JoinRules()) -> DataFra
     with the same doc_id and text, one stays.
     """
     winners = kept_table(text_classes(documents, rules).where("winner").select(*KEY, "class_id"), "winners")
-    rows = keyed(documents)
-    kept = rows.join(winners, list(KEY)).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).dropDuplicates(list(KEY))
-    return rows.where("k1 IS NULL").drop(*KEY).unionByName(kept.drop(*KEY, "class_id"))
+    rows = keyed(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), "text"))
+    mine = F.col("row")["doc_id"].eqNullSafe(F.col("class_id"))
+    kept = rows.join(winners, list(KEY)).where(mine).dropDuplicates(list(KEY))
+    return rows.where("k1 IS NULL").select("row.*").unionByName(kept.select("row.*"))
