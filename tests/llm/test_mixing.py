@@ -71,8 +71,9 @@ def test_reruns_and_other_partitions_agree(spark):
 
 def test_nulls_empty_texts_and_repeated_rows(spark):
     frame = documents(spark, None, "", "a b c", "a b c", "a b c", ids=[None, 1, 2, 2, None], sources=["s", None, "s", "s", "t"])
-    rows, _ = run(frame.withColumnRenamed("n_chars", "size"))
-    assert len(rows) == 5
+    frame = frame.withColumnRenamed("n_chars", "size").selectExpr("*", "'b' AS before", "'c' AS cut", "1 AS place", "2 AS part")
+    rows, _ = run(frame)
+    assert len(rows) == 5 and {(r["before"], r["cut"], r["place"], r["part"]) for r in rows} == {("b", "c", 1, 2)}
     assert sorted(r["taken"] for r in rows if r["size"] == 0) == [0, 0]
     assert sum(r["taken"] for r in rows) == 9
 

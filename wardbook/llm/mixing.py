@@ -102,8 +102,8 @@ def mixed(documents: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     served = F.lit(0).cast("long")
     for copy in range(rules.most_copies):
         place = _place(F.lit(copy))
-        served = served + F.when(place < F.col("cut.place"), F.col("size")).when(
-            place == F.col("cut.place"), F.col("cut.part")
+        served = served + F.when(place < F.col("__cut.place"), F.col("size")).when(
+            place == F.col("__cut.place"), F.col("__cut.part")
         ).otherwise(F.lit(0).cast("long"))
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), served).otherwise(F.lit(0).cast("long"))
     # The cut is one row.
@@ -114,7 +114,7 @@ def mixed(documents: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
 
 def _place(copy: Column) -> Column:
     """Where a copy of a document stands in the queue: by virtual finish time, then by shuffle."""
-    finish = (copy * F.col("source_size") + F.col("before") + F.col("size")) / F.col("target")
+    finish = (copy * F.col("source_size") + F.col("__before") + F.col("size")) / F.col("target")
     return F.struct(finish.alias("finish"), F.col("__order").alias("order"), F.col("source").alias("source"))
 
 
@@ -144,14 +144,14 @@ def _queued(sized: DataFrame, targets: DataFrame, rules: MixRules) -> DataFrame:
         placed.join(
             before, placed["source"].eqNullSafe(before["__source"]) & (F.col("__bucket") == F.col("__of"))
         )
-        .withColumn("before", F.col("__here") + F.col("__earlier"))
+        .withColumn("__before", F.col("__here") + F.col("__earlier"))
         .join(figures, F.col("source").eqNullSafe(F.col("__owner")))
         .drop("__source", "__of", "__owner", "__here", "__earlier", "__bucket")
     )
 
 
 def _cut(queued: DataFrame, rules: MixRules) -> DataFrame:
-    """One row with a struct `cut`: the place in the queue where the running total reaches
+    """One row with a struct `__cut`: the place in the queue where the running total reaches
     the budget, the words of all documents, and the part that the copy there still gives.
 
     The copies in the queue are light: a place and a size each.
@@ -164,4 +164,4 @@ def _cut(queued: DataFrame, rules: MixRules) -> DataFrame:
     budget = queued.agg(F.sum("size").alias("budget"))
     reached = running.join(F.broadcast(budget)).where(F.col("given") >= F.col("budget"))
     part = (F.col("size") - (F.col("given") - F.col("budget"))).alias("part")
-    return reached.agg(F.min(F.struct("place", part)).alias("cut"))
+    return reached.agg(F.min(F.struct("place", part)).alias("__cut"))

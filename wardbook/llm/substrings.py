@@ -206,7 +206,8 @@ def deduplicated(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     Words are separated by ASCII blanks and otherwise unchanged. A null or empty text has
     no words; a text shorter than the window loses none. Of texts that occur twice, every
     word is in a repeated window if they are long enough, so both lose all. Other columns
-    are carried along; those named as the result's are left out.
+    are carried along; those called k1, k2, hash, place, left_sha256 or as the result's are
+    left out.
     """
     bound_batches(documents.sparkSession)
     short, middle, full = lengths(window)
