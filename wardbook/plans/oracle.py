@@ -587,7 +587,7 @@ merged AS (
         ),
         "raw_upsert_table": """
 WITH changed AS (
-  SELECT o_orderkey AS k, o_orderdate AS t, o_orderstatus AS s,
+  SELECT o_orderkey AS k, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS t, o_orderstatus AS s,
     date_trunc('month', o_orderdate) = DATE '1996-01-01' AS january FROM orders
 ), after AS (
   SELECT k, (k % 3 = 0 OR k % 5 = 0 OR k % 101 = 0 OR january) AS second, t, s, january FROM changed

@@ -219,10 +219,11 @@ STORED_ORDER = ["unique_key", "created_date", "status", "created_day"]
 
 
 def _order_rows(i: Inputs, page: int, kept: str = "true") -> DataFrame:
-    """Orders as raw rows of one page, in all columns; those that an expression keeps."""
+    """Orders as raw rows of one page, created on the first of their month, in all columns;
+    those that an expression keeps."""
     known = {
         "unique_key": F.col("o_orderkey").cast("string"),
-        "created_date": F.col("o_orderdate"),
+        "created_date": F.date_trunc("month", "o_orderdate").cast("timestamp_ntz"),
         "agency": F.col("o_orderpriority"),
         "status": F.col("o_orderstatus"),
     }
