@@ -1,4 +1,5 @@
 import random
+import time
 from itertools import product
 
 from wardbook.llm.extraction import CutRules, blocks_of, extracted, main_text, minimum_cut
@@ -40,6 +41,24 @@ def test_edge_cases():
     assert main_text('<article><a title="' + "x" * 100_000) == ""
 
 
+def test_attribute_values_of_any_length_and_stray_quotes():
+    for quote in "\"'":
+        value = quote + "data:,<b>" + "x" * 10_240 + quote
+        blocks = blocks_of(f"<article><p>one<img src={value}> <b>two</b><div data-props={value}>three</div>four</article>")
+        assert [(b.text, b.element.tag) for b in blocks] == [("one two", "p"), ("three", "div"), ("four", "article")]
+    for value in ('"5" screen"', '"5', "'5", "it's", '"a"b"', 'x"'):
+        blocks = blocks_of(f'<p><a title={value}>one</a> two</p><p class="a" id=\'b\'>three</p>')
+        assert [(b.text, b.linked) for b in blocks] == [("one two", 3), ("three", 0)], value
+    assert main_text("<article>if a<b, c<d then <b title=\"a>b\"class='x'>y</b></article>") == "if a<b, c<d then y"
+
+
+def test_tags_that_never_end_take_linear_time():
+    begun = time.monotonic()
+    for part in ('<a title="', "<a b='<a b=\"", '<a b="x" ', " b=\"<a c='\"", '<p ="'):
+        main_text("<a" + part * 100_000)
+    assert time.monotonic() - begun < 30
+
+
 def test_blocks_and_links():
     blocks = blocks_of("<p>a <a href=x>b c</a> d</p>e<td>f<tr><td>g")
     assert [(b.text, b.element.tag, b.linked) for b in blocks] == [("a b c d", "p", 3), ("e", "#page", 0), ("f", "td", 0), ("g", "td", 0)]

@@ -46,12 +46,19 @@ BOILERPLATE_NAMES = frozenset(
 )
 CONTENT_NAMES = frozenset("article content main post entry story text body prose".split())
 
+# A quote begins a value after = only, and the value, however long, ends at the next such quote
+# that another attribute or the tag's end follows. Other quotes are characters like any other.
+_VALUE_OVER = r"""(?=[\s/>]|[^\s"'<>/=]++=)"""
+_ATTRIBUTES = (
+    r"(?:[^<>=/]++|/(?!>)|=\s*+(?:"
+    r'"[^"]*+"' + _VALUE_OVER + r"|'[^']*+'" + _VALUE_OVER + r"""|[^\s<>"'][^\s<>]*+)?)*+"""
+)
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|object|canvas)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|</?[a-zA-Z][^<>]*\Z"
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^<>"']|"[^"]{0,4096}"|'[^']{0,4096}')*+)/?>""",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>" + _ATTRIBUTES + r")(?:/?>|(?P<open>))",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -138,6 +145,9 @@ def blocks_of(page: str) -> list[Block]:
         tag = m["tag"]
         if tag is None:
             continue
+        if m["open"] is not None:
+            add(m[0])
+            continue
         tag = tag.lower()
         if tag == "br":
             parts.append(" ")
