@@ -52,9 +52,21 @@ def test_attribute_values_of_any_length_and_stray_quotes():
     assert main_text("<article>if a<b, c<d then <b title=\"a>b\"class='x'>y</b></article>") == "if a<b, c<d then y"
 
 
+def test_only_raw_elements_are_dropped():
+    cases = {
+        '<p>one</p><p><svg class="i"/> two</p><p>three</p>': "one|two|three",
+        '<p>one<svg data-x="a>b"><text>no</text></svg> two</p><svg-icon>three</svg-icon>': "one two|three",
+        "<p>one <svg><path d=x><p>two</p><svg><p>three": "one|two|three",
+        "<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be <math/> it</p>": "let x=1 be it",
+        "<noscript><p>one</p></noscript><object data=x><p>two</p></object><canvas>three</canvas>": "one|two|three",
+        '<SCRIPT>"<p>no</script >one<style/>no</style><template><p>no</p></template><textarea>no</textarea><script>no': "one",
+    }
+    assert {page: "|".join(b.text for b in blocks_of(page)) for page in cases} == cases
+
+
 def test_tags_that_never_end_take_linear_time():
     begun = time.monotonic()
-    for part in ('<a title="', "<a b='<a b=\"", '<a b="x" ', " b=\"<a c='\"", '<p ="'):
+    for part in ('<a title="', "<a b='<a b=\"", '<a b="x" ', " b=\"<a c='\"", '<p ="', "><svg"):
         main_text("<a" + part * 100_000)
     assert time.monotonic() - begun < 30
 

@@ -30,9 +30,10 @@ BLOCK_TAGS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav ol option p pre "
     "search section select summary table tbody td tfoot th thead title tr ul".split()
 )
-# Elements without end tag, elements whose content is no markup, and elements
-# that are no part of an article.
+# Elements without end tag, elements whose content is no markup and no text, and
+# elements that are no part of an article.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW_TAGS = frozenset("script style svg template textarea".split())
 ASIDE_TAGS = frozenset("nav footer aside form head title menu dialog button select option fieldset iframe search".split())
 # An element that one of these begins closes an open paragraph or list item.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",)}
@@ -55,12 +56,12 @@ _ATTRIBUTES = (
 )
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|object|canvas)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|</?[a-zA-Z][^<>]*\Z"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>" + _ATTRIBUTES + r")(?:/?>|(?P<open>))",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>" + _ATTRIBUTES + r")(?:(?P<empty>/?)>|(?P<open>))",
     re.DOTALL | re.IGNORECASE,
 )
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW_TAGS}
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -121,6 +122,7 @@ def blocks_of(page: str) -> list[Block]:
     top, found = root, []
     parts: list[str] = []
     linked, in_link, at = 0, False, 0
+    ended_svg = True
 
     def close() -> None:
         nonlocal linked
@@ -138,7 +140,7 @@ def blocks_of(page: str) -> list[Block]:
         if in_link:
             linked += len(text.strip())
 
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
@@ -149,7 +151,17 @@ def blocks_of(page: str) -> list[Block]:
             add(m[0])
             continue
         tag = tag.lower()
-        if tag == "br":
+        if tag in RAW_TAGS:
+            # <svg/> is empty, and the rest of the page is no part of an unclosed svg.
+            if not m["end"] and (tag != "svg" or ended_svg and not m["empty"]):
+                stop = _RAW_END[tag].search(page, at)
+                if stop:
+                    at = stop.end()
+                elif tag == "svg":
+                    ended_svg = False
+                else:
+                    at = len(page)
+        elif tag == "br":
             parts.append(" ")
         elif tag == "a":
             in_link = not m["end"]
@@ -309,9 +321,10 @@ def extracted(pages: DataFrame, rules: CutRules = CutRules()) -> DataFrame:
 
     The whole html is read; null counts as empty, and a page without content has text ''.
     Character references are decoded, white space inside a block becomes one space, and
-    blocks are joined by \\n in page order. Unclosed comments and scripts end with the
-    page. Rows are independent, repeated ones alike; other columns are carried along, and
-    ones called text or n_chars replaced.
+    blocks are joined by \\n in page order. Comments and the content of script, style,
+    template, textarea and svg are no text; unclosed ones end with the page, but an unclosed
+    svg hides nothing. Rows are independent, repeated ones alike; other columns are carried
+    along, and ones called text or n_chars replaced.
     """
     bound_batches(pages.sparkSession)
     carried = [c for c in pages.columns if c.lower() not in ("html", "text", "n_chars")]
