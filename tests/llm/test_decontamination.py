@@ -53,6 +53,16 @@ def test_exact_passages_are_found_wherever_they_are(spark):
     assert all(r["similarity"] == 1.0 for r in got.values())
 
 
+def test_punctuation_and_blanks_beyond_ascii_separate_words(spark):
+    chance = random.Random(7)
+    items = [prose(chance, n) for n in (5, 9, 15, 21, 40)]
+    marks = [("“", "”", " "), ("«\u00a0", "\u00a0»", "\u00a0"), ("—", "…", " – "), ("「", "。", "、"), ("‘", "’", "\u2003")]
+    texts = [prose(chance, 30) + before + blank.join(item.split()) + after + prose(chance, 30) for item in items for before, after, blank in marks]
+    got = found(spark, texts, items)
+    assert set(got) == brute(texts, items) == {(i, i // 5) for i in range(25)}
+    assert all(r["similarity"] == 1.0 for r in got.values())
+
+
 def test_changed_passages_are_found_and_verified_exactly(spark):
     chance = random.Random(2)
     items = [prose(chance, n) for n in (30, 45, 60, 80) * 6]

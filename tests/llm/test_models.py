@@ -137,6 +137,12 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.scored(some.limit(0), model).count() == 0
 
 
+def test_toxic_words_count_in_any_punctuation():
+    words, [buckets, *_] = toxicity._bucketed(pa.array(["so stupid they", "so “stupid” they", "so\u00a0«stupid…» they"]), 1 << 18)
+    assert words.counts.tolist() == [3] * 3
+    assert buckets.tolist() == buckets[:3].tolist() * 3
+
+
 def test_the_sample_is_bounded_and_the_same_in_any_order(spark):
     texts, labels = sentences(random.Random(3), 60, bias=0.2)
     frame = documents(spark, *texts)

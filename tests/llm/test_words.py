@@ -6,7 +6,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from wardbook.llm.words import BASES, NOT_ALNUM, lists, pieces, ranges, window_hashes, within, words_of
+from wardbook.llm.words import BASES, NOT_ALNUM, lists, pieces, plain_words_of, ranges, window_hashes, within, words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab é\n\t\x0b\x1f\x00ß语!", max_size=40)), max_size=6)
@@ -29,6 +29,13 @@ def test_words_without_punctuation():
     assert words.counts.tolist() == [6, 0, 0]
 
 
+def test_plain_words_of_any_script():
+    words = plain_words_of(pa.array(["“Don’t” stop…\u00a0É-mail «№1»", None, "中文。 हिन्दी—e\u0301x_1"]))
+    found = [bytes(words.data[a:b]).decode() for a, b in zip(words.starts, words.ends, strict=True)]
+    assert found == ["don", "t", "stop", "é", "mail", "1", "中文", "हिन्दी", "e\u0301x", "1"]
+    assert words.counts.tolist() == [6, 0, 4]
+
+
 def test_equal_words_and_windows_have_equal_hashes_wherever_they_are():
     chance = random.Random(1)
     texts = [" ".join(chance.choice(["aa", "b", "ccc", "é"]) for _ in range(50)) for _ in range(20)]

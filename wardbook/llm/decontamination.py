@@ -19,13 +19,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardbook.llm.tables import bound_batches
-from wardbook.llm.words import NOT_ALNUM, pieces, window_hashes, within, words_of
+from wardbook.llm.words import pieces, plain_words_of, window_hashes, within
 
 BITS, BLOCKS = 64, 4
 BLOCK_BITS = BITS // BLOCKS
@@ -66,7 +65,7 @@ class Shingles:
 
     @classmethod
     def of(cls, column: pa.Array, length: int) -> Shingles:
-        words = words_of(pc.utf8_lower(column), NOT_ALNUM)
+        words = plain_words_of(column)
         starts, texts = within(words.first, length)
         counts = np.bincount(texts, minlength=len(column))
         return cls(window_hashes(words.hashes(), length)[starts], np.concatenate([[0], np.cumsum(counts)]))

@@ -15,12 +15,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.llm.tables import bound_batches
-from wardbook.llm.words import NOT_ALNUM, Words, pieces, words_of
+from wardbook.llm.words import Words, pieces, plain_words_of
 
 # Identity terms, in groups within which they are swapped.
 IDENTITY_TERMS = (
@@ -66,9 +65,9 @@ class ToxicityModel:
 
 
 def _bucketed(column: pa.Array, of: int) -> tuple[Words, list[np.ndarray]]:
-    """The words of the texts in lower case, without ASCII punctuation, and the buckets of
+    """The words of the texts in lower case, without punctuation, and the buckets of
     each: one of the word, and one of each beginning, for inflected and compound forms."""
-    words = words_of(pc.utf8_lower(column), NOT_ALNUM)
+    words = plain_words_of(column)
     features = [words.hashes(), *words.hashes(*BEGINNINGS)]
     return words, [(f % np.uint64(of)).astype(np.int64) for f in features]
 

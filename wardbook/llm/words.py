@@ -11,14 +11,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that a task turns into arrays at once; a longer text makes its own piece.
 PIECE_BYTES = 1 << 18
 
 #: [^\x20\x09-\x0D]+ : the bytes that separate words.
 BLANKS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
-#: Separators of words without punctuation: every ASCII byte but letters and digits.
+#: Separators of words without punctuation: every ASCII byte but letters and digits, and
+#: beyond ASCII every character but letters, their marks, and digits.
 NOT_ALNUM = bytes(b for b in range(128) if not chr(b).isalnum())
+_NOT_ALNUM_BEYOND = r"[^\x00-\x7F\p{L}\p{M}\p{N}]+"
 
 _FIRST = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xBF58476D1CE4E5B9)
@@ -129,6 +132,11 @@ def words_of(column: pa.Array, separators: bytes = BLANKS) -> Words:
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
+def plain_words_of(column: pa.Array) -> Words:
+    """The words of each text in lower case: its longest runs of letters, with their marks, and digits."""
+    return words_of(pc.replace_substring_regex(pc.utf8_lower(column), _NOT_ALNUM_BEYOND, " "), NOT_ALNUM)
+
+
 def window_hashes(hashes: np.ndarray, length: int, base: int = BASES[0]) -> np.ndarray:
     """64 bits of each run of so many words, by its first word; runs may cross texts."""
     n = len(hashes) - length + 1
