@@ -78,6 +78,24 @@ def test_changed_passages_are_found_and_verified_exactly(spark):
     assert len(got) >= 0.95 * len(expected) and len(expected) > 10
 
 
+def test_all_leaks_are_those_of_brute_force(spark):
+    chance = random.Random(8)
+    items = [prose(chance, n) for n in [9, 14, 20, 28, 34, 50, 75, 104, 150, 204] * 6]
+    items += [("again and again and " * 8 + prose(chance, 20)), prose(chance, 30)]
+    texts = []
+    for item in items:
+        for share in (0.01, 0.02, 0.025, 0.03):
+            words = item.split()
+            for at in chance.sample(range(len(words)), max(1, round(share * len(words)))):
+                words[at] = "other"
+            around = chance.choice((0, 1, 7, 40))
+            texts.append(prose(chance, around) + " " + " ".join(words) + " " + prose(chance, 2 * around))
+        texts.append(" ".join(item.split()[: -(-len(item.split()) * 83 // 100)]))
+    expected = brute(texts, items)
+    assert set(found(spark, texts, items)) == expected
+    assert 100 < len(expected) < len(texts)
+
+
 def test_all_fingerprints_within_the_radius_are_candidates():
     chance = np.random.default_rng(3)
     rules = D.LeakRules()

@@ -3,8 +3,10 @@
 Windows of the items' sizes slide over every document; each has a SimHash of its
 shingles. Fingerprints are cut into blocks, and a table by block value names the items
 within the block's share of the radius: two fingerprints within the radius agree that
-far in one block at least, so no pair within the radius is missed. The candidates are
-verified by the exact weighted similarity of window and item.
+far in one block at least, so no pair within the radius is missed. Fingerprints bound no
+similarity, so the rare shingles of every item, of which each similar window has one, are
+looked up as well; texts without any are done with. The candidates of both are verified by
+the exact weighted similarity of window and item: no leak is missed.
 
 Documents are read where they lie and nothing is shuffled. Items, which are few, are
 sent to the tasks a bounded block at a time; each block is one pass over the documents.
@@ -15,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardbook.llm.tables import bound_batches
-from wardbook.llm.words import pieces, plain_words_of, window_hashes, within
+from wardbook.llm.words import pieces, plain_words_of, ranges, window_hashes, within
 
 BITS, BLOCKS = 64, 4
 BLOCK_BITS = BITS // BLOCKS
 LANES, ONE_EACH = 16, np.uint64(0x0001000100010001)
 WINDOWS_AT_ONCE = 8192
+SEEN_BITS = 22
 
 
 @dataclass(frozen=True)
@@ -81,6 +84,11 @@ class Shingles:
             np.cumsum((self.hashes >> np.uint64(lane)) & ONE_EACH, out=total[lane, 1:])
         return np.ascontiguousarray(total.T)
 
+    def of_texts(self, some: np.ndarray) -> Shingles:
+        """The shingles of these texts alone."""
+        counts = np.diff(self.first)[some]
+        return Shingles(self.hashes[ranges(self.first[some], counts)], np.concatenate([[0], np.cumsum(counts)]))
+
 
 def fingerprints(before: np.ndarray, upto: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """SimHashes of runs of fewer than 2**15 shingles, from the counts of ones before each
@@ -124,6 +132,50 @@ class Index:
                         tables[block, int(value) ^ np.array(flips)] |= kind(1 << place)
                 groups.append((np.array(some[at : at + 64]), part, tables))
             self.classes.append((round(float(np.median(sizes))), groups))
+        self.distinct = [np.unique(s, return_counts=True) for s in items.shingles]
+        self.sizes = np.array([len(s) for s in items.shingles], np.int64)
+        self._index_rare()
+
+    def _index_rare(self) -> None:
+        """Of each item, those shingles that the fewest items have and that outweigh all that
+        a similar window can lack.
+
+        A window of w shingles that shares s with an item of n has s >= r (n + w) / (1 + r) at
+        the least similarity r; w is n, or less in a shorter document, and w >= s, so that
+        s >= r n: it lacks (1 - r) n at most.
+        """
+        every, owners = np.unique(np.concatenate([np.zeros(0, np.uint64), *(d for d, _ in self.distinct)]), return_counts=True)
+        rare, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for at, (shingles, weights) in enumerate(self.distinct):
+            order = np.lexsort((shingles, owners[np.searchsorted(every, shingles)]))
+            lacking = int((1 - self.rules.similarity) * self.sizes[at] + 1e-6)
+            enough = int(np.searchsorted(weights[order].cumsum(), lacking, "right")) + 1
+            rare.append(shingles[order[:enough]])
+            of.append(np.full(len(rare[-1]), at))
+        shingles, of = np.concatenate(rare), np.concatenate(of)
+        order = np.argsort(shingles, kind="stable")
+        self.owners = of[order]
+        self.rare, self.rare_first = np.unique(shingles[order], return_index=True)
+        self.rare_counts = np.diff(np.append(self.rare_first, len(order)))
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
+        self.seen[self.rare >> np.uint64(64 - SEEN_BITS)] = True
+
+    def rare_places(self, texts: Shingles) -> tuple[np.ndarray, np.ndarray]:
+        """Where the texts have a rare shingle of an item, and which."""
+        place = np.flatnonzero(self.seen.take((texts.hashes >> np.uint64(64 - SEEN_BITS)).view(np.int64)))
+        at = np.searchsorted(self.rare, texts.hashes[place])
+        hit = self.rare[np.minimum(at, len(self.rare) - 1)] == texts.hashes[place] if len(place) else np.zeros(0, bool)
+        return place[hit], at[hit]
+
+    def around_rare(self, texts: Shingles) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the parts of a text that hold all windows of an item's size with
+        a rare shingle of it, and the item."""
+        place, at = self.rare_places(texts)
+        items = self.owners[ranges(self.rare_first[at], self.rare_counts[at])]
+        place = np.repeat(place, self.rare_counts[at])
+        of = np.searchsorted(texts.first, place, "right") - 1
+        starts = np.maximum(place - self.sizes[items] + 1, texts.first[of])
+        return starts, np.minimum(place + self.sizes[items], texts.first[of + 1]), items
 
     def candidates(self, texts: Shingles) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Starts and ends of windows and the item that each is within the radius of."""
@@ -161,8 +213,10 @@ class Index:
         """Of each text and item that leak: the text's place, the item's, the similarity and
         the first word of the best window, the first of equals."""
         texts = Shingles.of(column, self.rules.shingle)
+        some = np.unique(np.searchsorted(texts.first, self.rare_places(texts)[0], "right") - 1)
+        texts = texts.of_texts(some)
         spans: dict[tuple[int, int], list[int]] = {}
-        for starts, ends, items in self.candidates(texts):
+        for starts, ends, items in chain([self.around_rare(texts)], self.candidates(texts)):
             of = np.searchsorted(texts.first, starts, "right") - 1
             for key, start, end in zip(zip(of.tolist(), items.tolist(), strict=True), starts.tolist(), ends.tolist(), strict=True):
                 spans.setdefault(key, []).append((start, end))
@@ -170,25 +224,34 @@ class Index:
         for (text, item), windows in sorted(spans.items()):
             best = self.verified(texts, text, item, windows)
             if best and best[0] >= self.rules.similarity:
-                found.append((text, item, *best))
+                found.append((int(some[text]), item, *best))
         return found
 
     def verified(self, texts: Shingles, text: int, item: int, windows: list[tuple[int, int]]) -> tuple[float, int] | None:
         """The highest weighted similarity of the item to a window of its size that starts
-        around a candidate, and the window's first word in the text."""
+        around a candidate, and the window's first word in the text; None if it is too low."""
         first, stop = int(texts.first[text]), int(texts.first[text + 1])
-        wanted, weights = np.unique(self.items.shingles[item], return_counts=True)
-        size = int(weights.sum())
+        wanted, weights = self.distinct[item]
+        size = int(self.sizes[item])
         best = None
         for low, high in _merged(windows, size):
             low, high = max(first, low), min(stop, high)
             part = texts.hashes[low:high]
             place = np.minimum(np.searchsorted(wanted, part), len(wanted) - 1)
-            have = np.zeros((len(part) + 1, len(wanted)), np.int32)
-            hit = np.flatnonzero(wanted[place] == part)
+            hit = wanted[place] == part
+            span = min(size, len(part))
+            # A window shares no more than it has of the item's shingles.
+            most = np.concatenate([[0], np.cumsum(hit)])
+            most = most[span:] - most[: len(most) - span]
+            enough = np.flatnonzero(most / (size + span - most) >= self.rules.similarity)
+            if not len(enough):
+                continue
+            low += int(enough[0])
+            place, hit = place[enough[0] : enough[-1] + span], hit[enough[0] : enough[-1] + span]
+            have = np.zeros((len(place) + 1, len(wanted)), np.int32)
+            hit = np.flatnonzero(hit)
             have[hit + 1, place[hit]] = 1
             have = have.cumsum(axis=0)
-            span = min(size, len(part))
             shared = np.minimum(have[span:] - have[: len(have) - span], weights).sum(axis=1)
             similar = shared / (size + span - shared)
             at = int(similar.argmax())
