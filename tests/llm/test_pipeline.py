@@ -1,4 +1,5 @@
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__
@@ -7,7 +8,7 @@ from tests.llm.tables import TESTDATA, documents
 from tests.llm.test_decontamination import brute as leaks
 from tests.llm.test_mixing import level
 from tests.llm.test_ngram_join import brute as groups
-from wardbook.llm import registry
+from wardbook.llm import language, registry, stages
 
 SF = f"{TESTDATA}/sf0.01"
 
@@ -67,6 +68,23 @@ def test_stages_as_brute_force(spark):
         assert abs(sum(r["taken"] for r in rows) - targets[s]) <= max(len(r["text"].split()) for r in private.values())
 
 
+def test_documents_of_many_languages_and_without_labels_stay(spark, monkeypatch):
+    names = tuple(f"l{i:02}" for i in range(12))
+
+    def likely(first):  # a network that finds the first language so likely, the others equally
+        offsets = np.log([first] + [(1 - first) / 11] * 11)
+        shape = {w: np.zeros((w, 256, 2), np.float32) for w in (2, 3, 4)}
+        return language.LanguageModel(names, 256, tuple(shape.values()), np.zeros(6), np.zeros((6, 12)), offsets)
+
+    for first, kept in ((0.2, 2), (0.09, 0)):
+        monkeypatch.setattr(language, "trained", lambda docs, first=first: likely(first))
+        assert stages.keep_languages(spark, documents(spark, "some text", "123", None, "more"), SF).count() == kept
+    monkeypatch.undo()
+    unlabelled = documents(spark, "some text", "123", None, "more", langs=[None] * 4)
+    out = stages.keep_languages(spark, unlabelled, SF)
+    assert out.columns == unlabelled.columns and [r["doc_id"] for r in out.collect()] == [0, 3]
+
+
 def test_the_run_is_the_stages(spark):
     out = corpus_pipeline.run(spark, f"{TESTDATA}/sf0.001")
     assert out.columns == ["doc_id", "source", "size", "source_size", "target", "taken"] and out.count() > 50

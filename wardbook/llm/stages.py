@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from wardbook.llm import decontamination, language, mixing, ngram_join, pii
 
-#: A language less likely than this is no language: with four, chance is 0.25.
-LEAST_LANGUAGE_SCORE = 0.3
+#: A language less likely than this many times chance is no language; 0.3 of four languages,
+#: and no more than that of fewer.
+LEAST_OF_CHANCE, LEAST_LANGUAGE_SCORE = 1.2, 0.3
 #: The key of the surrogates; a production run sets its own in this session setting.
 KEY_SETTING, DEFAULT_KEY = "wardbook.pii.key", "pipeline"
 
@@ -21,11 +22,15 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in a language that the network, trained on docs' own labels, recognises.
 
     Rejected: texts that are null or have no letter, and those of which no language is
-    likely.
+    likely over the whole text, as when nearly all learned languages share it evenly. If no
+    row has both text and lang, no language is learned, and all texts with a letter stay.
     """
     model = language.trained(docs.select("doc_id", "text", "lang"))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language.identified(docs, model, keep_text=True)
-    kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    least = min(LEAST_LANGUAGE_SCORE, LEAST_OF_CHANCE / len(model.languages))
+    kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)
     return judged.where(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
