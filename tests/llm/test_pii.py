@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -42,6 +43,26 @@ def test_each_kind_gets_its_own_kind(spark):
         assert entity not in text
 
 
+def test_entities_of_any_length(spark):
+    chance = random.Random(1)
+
+    def some(letters, n):
+        return "".join(chance.choice(letters) for _ in range(n))
+
+    hexes, letters = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789"
+    cases = {some(hexes, n): rf"[0-9a-f]{{{n}}}" for n in (32, 128, 129, 256, 10_000)}
+    cases |= {some(hexes.upper(), 256): r"[0-9A-F]{256}"}
+    cases |= {f"{p}_" + some(letters, n): rf"{p}_[a-z0-9]{{{n}}}" for p in ("ghp", "sk") for n in (20, 128, 129, 256)}
+    cases |= {some("abc", n) + "@mail.com": rf"[a-z]{{{n}}}@d[0-9a-f]{{10}}\.example\.com" for n in (64, 65, 300)}
+    cases |= {"jo@" + "a.b." * 10 + "com": r"[a-z]{2}@d[0-9a-f]{10}\.example\.com"}
+    for (entity, pattern), (text, n) in zip(cases.items(), run(spark, *[f"before {x}, after" for x in cases]), strict=True):
+        assert n == 1
+        assert re.fullmatch(f"before {pattern}, after", text), (entity, text)
+        assert entity not in text
+    long = ["x" * 300_000, "ab" * 150_000 + "z", "sk_" + "a" * 300_000 + "é", "a@" * 100_000, "a@" + "b." * 100_000]
+    assert run(spark, *long) == [(t, 0) for t in long]
+
+
 def test_what_is_no_entity_stays(spark):
     texts = ["Version 2.0 of 1999-12-31 at 12:30, 3.14 and 1,000,000.", "a@b", "1.2.3.4.5", "12345678901234567", "x" * 100_000 + "@", "Mr. and Mrs. are titles", "CC BY-NC 4.0", "", " "]
     assert run(spark, *texts) == [(t, 0) for t in texts]

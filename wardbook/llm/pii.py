@@ -25,11 +25,13 @@ _TITLE = r"(?:" + "|".join((*WOMEN_TITLES, *MEN_TITLES)) + r")\.?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NOT_IN_WORD, _WORD_OVER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}\.){1,10}\p{L}{2,24}" + _WORD_OVER
+# Runs that have no longest length are possessive, which keeps matching linear; a host has 127
+# labels of 63 at most.
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]{1,63}\.){1,126}\p{L}{2,24}" + _WORD_OVER
 IP = r"(?<![\p{L}0-9.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}0-9]|\.[0-9])"
 SECRET = (
     _NOT_IN_WORD
-    + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|(?:ghp|gho|ghs|sk|pk)[_-][A-Za-z0-9]{20,128})"
+    + r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|(?:ghp|gho|ghs|sk|pk)[_-][A-Za-z0-9]{20,}+)"
     + _WORD_OVER
 )
 IBAN = _NOT_IN_WORD + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _WORD_OVER
