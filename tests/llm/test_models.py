@@ -137,6 +137,16 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.scored(some.limit(0), model).count() == 0
 
 
+def test_the_sample_has_one_row_of_each_document(spark):
+    texts = [f"text number{i % 50}" for i in range(300)] + ["stupid thing", "nice thing"]
+    frame = documents(spark, *texts, ids=[1] * 300 + [2, 3])
+    marks = spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "doc_id long, toxic int")
+    rules = toxicity.ToxicityRules(most_labelled=4)
+    outs = [toxicity.sample(f, marks, rules).collect() for f in (frame.repartition(5), frame.coalesce(1), frame.orderBy("text"))]
+    assert [sorted(r["toxic"] for r in out) for out in outs] == [[0, 0, 1]] * 3
+    assert sorted(outs[0]) == sorted(outs[1]) == sorted(outs[2])
+
+
 def test_toxic_words_count_in_any_punctuation():
     words, [buckets, *_] = toxicity._bucketed(pa.array(["so stupid they", "so “stupid” they", "so\u00a0«stupid…» they"]), 1 << 18)
     assert words.counts.tolist() == [3] * 3

@@ -82,7 +82,8 @@ def sample(documents: DataFrame, labels: DataFrame, rules: ToxicityRules) -> Dat
 
     A keyed hash of the id picks them, half of each label, whatever the order of rows.
     Rows without id, label or text teach nothing; an id with several labels is as toxic
-    as the highest.
+    as the highest. Of several rows of one id, the text of the lowest hash is taken: each
+    task keeps one row of an id, so that no more than these are shuffled and collected.
     """
     marked = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -98,21 +99,37 @@ def sample(documents: DataFrame, labels: DataFrame, rules: ToxicityRules) -> Dat
         documents.select("doc_id", "text")
         .where("text IS NOT NULL")
         .join(F.broadcast(picked), "doc_id")
-        .select("toxic", "place", "text")
+        .select(F.col("doc_id").cast("string"), "toxic", "place", F.xxhash64("text").alias("hash"), "text")
     )
     of = rules.buckets
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = {}  # of each id, its row so far; at most most_labelled ids
         for piece in pieces(batches, "text"):
-            words, ids = _bucketed(piece.column("text"), of)
-            distinct = [
-                np.unique(np.concatenate([f[a:b] for f in ids]))
-                for a, b in zip(words.first[:-1], words.first[1:], strict=True)
-            ]
-            columns = [piece.column("toxic"), piece.column("place"), pa.array(distinct, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["toxic", "place", "buckets"])
-
-    return texts.mapInArrow(buckets, "toxic int, place long, buckets array<int>")
+            lowest = {}
+            for at, (doc_id, hash_) in enumerate(zip(piece.column("doc_id").to_pylist(), piece.column("hash").to_pylist(), strict=True)):
+                have = lowest.get(doc_id) or kept.get(doc_id)
+                if have is None or hash_ < have[0]:
+                    lowest[doc_id] = (hash_, at)
+            if not lowest:
+                continue
+            rows = piece.take(pa.array([at for _, at in lowest.values()]))
+            words, ids = _bucketed(rows.column("text"), of)
+            toxic, place = rows.column("toxic").to_pylist(), rows.column("place").to_pylist()
+            for i, (doc_id, (hash_, _)) in enumerate(lowest.items()):
+                a, b = words.first[i : i + 2]
+                distinct = np.unique(np.concatenate([f[a:b] for f in ids])).astype(np.int32)
+                kept[doc_id] = (hash_, toxic[i], place[i], distinct)
+        found = [(doc_id, *row) for doc_id, row in kept.items()]
+        for at in range(0, len(found), 1000):
+            columns = zip(*found[at : at + 1000], strict=True)
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()))
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "hash", "toxic", "place", "buckets"])
+
+    each = texts.mapInArrow(buckets, "doc_id string, hash long, toxic int, place long, buckets array<int>")
+    one = each.groupBy("doc_id", "toxic", "place").agg(F.min(F.struct("hash", "buckets")).alias("one"))
+    return one.select("toxic", "place", "one.buckets")
 
 
 class _Rows:
