@@ -7,7 +7,7 @@ against brute force, held-out labels or planted cases instead.
 
 from __future__ import annotations
 
-from wardbook.llm import mixing, quality, substrings
+from wardbook.llm import collocations, mixing, quality, substrings
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -170,10 +170,55 @@ FROM failed
 """
 
 
+def collocations_sql() -> str:
+    rules = collocations.PhraseRules()
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH cut AS (
+  SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), pieces AS (
+  SELECT lang, w FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM cut) WHERE len(w) > 0
+), sizes AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), phrases AS (
+  SELECT lang, words, phrase, count(*) AS a
+  FROM (
+    SELECT lang, words, unnest(list_transform(range(1, len(w) - words + 2),
+      lambda i: array_to_string(w[i : i + words - 1], ' '))) AS phrase
+    FROM pieces, range(1, {rules.longest} + 1) AS r(words) WHERE len(w) >= words
+  ) GROUP BY lang, words, phrase HAVING count(*) >= {rules.least}
+), cuts AS (
+  SELECT lang, words, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM phrases WHERE words > 1), range(1, {rules.longest}) AS r(k)
+  WHERE k < words
+), scored AS (
+  SELECT c.lang, c.words, c.phrase, c.a, k, x.a AS l, y.a AS r,
+    CAST((1000000 * CAST(c.a AS HUGEINT) * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.phrase = head JOIN phrases y ON y.lang = c.lang AND y.phrase = rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT p.lang, array_to_string(w[i : i + n - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM phrases WHERE words > 2) p,
+    range(2, {rules.longest}) AS r(n), range(1, {rules.longest}) AS s(i)
+  WHERE n < words AND i + n - 1 <= words GROUP BY 1, 2
+)
+SELECT * FROM (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank,
+    b.phrase, a, l, r, n, score
+  FROM best b JOIN sizes USING (lang) LEFT JOIN longer x ON x.lang = b.lang AND x.phrase = b.phrase
+  WHERE longer IS NULL OR 100 * longer < {rules.absorbed_percent} * a
+) WHERE rank <= {rules.top}
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op4_mixing": mixing_sql(),
         "op6_substrings": substrings_sql(),
         "op7_url_filters": url_filters_sql(),
         "op9_quality": quality_sql(),
+        "op13_collocations": collocations_sql(),
     }

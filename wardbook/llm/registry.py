@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import decontamination, extraction, language, mixing, ngram_join, oracle, pii, quality, substrings, toxicity, url_filters
+from wardbook.llm import collocations, decontamination, extraction, language, mixing, ngram_join, oracle, pii, quality, substrings, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +137,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
@@ -148,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op8_extraction": op8_extraction,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op13_collocations": op13_collocations,
 }
 
 

@@ -75,9 +75,10 @@ class Words:
         """The text that each word is of."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self, *prefixes: int) -> np.ndarray | list[np.ndarray]:
-        """64 bits of each word; or, of each word's first bytes, for each number of them."""
-        up, down = _powers(_BYTE_BASE, len(self.data) + 1)
+    def hashes(self, *prefixes: int, base: int = _BYTE_BASE) -> np.ndarray | list[np.ndarray]:
+        """64 bits of each word; or, of each word's first bytes, for each number of them.
+        Another odd base gives another 64 bits."""
+        up, down = _powers(base, len(self.data) + 1)
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[self.data] * up[:-1], out=sums[1:])
         before, scale = sums[self.starts], down[self.starts]
