@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import collocations, decontamination, extraction, language, mixing, ngram_join, oracle, pii, quality, substrings, toxicity, url_filters
+from wardbook.llm import collocations, decontamination, extraction, language, mixing, ngram_join, oracle, pii, quality, substrings, token_alignment, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +137,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.alignment_scores(documents).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps", "n_shared"
+    )
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
@@ -152,6 +159,7 @@ QUERIES: dict[str, Query] = {
     "op8_extraction": op8_extraction,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_token_alignment": op11_token_alignment,
     "op13_collocations": op13_collocations,
 }
 

@@ -19,6 +19,16 @@ def kept_table(rows: DataFrame, purpose: str, light: bool = False) -> DataFrame:
     return written(rows, scratch_folder(rows.sparkSession, f"llm-{purpose}"))
 
 
+def packed(carried: list[str]) -> Column:
+    """The columns of these names, whatever they are, as one struct column `row`."""
+    return F.struct(*[F.col(f"`{c}`") for c in carried], F.lit(0).alias("")).alias("row")
+
+
+def unpacked(carried: list[str]) -> list[Column]:
+    """The columns of packed() again."""
+    return [F.col("row").getField(c).alias(c) for c in carried]
+
+
 #: Rows that Spark hands to Python at once. Its default, 10,000, would hold tens of MB of
 #: text several times over in every task.
 ROWS_AT_ONCE = 1000
