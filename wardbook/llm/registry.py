@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import collocations, decontamination, extraction, language, mixing, ngram_join, oracle, pii, quality, substrings, token_alignment, toxicity, url_filters
+from wardbook.llm import collocations, decontamination, extraction, language, mixing, ngram_join, oracle, packing, pii, quality, substrings, token_alignment, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,6 +144,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
@@ -160,6 +164,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
     "op11_token_alignment": op11_token_alignment,
+    "op12_packing": op12_packing,
     "op13_collocations": op13_collocations,
 }
 
