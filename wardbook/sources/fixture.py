@@ -40,8 +40,11 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", "n_nationkey", "n_name", "r_name")
     )
+    # The narrow orders are spread over the tasks that then make wide rows and JSON of them.
     base = (
-        orders.withColumn("k", F.col("o_orderkey"))
+        orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+        .repartition("o_orderkey")
+        .withColumn("k", F.col("o_orderkey"))
         .withColumns({"its_supplier": _row_of(supplier, F.col("k")), "its_part": _row_of(part, F.col("k"))})
         .join(homes, F.col("o_custkey") == F.col("c_custkey"))
         .join(supplier, F.col("its_supplier") == F.col("s_suppkey"))
@@ -186,7 +189,7 @@ def event_records(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
         "location": F.struct(F.col("value").alias("reading")),
         "source_field": F.lit("kept in raw_json only"),
     }
-    events = read_table(spark, sf_dir, "events")
+    events = read_table(spark, sf_dir, "events").repartition("event_id")
     return events.select(
         F.floor(event_id / PAGE_SIZE).cast("bigint").alias("page_no"),
         (event_id % PAGE_SIZE).alias("pos"),

@@ -47,7 +47,7 @@ def page_lines(lines: DataFrame) -> DataFrame:
     A line that is no single JSON object with a page_no and rows fails the job.
     """
     path = F.col("_metadata.file_path")
-    page = F.from_json(_single("value"), "page_no bigint, rows array<string>")
+    page = _single("value", "struct<page_no: bigint, rows: array<string>>")
     read = lines.select(path.alias("page_file"), page.alias("page"))
     number = _or_fail(F.col("page.page_no"), "No page with a page_no on a line of ", F.col("page_file"))
     return read.select(
@@ -67,14 +67,15 @@ def read_page_lines(spark: SparkSession, folder: str) -> DataFrame:
     return page_lines(spark.read.option("recursiveFileLookup", True).text(folder))
 
 
-def _single(column: str) -> Column:
-    """The one JSON value in a text, NULL if anything but blanks is beside it.
+def _single(column: str, kind: str) -> Column:
+    """The one JSON value of a kind in a text, NULL if anything but blanks is beside it.
 
     JSON reading stops where the first value ends. Between brackets, what follows it
-    makes another element or an error.
+    makes another element or an error, so one reading does for both.
     """
-    values = F.from_json(F.concat(F.lit("["), column, F.lit("]")), "array<string>")
-    return F.when(F.size(values) == 1, values[0])
+    values = F.from_json(F.concat(F.lit("["), column, F.lit("]")), f"array<{kind}>")
+    # In a lambda, because the same expression written twice is read twice outside of generated code.
+    return F.get(F.transform(F.array(values), lambda v: F.when(F.size(v) == 1, F.get(v, F.lit(0)))), F.lit(0))
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -86,9 +87,7 @@ def page_rows(pages: DataFrame) -> DataFrame:
     named = pages if "page_file" in pages.columns else pages.withColumn("page_file", F.lit(""))
     records = F.col("records")
     if "records" not in pages.columns:
-        records = _or_fail(
-            F.from_json(_single("value"), "array<string>"), "No JSON array on page ", F.col("page_no")
-        )
+        records = _or_fail(_single("value", "array<string>"), "No JSON array on page ", F.col("page_no"))
     # The outer form, because Spark puts a filter on the array before the plain one
     # and would parse every page several times for it.
     rows = named.select(*PAGE_COLUMNS, F.posexplode_outer(records).alias("pos", "record"))
