@@ -270,11 +270,14 @@ def _shared(grams: pa.ListArray, low: int, high: int) -> tuple[np.ndarray, np.nd
     if n == 2:
         both = len(np.intersect1d(values[: sizes[0]], values[sizes[0] :], assume_unique=True))
         return np.array([[sizes[0], both], [both, sizes[1]]]), sizes
-    known, place = np.unique(values, return_inverse=True)
-    rows = np.repeat(np.arange(n), sizes)
-    order = np.argsort(place, kind="stable")
-    place, rows = place[order], rows[order]
-    shared = np.zeros((n, n), np.float32)
+    # Most n-grams are one set's alone; only the others can be shared.
+    order = np.argsort(values, kind="stable")
+    values, rows = values[order], np.repeat(np.arange(n), sizes)[order]
+    same = values[1:] == values[:-1]
+    several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    known, place = np.unique(values[several], return_inverse=True)
+    rows = rows[several]
+    shared = np.diag(sizes - np.bincount(rows, minlength=n)).astype(np.float32)
     width = 8192  # columns of n-grams at once
     for first in range(0, len(known), width):
         a, b = np.searchsorted(place, [first, first + width])
