@@ -587,7 +587,7 @@ merged AS (
         ),
         "raw_upsert_table": """
 WITH changed AS (
-  SELECT o_orderkey AS k, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS t, o_orderstatus AS s,
+  SELECT o_orderkey AS k, o_orderdate AS t, o_orderstatus AS s,
     date_trunc('month', o_orderdate) = DATE '1996-01-01' AS january FROM orders
 ), after AS (
   SELECT k, (k % 3 = 0 OR k % 5 = 0 OR k % 101 = 0 OR january) AS second, t, s, january FROM changed
@@ -600,9 +600,9 @@ WITH changed AS (
 )
 SELECT *, CAST(created_date AS DATE) AS created_day FROM stored""",
         "raw_probe_reset": """
-SELECT count(*) AS row_count, 'raw_311_requests' AS table_name FROM orders WHERE o_orderkey % 2 = 0
+SELECT 'before' AS status, count(*) AS row_count, 'raw_311_requests' AS table_name FROM orders
 UNION ALL
-SELECT count(*), 'raw_311_requests_probe' FROM orders WHERE o_orderkey % 4 = 0""",
+SELECT 'after', count(*), 'raw_311_requests_probe' FROM orders""",
         "raw_gate": _raw(
             "SELECT CAST(35 AS BIGINT) AS field_count, count(*) AS row_count FROM raw"
         ),

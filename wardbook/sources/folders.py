@@ -5,10 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+REMOVAL_THREADS = 16
+
 
 @cache
 def _local_folder(_application: str) -> str:
@@ -61,6 +66,33 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def remove_all(spark: SparkSession, root: str, folders: set[str], kept: set[str]) -> None:
+    """Delete these folders under root, none of which holds one that is kept.
+
+    Folders of a folder that holds nothing to keep go with it at once, the others side by side.
+    """
+    whole = {f.split("/")[0] for f in folders} - {k.split("/")[0] for k in kept}
+    single = {f for f in folders if f.split("/")[0] not in whole}
+    with ThreadPoolExecutor(REMOVAL_THREADS) as pool:
+        list(pool.map(lambda f: remove(spark, f"{root}/{f}"), sorted(whole | single)))
+
+
+@contextmanager
+def many_tasks(spark: SparkSession) -> Iterator[None]:
+    """Shuffles in here keep all their partitions.
+
+    Writing many small files takes a task's time for each file, whatever their bytes, by
+    which adaptive execution would join partitions.
+    """
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """The names in a folder, sorted; none if it is not there."""
     fs, path = _hadoop(spark, folder)

@@ -9,14 +9,15 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.functions.dates import day
 from wardbook.operators.latest import arrival_order, latest_per_key
 from wardbook.schema import ARRIVAL_COLUMNS, PARTITION_COLUMN, RAW_COLUMNS, STORED_SCHEMA
-from wardbook.sources.folders import names, remove, written
-from wardbook.sources.versions import current, publish
+from wardbook.sources import key_index
+from wardbook.sources.folders import many_tasks, names, remove, written
+from wardbook.sources.versions import current, current_number, publish
 
 # The tables an ingest may write to.
 PRODUCTION_TABLE = "raw_311_requests"
@@ -78,7 +79,8 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
 
     Plain files have no MERGE. Days that gain or lose a row are written anew, each row
     once, and published together; until then, and if anything fails, the table is as it
-    was. Rows are written in full twice: the parsed batch and the new days.
+    was. Rows are written in full twice: the parsed batch and the new days. Which days
+    those are tells an index of keys and days, read for the batch's keys only.
     """
     create_if_missing(spark, path)
     scratch = f"{path}/_scratch-{uuid.uuid4().hex}"
@@ -97,40 +99,50 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
     return loaded
 
 
+def stored_places(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """key, arrival and day of the stored rows of these keys.
+
+    Reads the index for the buckets of these keys, whatever days they are on. Keys are made
+    distinct first, so that many copies of one do not meet in a task.
+    """
+    number = current_number(spark, path)
+    if not key_index.is_current(spark, path, number):
+        places = _stored(spark, path).select(KEY, *ARRIVAL_COLUMNS, PARTITION_COLUMN)
+        key_index.rebuild(spark, path, places, number)
+    found = key_index.entries(spark, path, key_index.buckets_of(keys))
+    return found.join(keys.select(KEY).distinct(), KEY, "left_semi")
+
+
 def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> None:
-    stored, days = _stored(spark, path), current(spark, path)
-    # Narrow: key, arrival and day of the stored rows whose key is in the batch. The
-    # key bounds let the scan skip row groups, since keys mostly grow with time. Keys
-    # are made distinct first, so that many copies of one do not meet in a task.
-    low, high = batch.agg(F.min(KEY), F.max(KEY)).first()
-    touched = written(
-        stored.where(F.col(KEY).between(low, high))
-        .select(KEY, *ARRIVAL_COLUMNS, PARTITION_COLUMN)
-        .join(batch.select(KEY).distinct(), KEY, "left_semi"),
-        f"{scratch}/touched",
-    )
+    days = current(spark, path)
+    touched = written(stored_places(spark, path, batch.select(KEY)), f"{scratch}/touched")
     winners = written(_replacing(batch, touched), f"{scratch}/winners")
+    if winners.isEmpty():  # later arrivals are stored already
+        return
     keys = winners.select(KEY)
     changed = _days(winners) | _days(touched.join(keys, KEY, "left_semi"))
     rewritten = {d for d in changed if _name(d) in days}
 
     place = [KEY, *ARRIVAL_COLUMNS, "page_file", "pos"]
     replacing = batch.join(winners.select(*place), place, "left_semi").select(*STORED_SCHEMA.names)
-    kept = stored.where(_on_days(rewritten)).join(keys, KEY, "left_anti").select(*STORED_SCHEMA.names)
+    kept = _stored(spark, path, {_name(d) for d in rewritten}).join(keys, KEY, "left_anti")
     version = f"version={uuid.uuid4().hex}"
     _write(kept.unionByName(replacing) if rewritten else replacing, f"{path}/{version}")
 
     fresh = {n.split("=", 1)[1] for n in names(spark, f"{path}/{version}") if n.startswith(PARTITION_COLUMN)}
     after = {d: folder for d, folder in days.items() if d not in {_name(c) for c in changed}}
-    publish(spark, path, after | {d: f"{version}/{PARTITION_COLUMN}={d}" for d in fresh})
+    number = publish(spark, path, after | {d: f"{version}/{PARTITION_COLUMN}={d}" for d in fresh})
+    key_index.add(spark, path, winners, number)
 
 
 def _name(day_: dt.date | None) -> str:
     return str(day_) if day_ else NULL_PARTITION
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    folders = sorted((current(spark, path) or {}).values())
+def _stored(spark: SparkSession, path: str, days: set[str] | None = None) -> DataFrame:
+    """The stored rows, of all days or of these."""
+    published = current(spark, path) or {}
+    folders = sorted(f for d, f in published.items() if days is None or d in days)
     if not folders:
         return spark.createDataFrame([], STORED_SCHEMA)
     paths = [f"{path}/{folder}" for folder in folders]
@@ -156,18 +168,10 @@ def _days(rows: DataFrame) -> set[dt.date | None]:
     return {r[0] for r in rows.select(PARTITION_COLUMN).distinct().collect()}
 
 
-def _on_days(days: set[dt.date | None]) -> Column:
-    known = F.col(PARTITION_COLUMN).isin([F.lit(d) for d in days if d is not None])
-    return known | F.col(PARTITION_COLUMN).isNull() if None in days else known
-
-
 def _write(rows: DataFrame, path: str) -> None:
     # Rebalancing by day gives each day few files; adaptive execution splits a day
-    # that is too large for one task and joins days that are small. Writing by day
-    # sorts by day anyway; with the key after it, row groups have narrow key ranges.
-    (
-        rows.hint("rebalance", PARTITION_COLUMN)
-        .sortWithinPartitions(PARTITION_COLUMN, KEY)
-        .write.partitionBy(PARTITION_COLUMN)
-        .parquet(path)
-    )
+    # that is too large for one task. Writing by day sorts by day anyway; with the key
+    # after it, row groups have narrow key ranges.
+    by_day = rows.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(PARTITION_COLUMN, KEY)
+    with many_tasks(rows.sparkSession):
+        by_day.write.partitionBy(PARTITION_COLUMN).parquet(path)

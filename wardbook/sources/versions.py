@@ -12,7 +12,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from wardbook.sources.folders import names, put_text, remove, text_of
+from wardbook.sources.folders import names, put_text, remove, remove_all, text_of
 
 MANIFESTS = "_manifests"
 
@@ -31,17 +31,24 @@ def current(spark: SparkSession, root: str) -> dict[str, str] | None:
     return json.loads(text_of(spark, _manifest(root, numbers[-1]))) if numbers else None
 
 
-def publish(spark: SparkSession, root: str, folders: dict[str, str]) -> None:
-    """Make these folders, relative to root, the content from now on.
+def current_number(spark: SparkSession, root: str) -> int | None:
+    """The number of the manifest that holds."""
+    numbers = _numbers(spark, root)
+    return numbers[-1] if numbers else None
+
+
+def publish(spark: SparkSession, root: str, folders: dict[str, str]) -> int:
+    """Make these folders, relative to root, the content from now on; returns the manifest's number.
 
     Folders that neither this nor the last manifest names are removed afterwards: a
     reader that has just looked up the last one can still finish.
     """
     numbers = _numbers(spark, root)
     older = [json.loads(text_of(spark, _manifest(root, n))) for n in numbers]
-    put_text(spark, _manifest(root, numbers[-1] + 1 if numbers else 0), json.dumps(folders))
+    number = numbers[-1] + 1 if numbers else 0
+    put_text(spark, _manifest(root, number), json.dumps(folders))
     needed = set(folders.values()) | set(older[-1].values() if older else ())
-    for folder in {f for m in older for f in m.values()} - needed:
-        remove(spark, f"{root}/{folder}")
-    for number in numbers[:-1]:
-        remove(spark, _manifest(root, number))
+    remove_all(spark, root, {f for m in older for f in m.values()} - needed, needed)
+    for old in numbers[:-1]:
+        remove(spark, _manifest(root, old))
+    return number
