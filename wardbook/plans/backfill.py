@@ -8,7 +8,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.operators.selection import DEFAULT_OFFSET_DAYS, by_dates, first_pages
+from wardbook.operators.selection import DEFAULT_OFFSET_DAYS, first_pages, window_of
 from wardbook.plans.model_tests import report
 from wardbook.plans.warehouse import Warehouse
 from wardbook.sources.folders import written
@@ -48,7 +48,8 @@ def ingest(
     """Upsert a folder of pages into a raw table, all pages in one batch.
 
     All pages are read unless ``max_pages`` is given, which keeps the pages numbered
-    below it, logs how many were left out, and applies only without a date filter.
+    below it, logs how many were left out, and applies only without a date filter. Dates
+    select among current rows: of a key on several pages, the last one decides.
     ``run_no`` orders runs; the default is the time the run starts.
     """
     path = raw_table_path(root, target_table)
@@ -64,8 +65,10 @@ def ingest(
         if left_out:
             log.warning("%d pages from number %d on are left out", left_out, max_pages)
         pages = first_pages(pages, max_pages)
-    rows = by_dates(normalized(page_rows(pages)), **dates)
-    return upsert(spark, path, rows, time.time_ns() // 1000 if run_no is None else run_no)
+    window = window_of(**dates)
+    rows = normalized(page_rows(pages))
+    run = time.time_ns() // 1000 if run_no is None else run_no
+    return upsert(spark, path, rows, run, window[0] if window else None)
 
 
 def build_and_test(raw: DataFrame, root: str) -> tuple[Warehouse, DataFrame]:

@@ -13,6 +13,7 @@ from wardbook.plans.registry import (
     DAY_RANGE,
     EVENT_RANGE,
     TARGET_DATE,
+    WINDOW_DAYS,
     TOLERANCES,
     TOP_TYPES,
     UNIQUE_COLUMNS,
@@ -630,6 +631,21 @@ SELECT 'after', count(*), 'raw_311_requests_probe' FROM orders""",
                 key="user_id",
             ),
         ),
+        "raw_window": _with(
+            EVENT_ROWS,
+            "current_rows AS ("
+            + _latest(
+                "event_rows",
+                "CAST(user_id AS VARCHAR) AS unique_key, created_date, agency,"
+                " CAST(created_date AS DATE) AS created_day",
+                in_page_order,
+                key="user_id",
+            )
+            + ")",
+            select="SELECT *, 'raw_311_requests' AS table_name FROM current_rows UNION ALL"
+            " SELECT *, 'raw_311_requests_probe' FROM current_rows"
+            f" WHERE created_day BETWEEN DATE '{WINDOW_DAYS[0]}' AND DATE '{WINDOW_DAYS[1]}'",
+        ),
         "backfill_daily": _with(
             EVENT_ROWS,
             _event_raw(),

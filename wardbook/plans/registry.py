@@ -17,7 +17,7 @@ from wardbook.operators import quality
 from wardbook.operators.latest import latest_per_key, merged
 from wardbook.operators.selection import first_pages, in_date_range, on_target_date
 from wardbook.plans import model_tests
-from wardbook.plans.backfill import backfill
+from wardbook.plans.backfill import backfill, ingest
 from wardbook.plans.marts import resolution_by
 from wardbook.plans.reports import created_vs_closed, rows_per_day, top_complaint_types
 from wardbook.plans.staging import stage_requests
@@ -33,6 +33,7 @@ from wardbook.sources.pages import (
     write_pages,
 )
 from wardbook.sources.raw_table import (
+    PROBE_TABLE,
     PRODUCTION_TABLE,
     RAW_TABLES,
     raw_gate,
@@ -55,6 +56,7 @@ ACCEPTED_STATUS = ["OPEN", "CLOSED"]
 TOLERANCES = ["1.00", "0.00"]
 PAGE_CAP = 3
 STREAM_BATCHES = 3
+WINDOW_DAYS = ["2024-01-29", "2024-01-30"]
 TOP_TYPES = 5  # the test tables have seven
 
 
@@ -300,6 +302,29 @@ def _stream_ingest(i: Inputs) -> DataFrame:
     )
 
 
+@query("raw_window")
+def _raw_window(i: Inputs) -> DataFrame:
+    """Windows of days over the current rows of users, who come back on later pages.
+
+    The production table takes all pages, then a window of them in a later run, which may
+    not bring back older versions. The probe table takes the window's days one run each,
+    from a feed that reads each page once.
+    """
+    root = scratch_folder(i.spark, "window")
+    pages = f"{root}/pages"
+    write_page_lines(fixture.event_records(i.spark, i.sf_dir, F.col("user_id")), pages)
+    first, last = WINDOW_DAYS
+    ingest(i.spark, pages, root, many_pages_a_file=True, run_no=1)
+    ingest(i.spark, pages, root, many_pages_a_file=True, run_no=2, start_date=first, end_date=last)
+    for target in WINDOW_DAYS:
+        stream_pages(
+            i.spark, pages, root, f"{root}/progress", target_table=PROBE_TABLE, many_pages_a_file=True,
+            target_date=target, run_no=1,
+        ).awaitTermination()
+    stored = {t: read_raw(i.spark, raw_table_path(root, t)) for t in RAW_TABLES}
+    return _labelled("table_name", {t: r.select("unique_key", "created_date", "agency", "created_day") for t, r in stored.items()})
+
+
 @query("backfill_daily")
 def _backfill_daily(i: Inputs) -> DataFrame:
     """Files of many pages, ingested, built, tested, published and opened again."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.functions.dates import day
@@ -25,6 +25,8 @@ PROBE_TABLE = "raw_311_requests_probe"
 RAW_TABLES = [PRODUCTION_TABLE, PROBE_TABLE]
 
 KEY = "unique_key"
+#: Which row of a batch one is.
+PLACE = [KEY, *ARRIVAL_COLUMNS, "page_file", "pos"]
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -52,6 +54,11 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path).select(*RAW_COLUMNS, PARTITION_COLUMN)
 
 
+def read_days(spark: SparkSession, path: str, days: set[str]) -> DataFrame:
+    """The stored rows of these days, named as in the manifest, with run and page; no other day is read."""
+    return _stored(spark, path, days)
+
+
 def raw_gate(raw: DataFrame) -> DataFrame:
     """(field_count, row_count) of the raw columns."""
     fields = len([c for c in raw.columns if c in RAW_COLUMNS])
@@ -70,12 +77,16 @@ def check_raw(spark: SparkSession, path: str) -> int:
     return rows
 
 
-def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
+def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int | None, wanted: Column | None = None) -> int:
     """Upsert normalized page rows by unique_key; returns how many rows were loaded.
 
     A page row replaces the stored row of its key unless that one came from a later
     page of the same run or from a later run, so neither the order micro-batches
-    arrive in nor a replay changes the result.
+    arrive in nor a replay changes the result. run_no None: rows have their own run_no.
+
+    wanted, a condition on rows, selects among current rows: a key is left out if the latest
+    of its rows, wanted or not, does not meet it, so an older version that does cannot
+    come back.
 
     Plain files have no MERGE. Days that gain or lose a row are written anew, each row
     once, and published together; until then, and if anything fails, the table is as it
@@ -85,12 +96,21 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int) -> int:
     create_if_missing(spark, path)
     scratch = f"{path}/_scratch-{uuid.uuid4().hex}"
     arrived = rows if "page_file" in rows.columns else rows.withColumn("page_file", F.lit(""))
+    if run_no is not None:
+        arrived = arrived.withColumn("run_no", F.lit(run_no).cast("bigint"))
     arrived = arrived.withColumns(
-        {"run_no": F.lit(run_no).cast("bigint"), PARTITION_COLUMN: day(F.col("created_date"))}
+        {PARTITION_COLUMN: day(F.col("created_date")), "wanted": F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))}
     )
+    if wanted is not None:
+        # Of a row that is not wanted, only its place among the versions of its key counts.
+        wide = [c for c in RAW_COLUMNS if c not in (KEY, "created_date")]
+        arrived = arrived.withColumns({c: F.when(F.col("wanted"), F.col(c)) for c in wide})
     try:
         # The batch, parsed once. It may hold a key on several pages.
         batch = written(arrived, f"{scratch}/batch")
+        if wanted is not None:
+            newest = latest_per_key(batch.select(*PLACE, "created_date", "wanted"), KEY, arrival_order())
+            batch = batch.where("wanted").join(newest.where("wanted").select(KEY), KEY, "left_semi")
         loaded = batch.count()
         if loaded:
             _merge(spark, path, batch, scratch)
@@ -123,8 +143,7 @@ def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> No
     changed = _days(winners) | _days(touched.join(keys, KEY, "left_semi"))
     rewritten = {d for d in changed if _name(d) in days}
 
-    place = [KEY, *ARRIVAL_COLUMNS, "page_file", "pos"]
-    replacing = batch.join(winners.select(*place), place, "left_semi").select(*STORED_SCHEMA.names)
+    replacing = batch.join(winners.select(*PLACE), PLACE, "left_semi").select(*STORED_SCHEMA.names)
     kept = _stored(spark, path, {_name(d) for d in rewritten}).join(keys, KEY, "left_anti")
     version = f"version={uuid.uuid4().hex}"
     _write(kept.unionByName(replacing) if rewritten else replacing, f"{path}/{version}")
@@ -151,7 +170,7 @@ def _stored(spark: SparkSession, path: str, days: set[str] | None = None) -> Dat
 
 def _replacing(batch: DataFrame, touched: DataFrame) -> DataFrame:
     """Where in the batch the latest row of each key is, if the stored row is no later arrival."""
-    narrow = batch.select(KEY, *ARRIVAL_COLUMNS, "page_file", "pos", "created_date", PARTITION_COLUMN)
+    narrow = batch.select(*PLACE, "created_date", PARTITION_COLUMN)
     newest = latest_per_key(narrow, KEY, arrival_order()).drop("created_date")
     latest_stored = latest_per_key(touched, KEY, [F.desc(c) for c in ARRIVAL_COLUMNS])
     stored_arrival = latest_stored.select(KEY, F.struct(*ARRIVAL_COLUMNS).alias("stored_arrival"))
