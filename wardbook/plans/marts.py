@@ -30,7 +30,7 @@ FLAGS = [
 ]
 
 
-def _validly_closed() -> Column:
+def validly_closed() -> Column:
     return (
         F.col("closed_at").isNotNull()
         & F.col("created_at").isNotNull()
@@ -59,7 +59,7 @@ def resolution_by(flagged: DataFrame, key: Column) -> DataFrame:
     """Closed count, mean and quantiles of resolution hours of validly closed requests."""
     seconds = elapsed_seconds(F.col("created_at"), F.col("closed_at"))
     grouped = (
-        flagged.where(_validly_closed())
+        flagged.where(validly_closed())
         .groupBy(key)
         .agg(
             F.count("*").alias("closed_count"),
@@ -79,6 +79,11 @@ def daily_metrics(flagged: DataFrame) -> DataFrame:
     """
     created = created_by_day(flagged)
     closed = resolution_by(flagged, day(F.col("closed_at")).alias("metric_date"))
+    return daily_of(created, closed)
+
+
+def daily_of(created: DataFrame, closed: DataFrame) -> DataFrame:
+    """fct_daily_metrics of created-day counts and closing-day measures."""
     closed_count = F.coalesce("closed_count", F.lit(0)).cast("bigint")
     return created.join(closed, "metric_date", "left").select(
         "metric_date",
@@ -94,7 +99,7 @@ def daily_metrics(flagged: DataFrame) -> DataFrame:
 
 def monthly_metrics(flagged: DataFrame) -> DataFrame:
     """fct_monthly_metrics: everything by created month, in one grouping."""
-    closed = _validly_closed()
+    closed = validly_closed()
     seconds = F.when(closed, elapsed_seconds(F.col("created_at"), F.col("closed_at")))
     hours = F.when(closed, F.col("resolution_hours"))
     grouped = (
@@ -108,16 +113,18 @@ def monthly_metrics(flagged: DataFrame) -> DataFrame:
             *[F.sum(f"is_{flag}").alias(f"{flag}_count") for flag in FLAGS],
         )
     )
+    return monthly_of(grouped.withColumns(quantile_columns(F.col("_quantiles"), "resolution_hours")))
+
+
+def monthly_of(grouped: DataFrame) -> DataFrame:
+    """fct_monthly_metrics of counts and unrounded measures by month."""
     return grouped.select(
         "month_start",
         "created_count",
         "closed_count",
         (F.col("created_count") - F.col("closed_count")).alias("net_case_flow"),
         F.round("avg_resolution_hours", 2).alias("avg_resolution_hours"),
-        *[
-            F.round(value, 2).alias(name)
-            for name, value in quantile_columns(F.col("_quantiles"), "resolution_hours").items()
-        ],
+        *[F.round(f"{name}_resolution_hours", 2).alias(f"{name}_resolution_hours") for name in QUANTILES],
         *[f"{flag}_count" for flag in FLAGS],
     ).orderBy("month_start")
 
@@ -156,6 +163,11 @@ def borough_mix(flagged: DataFrame, dim_location: DataFrame, dim_type: DataFrame
         day(F.max("last_at")).alias("max_created_date"),
         F.sum("n").alias("total_requests"),
     )
+    return mix_of(groups)
+
+
+def mix_of(groups: DataFrame) -> DataFrame:
+    """fct_borough_complaint_mix of the counts and days of its groups."""
     total = F.col("total_requests")
     in_borough = F.sum("total_requests").over(Window.partitionBy("borough"))
     # A scalar subquery over the same groups, so that no window pulls every group into
