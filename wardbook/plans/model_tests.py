@@ -84,16 +84,26 @@ RELATIONSHIPS = [
 MODEL_NAMES = list(NOT_NULL)
 
 
-def _pair(test: str, value: Column, is_parent: bool = False) -> Column:
-    return F.struct(F.lit(test).alias("test"), value.alias("value"), F.lit(is_parent).alias("is_parent"))
-
-
 def relationship(child: str, column: str, parent: str, field: str) -> str:
     return f"relationships {child}.{column} {parent}.{field}"
 
 
+#: The tests by value. Rows carry a test's place in this list, not its name, to the shuffle.
+BY_VALUE = [
+    *[f"unique {model}.{c}" for model, columns in UNIQUE.items() for c in columns],
+    *[f"unique_composite_key {model}" for model in COMPOSITE_UNIQUE],
+    "accepted_values stg_311_requests.borough",
+    *[relationship(*r) for r in RELATIONSHIPS],
+]
+
+
+def _pair(test: str, value: Column, is_parent: bool = False) -> Column:
+    number = F.lit(BY_VALUE.index(test)).cast("smallint")
+    return F.struct(number.alias("number"), value.alias("value"), F.lit(is_parent).alias("is_parent"))
+
+
 def _pairs(model: str, unique: bool) -> list[Column]:
-    """What a row of a model says to the tests by value: (test, value, is_parent)."""
+    """What a row of a model says to the tests by value: (number, value, is_parent)."""
     text = lambda c: F.col(c).cast("string")
     pairs = []
     if unique:
@@ -126,12 +136,14 @@ def values(tables: dict[str, DataFrame], unique: bool = True) -> DataFrame:
         pairs = _pairs(model, unique)
         if pairs:
             parts.append(tables[model].select(F.inline(F.array(*pairs))))
-    return (
+    grouped = (
         reduce(DataFrame.unionByName, parts)
         .where("value IS NOT NULL")
-        .groupBy("test", "value")
+        .groupBy("number", "value")
         .agg(F.count_if(~F.col("is_parent")).alias("rows"), F.count_if("is_parent").alias("parents"))
     )
+    test = F.element_at(F.array(*[F.lit(n) for n in BY_VALUE]), F.col("number") + 1)
+    return grouped.select(test.alias("test"), "value", "rows", "parents")
 
 
 def orphans(tables: dict[str, DataFrame]) -> DataFrame:
@@ -161,12 +173,9 @@ def report(tables: dict[str, DataFrame]) -> DataFrame:
         F.col("test").startswith("accepted_values") | (F.col("rows") > 1), F.lit(1)
     )
     by_value = values(tables).groupBy("test").agg(F.sum(failing).alias("failures"))
-    names = [f"unique {m}.{c}" for m, columns in UNIQUE.items() for c in columns]
-    names += [f"unique_composite_key {m}" for m in COMPOSITE_UNIQUE]
-    names += ["accepted_values stg_311_requests.borough", *[relationship(*r) for r in RELATIONSHIPS]]
     # Tests that no value speaks to pass; the declared names are a row each.
     some = tables["stg_311_requests"].sparkSession.range(1)
-    declared = some.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("test"))
+    declared = some.select(F.explode(F.array(*[F.lit(n) for n in BY_VALUE])).alias("test"))
     by_value = declared.join(by_value, "test", "left")
     shares = quality.shares_off_total(tables["fct_borough_complaint_mix"]).agg(F.count("*").alias("failures"))
     parts = [

@@ -654,6 +654,22 @@ SELECT 'after', count(*), 'raw_311_requests_probe' FROM orders""",
             MARTS,
             select="SELECT * FROM daily",
         ),
+        "refreshed_daily": _with(
+            EVENT_ROWS,
+            _event_raw(),
+            _staging("event_raw", RAW_COLUMNS),
+            CORE,
+            MARTS,
+            select="SELECT * FROM daily",
+        ),
+        "refreshed_mix": _with(
+            EVENT_ROWS,
+            _event_raw(),
+            _staging("event_raw", RAW_COLUMNS),
+            CORE,
+            MARTS,
+            select="SELECT * FROM mix",
+        ),
         "stg_requests": _with(
             RAW, _staging("raw", RAW_COLUMNS), select=f"SELECT {DOUBLE_COORDINATES} FROM stg"
         ),

@@ -16,7 +16,7 @@ from wardbook.functions.numbers import decimal_text
 from wardbook.operators import quality
 from wardbook.operators.latest import latest_per_key, merged
 from wardbook.operators.selection import first_pages, in_date_range, on_target_date
-from wardbook.plans import model_tests
+from wardbook.plans import day_states, model_tests
 from wardbook.plans.backfill import backfill, ingest
 from wardbook.plans.marts import resolution_by
 from wardbook.plans.reports import created_vs_closed, rows_per_day, top_complaint_types
@@ -83,6 +83,19 @@ class Inputs:
     def warehouse(self) -> Warehouse:
         return Warehouse(scratch_folder(self.spark, "models"), self.raw)
 
+    @cached_property
+    def day_states(self) -> str:
+        """Day states of all events, taken in two upserts and refreshed after each."""
+        root = scratch_folder(self.spark, "states")
+        pages, raw = f"{root}/pages", raw_table_path(root, PRODUCTION_TABLE)
+        write_page_lines(fixture.event_records(self.spark, self.sf_dir, F.col("event_id")), pages)
+        first, last = EVENT_RANGE
+        ingest(self.spark, pages, root, many_pages_a_file=True, max_pages=PAGE_CAP, run_no=1)
+        day_states.refresh(self.spark, f"{root}/states", raw)
+        ingest(self.spark, pages, root, many_pages_a_file=True, start_date=first, end_date=last, run_no=2)
+        day_states.refresh(self.spark, f"{root}/states", raw)
+        return f"{root}/states"
+
     def table(self, name: str) -> DataFrame:
         return self.warehouse.table(name)
 
@@ -338,6 +351,16 @@ def _backfill_daily(i: Inputs) -> DataFrame:
     return Warehouse.opened(i.spark, root).table("fct_daily_metrics")
 
 
+@query("refreshed_daily")
+def _refreshed_daily(i: Inputs) -> DataFrame:
+    return day_states.daily_metrics(i.spark, i.day_states)
+
+
+@query("refreshed_mix")
+def _refreshed_mix(i: Inputs) -> DataFrame:
+    return day_states.borough_mix(i.spark, i.day_states)
+
+
 # Staging and its expressions
 
 
