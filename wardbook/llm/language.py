@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -64,8 +65,13 @@ def sample(documents: DataFrame, rules: LanguageRules) -> DataFrame:
     snippets = documents.where("text IS NOT NULL AND lang IS NOT NULL").select(
         "lang", place.alias("place"), F.substring("text", F.pmod(place, span).cast("int") + 1, rules.window).alias("snippet")
     )
-    ranked = Window.partitionBy("lang").orderBy("place", "snippet")
-    few = snippets.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= rules.per_language)
+    # First in groups of input splits, then among what is left of them: a language's last task
+    # reads as many rows as the root of the number of splits, not as the splits.
+    groups = ceil(sqrt(max(1, snippets.rdd.getNumPartitions())))
+    few = snippets.withColumn("group", F.spark_partition_id() % groups)
+    for by in (["lang", "group"], ["lang"]):
+        ranked = Window.partitionBy(*by).orderBy("place", "snippet")
+        few = few.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= rules.per_language)
     return few.orderBy("rank", "place", "lang", "snippet").limit(rules.most_texts).select("lang", "snippet")
 
 
