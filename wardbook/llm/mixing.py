@@ -123,17 +123,19 @@ def _queued(sized: DataFrame, targets: DataFrame, rules: MixRules) -> DataFrame:
 
     A source may hold a third of all rows, so no task puts a whole source in order. The
     shuffle key's leading digits make buckets; a bucket is put in order by itself, and the
-    sums of the buckets before it are added.
+    sums of the buckets before it are added, which come from running totals over all buckets.
     """
     buckets = F.lit(sized.count() // rules.bucket_rows + 1)
     bucket = F.floor(F.conv(F.substring("__order", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32))
     dealt = sized.withColumn("__bucket", bucket.cast("long"))
     sums = dealt.groupBy("source", "__bucket").agg(F.sum("size").alias("__sum"))
-    earlier = Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(
+    order = [F.col("source").isNull(), F.col("source"), F.col("__bucket")]
+    running = kept_table(running_totals(sums, order, {"__up_to": F.col("__sum")}, "buckets"), "running", light=True)
+    starts = running.groupBy(F.col("source").alias("__first_of")).agg(F.min(F.col("__up_to") - F.col("__sum")).alias("__start"))
+    before = running.join(starts, F.col("source").eqNullSafe(F.col("__first_of"))).select(
         F.col("source").alias("__source"),
         F.col("__bucket").alias("__of"),
-        F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__earlier"),
+        (F.col("__up_to") - F.col("__sum") - F.col("__start")).alias("__earlier"),
     )
     here = Window.partitionBy("source", "__bucket").orderBy("__order", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1
