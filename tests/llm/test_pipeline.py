@@ -32,7 +32,7 @@ def test_queries_match_their_sql(spark, name):
 
 def test_everything_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in __spark_entry__.queries() if name.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in __spark_entry__.queries()
     assert set(registry.statements()) <= set(__spark_entry__.oracle_sql())
 
 
@@ -95,3 +95,15 @@ def test_stages_of_nothing_and_of_nulls(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, f"{TESTDATA}/sf0.001")
         assert docs.count() == 0
+
+
+@pytest.mark.parametrize("name", ["__letters", "score", "lang_pred", "n_replaced", "__found", "__news", "row", "k1", "Odd.name"])
+def test_stages_keep_columns_of_any_name(spark, name):
+    texts = ["A letter to Mr John Smith came today.", "12", None, "Un autre texte arrive ici."]
+    docs = documents(spark, *texts, langs=["en", "en", "fr", "fr"]).selectExpr("*", f"concat('own ', doc_id) AS `{name}`")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", name]
+    kept = docs.collect()
+    assert {r["doc_id"] for r in kept} == {0, 3}
+    assert all(r[name] == f"own {r['doc_id']}" for r in kept)

@@ -1,15 +1,18 @@
 """The stages of the corpus pipeline.
 
 Each takes the session, the documents that the stage before kept, and the folder of the
-input tables. All but the last return the columns of documents.
+input tables. All but the last return the columns of documents, whatever they are called
+beside doc_id, text, lang, source and n_chars. Rows are judged one by one, so repeated
+ones are treated alike, and an empty table stays empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.llm import decontamination, language, mixing, ngram_join, pii
+from wardbook.llm.tables import packed, unpacked
 
 #: A language less likely than this many times chance is no language; 0.3 of four languages,
 #: and no more than that of fewer.
@@ -18,6 +21,17 @@ LEAST_OF_CHANCE, LEAST_LANGUAGE_SCORE = 1.2, 0.3
 KEY_SETTING, DEFAULT_KEY = "wardbook.pii.key", "pipeline"
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """text, and the other columns as one, which no operator's own columns clash with."""
+    return docs.select(packed([c for c in docs.columns if c != "text"]), "text")
+
+
+def _back(done: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns of docs again, text and these anew."""
+    new = {"text": F.col("text")} | new
+    return done.select(*[new[c].alias(c) if c in new else unpacked([c])[0] for c in columns])
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network, trained on docs' own labels, recognises.
 
@@ -28,10 +42,10 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.trained(docs.select("doc_id", "text", "lang"))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    judged = language.identified(docs, model, keep_text=True)
+    judged = language.identified(_aside(docs), model, keep_text=True)
     least = min(LEAST_LANGUAGE_SCORE, LEAST_OF_CHANCE / len(model.languages))
     kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)
-    return judged.where(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _back(judged.where(kept), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +55,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaks."""
-    return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    clean = decontamination.decontaminated(_aside(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _back(clean, docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data; n_chars follows the text."""
-    done = pii.pseudonymised(docs, spark.conf.get(KEY_SETTING, DEFAULT_KEY))
-    return done.select(
-        *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    )
+    done = pii.pseudonymised(_aside(docs), spark.conf.get(KEY_SETTING, DEFAULT_KEY))
+    return _back(done, docs.columns, n_chars=F.length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
