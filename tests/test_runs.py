@@ -128,6 +128,19 @@ def test_backfill_stops_on_violations_after_writing_the_report(spark, root, tmp_
     }
 
 
+def test_what_failed_is_kept_beside_the_report(spark, root, tmp_path):
+    folder = tmp_path / "bad"
+    write_page(folder, 0, [record(1, 1, agency=None, agency_name=" "), record(2, 1, borough="X"), record(3, 2, borough="X")])
+    with pytest.raises(FailedTests) as raised:
+        backfill(spark, str(folder), root, start_date="2026-07-01", end_date="2026-07-02")
+    report = str(raised.value).split("see ")[1]
+    found = spark.read.parquet(report.replace("test_report", "test_failures")).collect()
+    by_test = {r["test"]: (r["value"], r["row_count"]) for r in found}
+    assert by_test["accepted_values stg_311_requests.borough"] == ("X", 2)
+    assert by_test["relationships fct_311_complaint.agency_id dim_agency.agency_id"][1] == 1
+    assert len(by_test) == len(found) == 2
+
+
 def test_backfill_of_nothing_stops_at_the_gate(spark, root, pages):
     with pytest.raises(RuntimeError, match="is empty"):
         backfill(spark, str(pages), root, start_date="2020-01-01", end_date="2020-01-02")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.operators.selection import DEFAULT_OFFSET_DAYS, first_pages, window_of
-from wardbook.plans.model_tests import report
+from wardbook.plans.model_tests import offending, report
 from wardbook.plans.warehouse import Warehouse
 from wardbook.sources.folders import written
 from wardbook.sources.pages import normalized, page_rows, read_page_lines, read_pages
@@ -93,7 +93,7 @@ def backfill(
 
     Each step must succeed before the next starts. Returns the test report, or fails
     with FailedTests, which names the written report, and leaves the published tables
-    as they are.
+    as they are. What failed, by test, is then in the folder test_failures beside the report.
     """
     if not (start_date and end_date):
         raise ValueError("A backfill needs both start_date and end_date.")
@@ -114,6 +114,7 @@ def backfill(
     warehouse, results = build_and_test(read_raw(spark, path), root)
     failed = results.where(~F.col("passed")).count()
     if failed:
+        written(offending(warehouse.build_all()), warehouse.path("test_failures"))
         raise FailedTests(f"{failed} model tests failed, see {warehouse.path('test_report')}")
     warehouse.publish()
     return results

@@ -152,14 +152,37 @@ def orphans(tables: dict[str, DataFrame]) -> DataFrame:
     return found.select("test", F.col("value").alias("from_field"), F.col("rows").alias("row_count"))
 
 
+def _by_row(model: str) -> dict[str, Column]:
+    """The tests of a model row by row: what fails one."""
+    tests = {f"not_null {model}.{c}": F.col(c).isNull() for c in NOT_NULL[model]}
+    if model == "int_complaints_flagged":
+        tests[f"time_order_flag {model}"] = quality.wrong_time_order_flag()
+    return tests
+
+
 def _conditions(tables: dict[str, DataFrame]) -> DataFrame:
     """(test, failures) of the tests row by row, one scan a table."""
-    parts = []
-    for model, columns in NOT_NULL.items():
-        tests = {f"not_null {model}.{c}": F.col(c).isNull() for c in columns}
-        if model == "int_complaints_flagged":
-            tests[f"time_order_flag {model}"] = quality.wrong_time_order_flag()
-        parts.append(quality.counted(tables[model], tests))
+    return reduce(DataFrame.unionByName, [quality.counted(tables[m], _by_row(m)) for m in MODEL_NAMES])
+
+
+def offending(tables: dict[str, DataFrame]) -> DataFrame:
+    """(test, value, row_count): what failed each test that failed.
+
+    For the tests by value, the value and how many rows hold it; for those row by row, the
+    row as JSON, once for each such row; for the shares, their sum.
+    """
+    relationship_, accepted = F.col("test").startswith("relationships"), F.col("test").startswith("accepted_values")
+    fails = F.when(relationship_, (F.col("parents") == 0) & (F.col("rows") > 0)).otherwise(accepted | (F.col("rows") > 1))
+    parts = [values(tables).where(fails).select("test", "value", F.col("rows").alias("row_count"))]
+    for model in MODEL_NAMES:
+        failed = [F.when(condition, F.lit(test)) for test, condition in _by_row(model).items()]
+        found = tables[model].select(
+            F.explode(F.array_compact(F.array(*failed))).alias("test"), F.to_json(F.struct("*")).alias("value")
+        )
+        parts.append(found.withColumn("row_count", F.lit(1).cast("bigint")))
+    shares = quality.shares_off_total(tables["fct_borough_complaint_mix"])
+    name = F.lit("shares_total_100 fct_borough_complaint_mix").alias("test")
+    parts.append(shares.select(name, F.col("pct_sum").cast("string").alias("value"), F.lit(1).cast("bigint").alias("row_count")))
     return reduce(DataFrame.unionByName, parts)
 
 
