@@ -2,7 +2,7 @@ import random
 import time
 from itertools import product
 
-from wardbook.llm.extraction import CutRules, blocks_of, extracted, main_text, minimum_cut
+from wardbook.llm.extraction import CutRules, blocks_of, extracted, main_text, minimum_cut, named_boilerplate
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style><script>var t="</p><p>x";</script></head>
 <body class="has-sidebar with-comments"><header><h1>Site name</h1><nav><ul><li><a href=/>Home</a></li><li><a href="/a">A</a></li></ul></nav></header>
@@ -64,6 +64,37 @@ def test_only_raw_elements_are_dropped():
     assert {page: "|".join(b.text for b in blocks_of(page)) for page in cases} == cases
 
 
+def test_names_tell_by_all_their_words():
+    told = {
+        "ad": 1, "site-footer": 1, "cookieNotice": 1, "related-links": 1, "comment-12": 1, "sidebar-left": 1, "ads-box": 1,
+        "share-price": 0.5, "side-by-side": 0.5, "hidden-gems": 0.5, "has-sidebar": 0, "no-comments": 0,
+        "article-header": 0, "header": 1, "site-header": 1, "price": 0, "": 0, "42": 0,
+    }
+    assert {name: named_boilerplate(name) for name in told} == told
+    text = "A sentence of the article, which goes on for some words."
+    assert main_text(f"<article><p>{text}</p><p class='share-price'>It rose by five.</p></article>") == f"{text}\nIt rose by five."
+    assert main_text(f"<main><p>{text}</p><div class='side-by-side'>Two columns of text.</div><p>{text}</p></main>").count("\n") == 2
+    assert main_text(f"<article><p>{text}</p><div class='related-posts'><p>{text}</p></div></article>") == text
+    assert main_text(f"<div class='article-header'><h1>Head</h1></div><article><p>{text}</p></article>").startswith("Head\n")
+
+
+def test_controls_are_inline():
+    text = "A sentence of the article, which goes on for some words."
+    assert main_text("<article><p>Press <button>x</button> now</p></article>") == "Press x now"
+    assert main_text(f"<article><p>{text}</p><div><button>Share</button> <button><b>Save</b> it</button></div></article>") == text
+    assert main_text("<article><p>one <select><option>a<option>b</select>two <iframe src=x>no</iframe>three.</p></article>") == "one two three."
+    for tag in ("button", "select", "iframe", "svg", "datalist"):
+        assert main_text(f"<article><p>{text} <{tag}> and more</p><p>{text}</p></article>") == f"{text} and more\n{text}", tag
+
+
+def test_unmatched_tags_take_linear_time():
+    for page in ("<div>" * 8_000 + "</p>" * 8_000, "<div>" * 8_000 + "</div>" * 16_000, "<button>" * 20_000 + "</button>", "<p><td>" * 8_000):
+        begun = time.monotonic()
+        main_text(page)
+        assert time.monotonic() - begun < 1
+    assert [(b.text, b.element.tag) for b in blocks_of("<div><p>a</section>b</div>c</div>d")] == [("a", "p"), ("b", "p"), ("c", "#page"), ("d", "#page")]
+
+
 def test_tags_that_never_end_take_linear_time():
     begun = time.monotonic()
     for part in ('<a title="', "<a b='<a b=\"", '<a b="x" ', " b=\"<a c='\"", '<p ="', "><svg"):

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp, log1p
@@ -26,17 +27,18 @@ from wardbook.llm.words import pieces
 
 # Elements that begin and end a block of text.
 BLOCK_TAGS = frozenset(
-    "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
-    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav ol option p pre "
-    "search section select summary table tbody td tfoot th thead title tr ul".split()
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre "
+    "search section summary table tbody td tfoot th thead title tr ul".split()
 )
-# Elements without end tag, elements whose content is no markup and no text, and
-# elements that are no part of an article.
+# Elements without end tag, elements whose content is no text of the page, those of
+# them that hide nothing if they never end, and elements that are no part of an article.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style svg template textarea".split())
-ASIDE_TAGS = frozenset("nav footer aside form head title menu dialog button select option fieldset iframe search".split())
+RAW_TAGS = frozenset("script style svg template textarea iframe select datalist".split())
+ENDED_TAGS = frozenset("svg iframe select datalist".split())
+ASIDE_TAGS = frozenset("nav footer aside form head title menu dialog fieldset search".split())
 # An element that one of these begins closes an open paragraph or list item.
-CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",)}
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "body": ("head",)}
 # Words in class, id and role that name boilerplate, and that name content.
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner cookie "
@@ -46,6 +48,14 @@ BOILERPLATE_NAMES = frozenset(
     "disqus respond copyright legal contentinfo complementary search hidden".split()
 )
 CONTENT_NAMES = frozenset("article content main post entry story text body prose".split())
+# Words that say of a part where or in which form it is, and words that say of
+# something else that it has such a part.
+PLACE_NAMES = frozenset(
+    "article area bar bottom box block button buttons card column container content desktop form global group icon "
+    "icons inner item items js left link links list main mobile outer page panel post posts primary right row "
+    "secondary section site slot top unit wrap wrapper".split()
+)
+HAVING_NAMES = frozenset("has have with without no not non".split())
 
 # A quote begins a value after = only, and the value, however long, ends at the next such quote
 # that another attribute or the tag's end follows. Other quotes are characters like any other.
@@ -61,7 +71,7 @@ _TAG = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>" + _ATTRIBUTES + r")(?:(?P<empty>/?)>|(?P<open>))",
     re.DOTALL | re.IGNORECASE,
 )
-_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW_TAGS}
+_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in (*RAW_TAGS, "button")}
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -73,6 +83,8 @@ class CutRules:
 
     start: float = -1.0
     boilerplate: float = -9.0  # inside an element that is no part of an article
+    hinted: float = -3.0  # inside one of a name that has a boilerplate name in it
+    buttons: float = -9.0  # times the square of the share of characters in buttons
     named_content: float = 1.5  # inside an element with a content name
     article: float = 4.0  # inside article or main
     page_header: float = -5.0  # inside a header outside of an article
@@ -85,8 +97,24 @@ class CutRules:
     fade: float = 0.5  # a tie halves or so with each step in the tree
 
 
+def named_boilerplate(name: str) -> float:
+    """How far a class, id or role says that its element is boilerplate: 0, 0.5 or 1.
+
+    1 if all words of the name are boilerplate names or places, as in site-footer, and 0.5
+    if some are, as in share-price. has-sidebar tells of the rest of the page, and
+    article-header has an article's title.
+    """
+    words = [w.lower() for w in _WORD.findall(name)]
+    found = BOILERPLATE_NAMES.intersection(words)
+    if not found or words[0] in HAVING_NAMES:
+        return 0.0
+    if found == {"header"} and not {"article", "content", "post", "entry", "story"}.isdisjoint(words):
+        return 0.0
+    return 1.0 if all(w in found or w in PLACE_NAMES for w in words) else 0.5
+
+
 class _Element:
-    __slots__ = ("article", "boilerplate", "depth", "named", "parent", "tag", "header")
+    __slots__ = ("article", "boilerplate", "depth", "header", "hinted", "named", "parent", "tag")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
@@ -94,26 +122,31 @@ class _Element:
         self.article = tag in ("article", "main") or bool(parent and parent.article)
         self.header = tag == "header" or bool(parent and parent.header)
         self.boilerplate = tag in ASIDE_TAGS or bool(parent and parent.boilerplate)
+        self.hinted = bool(parent and parent.hinted)
         self.named = bool(parent and parent.named)
         if attributes and "=" in attributes:
-            names = set()
-            for _, *values in _NAMES.findall(attributes):
-                names.update(w.lower() for w in _WORD.findall("".join(values)))
+            names = [name for _, *values in _NAMES.findall(attributes) for name in "".join(values).split()]
+            words = {w.lower() for name in names for w in _WORD.findall(name)}
             # The names of the whole page tell what it has, not what it is.
-            if tag not in ("html", "body", "main") and not self.boilerplate:
-                self.boilerplate = bool(names & BOILERPLATE_NAMES) and not (tag == "article" and not names & {"comment", "comments", "reply", "ad", "related", "sponsored"})
-            self.named = self.named or (tag not in ("html", "body") and bool(names & CONTENT_NAMES))
+            whole = tag in ("html", "body", "main")
+            if tag == "article":
+                whole = words.isdisjoint(("comment", "comments", "reply", "ad", "related", "sponsored"))
+            if not whole and not self.boilerplate:
+                told = max(map(named_boilerplate, names), default=0.0)
+                self.boilerplate, self.hinted = told == 1.0, self.hinted or told == 0.5
+            self.named = self.named or (tag not in ("html", "body") and not words.isdisjoint(CONTENT_NAMES))
         if attributes and _HIDDEN.search(attributes):
             self.boilerplate = True
 
 
 @dataclass
 class Block:
-    """A block's text, white space already single, its element and its linked characters."""
+    """A block's text, white space already single, its element, and its characters in links and buttons."""
 
     text: str
     element: _Element
     linked: int
+    pressed: int = 0
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -121,24 +154,33 @@ def blocks_of(page: str) -> list[Block]:
     root = _Element("#page", "", None)
     top, found = root, []
     parts: list[str] = []
-    linked, in_link, at = 0, False, 0
-    ended_svg = True
+    linked, pressed, in_link, at = 0, 0, False, 0
+    buttons_to = 0
+    opened: Counter[str] = Counter()
+    never_end: set[str] = set()
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, pressed
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                found.append(Block(text, top, linked))
+                found.append(Block(text, top, linked, pressed))
             parts.clear()
-        linked = 0
+        linked = pressed = 0
+
+    def up() -> None:
+        nonlocal top
+        opened[top.tag] -= 1
+        top = top.parent
 
     def add(raw: str) -> None:
-        nonlocal linked
+        nonlocal linked, pressed
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
         if in_link:
             linked += len(text.strip())
+        if at < buttons_to:
+            pressed += len(text.strip())
 
     while m := _TAG.search(page, at):
         if m.start() > at:
@@ -153,14 +195,21 @@ def blocks_of(page: str) -> list[Block]:
         tag = tag.lower()
         if tag in RAW_TAGS:
             # <svg/> is empty, and the rest of the page is no part of an unclosed svg.
-            if not m["end"] and (tag != "svg" or ended_svg and not m["empty"]):
-                stop = _RAW_END[tag].search(page, at)
+            if not m["end"] and not (tag in ENDED_TAGS and m["empty"] or tag in never_end):
+                stop = _END[tag].search(page, at)
                 if stop:
                     at = stop.end()
-                elif tag == "svg":
-                    ended_svg = False
+                elif tag in ENDED_TAGS:
+                    never_end.add(tag)
                 else:
                     at = len(page)
+        elif tag == "button":
+            if at > buttons_to and not m["end"] and tag not in never_end:
+                stop = _END[tag].search(page, at)
+                if stop:
+                    buttons_to = stop.start()
+                else:
+                    never_end.add(tag)
         elif tag == "br":
             parts.append(" ")
         elif tag == "a":
@@ -169,21 +218,21 @@ def blocks_of(page: str) -> list[Block]:
             close()
             in_link = False
             if m["end"]:
-                e = top
-                while e is not root and e.tag != tag:
-                    e = e.parent
-                if e is not root:
-                    top = e.parent
+                if opened[tag]:
+                    while top.tag != tag:
+                        up()
+                    up()
                 continue
             if top.tag == "p":
-                top = top.parent
+                up()
             closes = CLOSES.get(tag)
             if closes and top.tag in closes:
-                top = top.parent
+                up()
                 if tag == "tr" and top.tag == "tr":
-                    top = top.parent
+                    up()
             if tag not in VOID_TAGS:
                 top = _Element(tag, m["attributes"], top)
+                opened[tag] += 1
     if at < len(page):
         add(page[at:])
     close()
@@ -196,6 +245,8 @@ def log_odds(block: Block, rules: CutRules) -> float:
     total = rules.start + rules.length * log1p(words)
     if e.boilerplate:
         total += rules.boilerplate
+    elif e.hinted:
+        total += rules.hinted
     if e.article:
         total += rules.article
     elif e.header:
@@ -206,6 +257,7 @@ def log_odds(block: Block, rules: CutRules) -> float:
         total += rules.paragraph
     if block.text[-1] in ".!?…。！？:\"'”’»)":
         total += rules.sentence
+    total += rules.buttons * min(1.0, block.pressed / len(block.text)) ** 2
     return total + rules.links * min(1.0, block.linked / len(block.text))
 
 
@@ -322,9 +374,11 @@ def extracted(pages: DataFrame, rules: CutRules = CutRules()) -> DataFrame:
     The whole html is read; null counts as empty, and a page without content has text ''.
     Character references are decoded, white space inside a block becomes one space, and
     blocks are joined by \\n in page order. Comments and the content of script, style,
-    template, textarea and svg are no text; unclosed ones end with the page, but an unclosed
-    svg hides nothing. Rows are independent, repeated ones alike; other columns are carried
-    along, and ones called text or n_chars replaced.
+    template, textarea, svg, iframe, select and datalist are no text; unclosed ones end with
+    the page, but the last four hide nothing if unclosed. A button is part of its line, and
+    a line of buttons alone is boilerplate. A page takes time linear in its tags. Rows are
+    independent, repeated ones alike; other columns are carried along, and ones called text
+    or n_chars replaced. An empty table gives one.
     """
     bound_batches(pages.sparkSession)
     carried = [c for c in pages.columns if c.lower() not in ("html", "text", "n_chars")]
