@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,49 @@ def test_all_leaks_are_those_of_brute_force(spark):
     assert 100 < len(expected) < len(texts)
 
 
+def test_fingerprints_alone_find_nearly_all(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet")
+    items = spark.read.parquet(f"{TESTDATA}/sf0.01/benchmark.parquet")
+
+    def pairs(**rules):
+        return {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, items, D.LeakRules(**rules)).collect()}
+
+    alone, both = pairs(lookup=False), pairs()
+    assert alone <= both and len(alone) >= 0.95 * len(both) > 20
+
+
+def test_shared_shingles_of_windows():
+    chance = np.random.default_rng(9)
+    for _ in range(200):
+        n, kinds = int(chance.integers(1, 60)), int(chance.integers(1, 9))
+        weights = chance.integers(1, 4, kinds)
+        part = chance.integers(-1, kinds, n)
+        span = int(chance.integers(1, n + 1))
+        places = np.flatnonzero(part >= 0)
+        got = D._shared(places, part[places], weights, span, n)
+        for start in range(n - span + 1):
+            window = part[start : start + span]
+            assert got[start] == sum(min(int((window == k).sum()), int(weights[k])) for k in range(kinds))
+    assert D._shared(np.zeros(0, int), np.zeros(0, int), np.ones(1, int), 2, 3).tolist() == [0, 0]
+
+
+def test_long_items_take_linear_memory():
+    chance = random.Random(10)
+    item = prose(chance, 20_000)
+    words = item.split()
+    for at in chance.sample(range(len(words)), 300):
+        words[at] = "other"
+    texts = [item, prose(chance, 500) + " " + " ".join(words), prose(chance, 3_000)]
+    shingles_ = D.Shingles.of(pa.array([item]), 5).hashes
+    index = D.Index(D.Items([1], [shingles_]), D.LeakRules())
+    tracemalloc.start()
+    found = index.leaks(pa.array(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(text, item_) for text, item_, *_ in found] == [(0, 0), (1, 0)] and found[0][2] == 1.0
+    assert peak < 200 << 20
+
+
 def test_all_fingerprints_within_the_radius_are_candidates():
     chance = np.random.default_rng(3)
     rules = D.LeakRules()

@@ -5,8 +5,8 @@ shingles. Fingerprints are cut into blocks, and a table by block value names the
 within the block's share of the radius: two fingerprints within the radius agree that
 far in one block at least, so no pair within the radius is missed. Fingerprints bound no
 similarity, so the rare shingles of every item, of which each similar window has one, are
-looked up as well; texts without any are done with. The candidates of both are verified by
-the exact weighted similarity of window and item: no leak is missed.
+looked up as well, as a second net. The candidates of both are verified by the exact
+weighted similarity of window and item: no leak is missed.
 
 Documents are read where they lie and nothing is shuffled. Items, which are few, are
 sent to the tasks a bounded block at a time; each block is one pass over the documents.
@@ -45,6 +45,8 @@ class LeakRules:
     length_ratio: float = 1.12  # between one window length and the next
     steps: int = 12  # windows that start within one window's length
     items_at_once: int = 2048
+    bytes_at_once: int = 1 << 25  # of the items' texts
+    lookup: bool = True  # of rare shingles; without it the fingerprints alone find candidates
 
     @property
     def radius(self) -> int:
@@ -84,11 +86,6 @@ class Shingles:
             np.cumsum((self.hashes >> np.uint64(lane)) & ONE_EACH, out=total[lane, 1:])
         return np.ascontiguousarray(total.T)
 
-    def of_texts(self, some: np.ndarray) -> Shingles:
-        """The shingles of these texts alone."""
-        counts = np.diff(self.first)[some]
-        return Shingles(self.hashes[ranges(self.first[some], counts)], np.concatenate([[0], np.cumsum(counts)]))
-
 
 def fingerprints(before: np.ndarray, upto: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """SimHashes of runs of fewer than 2**15 shingles, from the counts of ones before each
@@ -213,10 +210,9 @@ class Index:
         """Of each text and item that leak: the text's place, the item's, the similarity and
         the first word of the best window, the first of equals."""
         texts = Shingles.of(column, self.rules.shingle)
-        some = np.unique(np.searchsorted(texts.first, self.rare_places(texts)[0], "right") - 1)
-        texts = texts.of_texts(some)
-        spans: dict[tuple[int, int], list[int]] = {}
-        for starts, ends, items in chain([self.around_rare(texts)], self.candidates(texts)):
+        spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        second = [self.around_rare(texts)] if self.rules.lookup else []
+        for starts, ends, items in chain(self.candidates(texts), second):
             of = np.searchsorted(texts.first, starts, "right") - 1
             for key, start, end in zip(zip(of.tolist(), items.tolist(), strict=True), starts.tolist(), ends.tolist(), strict=True):
                 spans.setdefault(key, []).append((start, end))
@@ -224,7 +220,7 @@ class Index:
         for (text, item), windows in sorted(spans.items()):
             best = self.verified(texts, text, item, windows)
             if best and best[0] >= self.rules.similarity:
-                found.append((int(some[text]), item, *best))
+                found.append((text, item, *best))
         return found
 
     def verified(self, texts: Shingles, text: int, item: int, windows: list[tuple[int, int]]) -> tuple[float, int] | None:
@@ -248,11 +244,8 @@ class Index:
                 continue
             low += int(enough[0])
             place, hit = place[enough[0] : enough[-1] + span], hit[enough[0] : enough[-1] + span]
-            have = np.zeros((len(place) + 1, len(wanted)), np.int32)
             hit = np.flatnonzero(hit)
-            have[hit + 1, place[hit]] = 1
-            have = have.cumsum(axis=0)
-            shared = np.minimum(have[span:] - have[: len(have) - span], weights).sum(axis=1)
+            shared = _shared(hit, place[hit], weights, span, len(place))
             similar = shared / (size + span - shared)
             at = int(similar.argmax())
             if best is None or similar[at] > best[0]:
@@ -260,6 +253,22 @@ class Index:
         return best
 
 
+def _shared(places: np.ndarray, kinds: np.ndarray, weights: np.ndarray, span: int, n: int) -> np.ndarray:
+    """For each window of span among n places, how many of these kinds' places it has, of
+    each kind no more than its weight.
+
+    A place counts in the windows it is in that start after the place of its kind that lies
+    as many back as the kind weighs: memory is linear in the places, whatever the kinds.
+    """
+    order = np.argsort(kinds, kind="stable")
+    places, kinds = places[order], kinds[order]
+    back = np.arange(len(places)) - weights[kinds]
+    full = np.where(back >= np.searchsorted(kinds, kinds), places[np.maximum(back, 0)], -1)
+    begin = np.maximum(np.maximum(full, places - span) + 1, 0)
+    change = np.bincount(begin, minlength=n + 1) - np.bincount(places + 1, minlength=n + 1)
+    return change.cumsum()[: n - span + 1]
+
+
 def _merged(windows: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     """The windows, with half a window on either side, as parts that don't overlap."""
     parts: list[list[int]] = []
@@ -273,11 +282,12 @@ def _merged(windows: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
 
 
 def item_blocks(benchmark: DataFrame, rules: LeakRules) -> Iterator[Items]:
-    """The items, by hash, in blocks of items_at_once or so; those without a shingle left out."""
+    """The items, by hash, in blocks of items_at_once and bytes_at_once or so; those without text left out."""
     rows = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    blocks = max(1, -(-rows.count() // rules.items_at_once))
+    size = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["rows"] // rules.items_at_once), -(-size["bytes"] // rules.bytes_at_once))
     for block in range(blocks):
-        # A block is items_at_once rows on average, whatever the benchmark's size.
+        # A block is of that size on average, whatever the benchmark's.
         some = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow()
         some = some.sort_by([("item_id", "ascending"), ("text", "ascending")])
         shingles = Shingles.of(some["text"].combine_chunks(), rules.shingle)
