@@ -85,6 +85,44 @@ def test_the_same_entity_has_one_surrogate_however_it_is_written(spark):
     assert cards[0] == cards[1].replace(" ", "")
 
 
+def test_bare_mentions_follow_their_person(spark):
+    texts = [
+        "Mr John Smith came. Smith said hello. John Smith left with Mrs Ann Smith.",
+        "SMITH and Smith's dog, smith, Smithson and Johnny: ask Mr. Smith.",
+        "Smith is no one here, John neither.",
+        "Dr Jane Roe, Prof. Roe, Roe and Jane; write to roe@mail.com",
+        "Г-жа Анна Петрова пришла. Петрова сказала, Анна Петрова ушла.",
+        "Mr Thomas met Mrs Thomas Ford; Thomas left.",
+    ]
+    out = run(spark, *texts)
+    john, smith, ann = re.fullmatch(r"Mr (\w+mund) (\w+) came\. \2 said hello\. \1 \2 left with Mrs (\w+lina) \2\.", out[0][0]).groups()
+    assert out[0][1] == 5 and not {john, smith, ann} & {"John", "Smith", "Ann"}
+    assert out[1] == (f"{smith.upper()} and {smith}'s dog, smith, Smithson and Johnny: ask Mr. {smith}.", 3)
+    assert out[2] == (texts[2], 0)
+    assert re.fullmatch(r"Dr (\w+) (\w+), Prof\. \2, \2 and \1; write to [a-z]{3}@d[0-9a-f]{10}\.example\.com", out[3][0]) and out[3][1] == 5
+    assert re.fullmatch(r"Г-жа (\w+на) (\w+) пришла\. \2 сказала, \1 \2 ушла\.", out[4][0]) and "Петрова" not in out[4][0]
+    assert re.fullmatch(r"Mr (\w+) met Mrs (\w+lina) \w+; \1 left\.", out[5][0])
+
+
+def test_many_people_in_a_long_text(spark):
+    chance = random.Random(3)
+    names = ["".join(chance.choice("abcdefgh") for _ in range(7)).capitalize() for _ in range(400)]
+    text = " ".join(f"Mr {n} met {chance.choice(names)}, as words go on and on." for n in names)
+    [(out, n)] = run(spark, text)
+    assert n == 800 and not set(names) & set(re.findall(r"\w+", out))
+    new = dict(zip(re.findall(r"Mr (\w+)", text), re.findall(r"Mr (\w+)", out), strict=True))
+    assert len(set(new.values())) == len(set(names))
+    assert [new[x] for x in re.findall(r"met (\w+)", text)] == re.findall(r"met (\w+)", out)
+
+
+def test_columns_of_any_name(spark):
+    names = ["row", "found", "draws", "atoms", "people", "hash", "between", "words", "names", "news", "c", "c0", "a.b", "__text"]
+    frame = documents(spark, "Mr Roe, a@b.com", "b@b.com").selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
+    for r in pii.pseudonymised(frame, KEY).collect():
+        assert [r[n] for n in names] == names
+    assert pii.pseudonymised(frame.select("text"), KEY).columns == ["text", "n_replaced"]
+
+
 def test_another_key_gives_others_and_reruns_agree(spark):
     text = "a.b@mail.com 4929348385146306"
     assert text_of(spark, text) == text_of(spark, text) != text_of(spark, text, key="other")

@@ -3,7 +3,8 @@
 Entities are found by pattern, and each is replaced by one of its own kind: a hash with a
 secret key gives the letters and digits, the original gives length, punctuation, case,
 script and, for people, title and gender. The same entity gets the same surrogate in all
-documents, however it is written. A check over the distinct entities of the whole table
+documents, however it is written. The names of a person whom a text calls by a title are
+replaced wherever else the text has them. A check over the distinct entities of the whole table
 finds surrogates that two entities share, or that are entities of the table themselves;
 all but one are drawn again until none is left. DataFrame functions only.
 """
@@ -20,8 +21,9 @@ from wardbook.llm.tables import kept_table
 # Titles by gender.
 WOMEN_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Госпожа")
 MEN_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Господин")
+ANY_TITLES = ("Dr", "Prof", "Professor", "Доктор", "Профессор")
 
-_TITLE = r"(?:" + "|".join((*WOMEN_TITLES, *MEN_TITLES)) + r")\.?"
+_TITLE = r"(?:" + "|".join((*WOMEN_TITLES, *MEN_TITLES, *ANY_TITLES)) + r")\.?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NOT_IN_WORD, _WORD_OVER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 
@@ -45,6 +47,8 @@ PERSON = _NOT_IN_WORD + _TITLE + r" \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?" + _WORD_OV
 #: The kinds, in the order in which a place of the text is tried.
 KINDS = {"email": EMAIL, "ip": IP, "secret": SECRET, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "person": PERSON}
 ENTITY = "|".join(KINDS.values())
+#: A word or what is between two, of which a text consists.
+TOKEN = r"([\p{L}\p{M}\p{N}]++|[^\p{L}\p{M}\p{N}]++)"
 #: Texts without a match of this have no entity.
 HINT = r"[0-9@]|AKIA|gh[pos]_|[sp]k[_-]|" + _TITLE + " "
 
@@ -114,7 +118,8 @@ def atoms(entity: Column) -> Column:
     """
     kind = kind_of(entity)
     names = F.split(F.regexp_replace(entity, f"^{_TITLE} ", ""), " ")
-    gender = F.when(entity.rlike("^(?:" + "|".join(WOMEN_TITLES) + r")\.? "), "given woman").otherwise("given man")
+    titled = lambda titles: entity.rlike("^(?:" + "|".join(titles) + r")\.? ")
+    gender = F.when(titled(WOMEN_TITLES), "given woman").when(titled(MEN_TITLES), "given man").otherwise("given")
 
     def named(part: Column, place: Column) -> Column:
         last = place == F.size(names) - 1
@@ -170,7 +175,7 @@ def surrogate(x: Column, key: str) -> Column:
     new = (
         F.when(kind == "email", F.concat(spelled(local), F.lit("@"), F.when(upper, F.upper(host)).otherwise(host)))
         .when(kind == "ip", octets)
-        .when(kind.isin("surname", "given woman", "given man"), _name(hash_, kind, part))
+        .when(kind.startswith("given") | (kind == "surname"), _name(hash_, kind, part))
         .otherwise(spelled(part))
     )
     return F.when(x["draw"] < FORMAT_DRAWS, new).otherwise(F.concat(new, F.lit("-"), F.substring(hash_, 1, 12)))
@@ -217,48 +222,87 @@ def redraws(documents: DataFrame, key: str, draw: Callable[[Column], Column] | N
         state = state.drop("lost")
 
 
+def people(atoms_: Column) -> Column:
+    """Of the drawn atoms of a text's entities, the names of people: canon, rank and the atom,
+    in order. A name that is of more kinds ranks as a surname first, then by its gender."""
+    named = F.filter(F.flatten(atoms_), lambda a: (a["kind"] == "surname") | a["kind"].startswith("given"))
+    rank = lambda a: F.when(a["kind"] == "surname", 0).when(a["kind"] != "given", 1).otherwise(2)
+    return F.array_sort(
+        F.array_distinct(F.transform(named, lambda a: F.struct(a["canon"].alias("canon"), rank(a).alias("rank"), a.alias("atom"))))
+    )
+
+
+def mention(token: Column, names: Column) -> Column:
+    """What replaces a word that is a person's name: capital letters stay, null if it is none."""
+    new = F.when(token.rlike(r"^\p{Lu}"), F.try_element_at(names, F.lower(token)))
+    return F.when((F.upper(token) == token) & (F.length(token) > 1), F.upper(new)).otherwise(new)
+
+
 def pseudonymised(documents: DataFrame, key: str) -> DataFrame:
-    """documents with surrogates in text, and n_replaced, the entities replaced in it.
+    """documents with surrogates in text, and n_replaced, the places replaced in it.
 
     Kinds: email, IP address, secret (hex and known prefixes), IBAN, social security
-    number, card number, phone number, and people named after a title. A null text stays
-    null with 0 replaced; text without entities is unchanged. Repeated rows get equal
-    texts. Other columns are carried along; n_replaced is replaced. Given the same table
-    and key, reruns agree; another key gives other surrogates.
+    number, card number, phone number, and people named after a title. Their names get the
+    same surrogates wherever else the same text has them as words with a capital letter; a
+    person whom a text never gives a title is not known. A null text stays null with 0
+    replaced; empty text and text without entities is unchanged. Repeated rows get equal
+    texts. Other columns, whatever their names, are carried along; n_replaced is replaced.
+    An empty table gives one. Given the same table and key, reruns agree; another key gives
+    other surrogates.
     """
     carried = [c for c in documents.columns if c.lower() != "n_replaced"]
-    rows = documents.select(*[F.col(f"`{c}`") for c in carried])
+    text = next(c for c in carried if c.lower() == "text")
+    # The other columns travel in a struct by their place, so that none has a name in use here.
+    kept = {c: f"c{i}" for i, c in enumerate(carried) if c != text}
+    row = F.struct(F.lit(0).alias("c"), *[F.col(f"`{c}`").alias(name) for c, name in kept.items()])
+    rows = documents.select(row.alias("row"), F.col(text).alias("text"))
     again = kept_table(redraws(rows, key), "redraws", light=True)
-    found = rows.withColumn("__found", entities(F.col("text")))
+    found = rows.withColumn("found", entities(F.col("text")))
     if again.isEmpty():
-        placed = found.withColumn("__draws", F.create_map().cast("map<string,int>"))
+        placed = found.withColumn("draws", F.create_map().cast("map<string,int>"))
     else:
         # Draws by the hash of the text: two texts of one hash only share the lookup.
-        some = found.select(F.xxhash64("text").alias("__text"), F.explode("__found").alias("entity")).distinct()
-        some = some.select("__text", F.explode(atoms(F.col("entity"))).alias("a")).select("__text", "a.kind", "a.canon")
-        draws = some.join(again, ["kind", "canon"]).groupBy("__text").agg(
-            F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\u0001", "kind", "canon"), "draw"))).alias("__draws")
+        some = found.select(F.xxhash64("text").alias("hash"), F.explode("found").alias("entity")).distinct()
+        some = some.select("hash", F.explode(atoms(F.col("entity"))).alias("a")).select("hash", "a.kind", "a.canon")
+        draws = some.join(again, ["kind", "canon"]).groupBy("hash").agg(
+            F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\u0001", "kind", "canon"), "draw"))).alias("draws")
         )
-        placed = found.withColumn("__text", F.xxhash64("text")).join(kept_table(draws, "text-draws", light=True), "__text", "left").drop("__text")
+        placed = found.withColumn("hash", F.xxhash64("text")).join(kept_table(draws, "text-draws", light=True), "hash", "left").drop("hash")
     draw = lambda a: F.coalesce(
-        F.try_element_at("__draws", F.concat_ws("\u0001", a["kind"], a["canon"])), F.lit(0)
+        F.try_element_at("draws", F.concat_ws("\u0001", a["kind"], a["canon"])), F.lit(0)
     )
     # Step by step, so that each entity is hashed once and not once a character.
     prepared = placed.withColumn(
-        "__atoms", F.transform("__found", lambda e: F.transform(atoms(e), lambda a: drawn(a, draw(a), key)))
-    )
+        "atoms", F.transform("found", lambda e: F.transform(atoms(e), lambda a: drawn(a, draw(a), key)))
+    ).withColumn("people", people(F.col("atoms")))
     title = lambda e: F.regexp_extract(e, f"^({_TITLE} )(?=\\p{{Lu}})", 1)
     news = F.zip_with(
-        "__found",
-        F.transform("__atoms", lambda some: F.array_join(F.transform(some, lambda a: surrogate(a, key)), " ")),
+        "found",
+        F.transform("atoms", lambda some: F.array_join(F.transform(some, lambda a: surrogate(a, key)), " ")),
         lambda e, new: F.concat(title(e), new),
     )
+    first = F.filter("people", lambda x, i: (i == 0) | (F.get("people", i - 1)["canon"] != x["canon"]))
+    names = F.map_from_entries(F.transform(first, lambda x: F.struct(x["canon"], surrogate(x["atom"], key))))
     between = F.split("text", ENTITY, -1)
+    prepared = prepared.withColumns({"news": news, "names": names, "between": F.when(F.size("found") > 0, between)})
+    # Each part between two entities as a list of (token, its surrogate if it is a name).
+    words = F.transform(
+        "between",
+        lambda part: F.transform(
+            F.regexp_extract_all(part, F.lit(TOKEN)), lambda t: F.struct(t.alias("old"), mention(t, F.col("names")).alias("new"))
+        ),
+    )
+    prepared = prepared.withColumn("words", F.when(F.size("people") > 0, words))
+    renamed = F.transform("words", lambda part: F.array_join(F.transform(part, lambda w: F.coalesce(w["new"], w["old"])), ""))
     joined = F.array_join(
-        F.zip_with(between, "__news", lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), ""
+        F.zip_with(
+            F.coalesce(renamed, "between"), "news", lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
+        ),
+        "",
     )
-    changed = F.when(F.size("__found") > 0, joined).otherwise(F.col("text"))
-    return prepared.withColumn("__news", news).select(
-        *[changed.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in carried],
-        F.greatest(F.size("__found"), F.lit(0)).cast("long").alias("n_replaced"),
+    mentions = F.size(F.filter(F.flatten("words"), lambda w: w["new"].isNotNull()))
+    changed = F.when(F.size("found") > 0, joined).otherwise(F.col("text"))
+    return prepared.select(
+        *[changed.alias(c) if c == text else F.col(f"row.{kept[c]}").alias(c) for c in carried],
+        (F.greatest(F.size("found"), F.lit(0)) + F.when(F.size("people") > 0, mentions).otherwise(0)).cast("long").alias("n_replaced"),
     )
