@@ -96,3 +96,23 @@ def test_an_older_arrival_leaves_the_index(spark, root):
     before = by_index(spark, path)
     put(spark, path, ("a", at(9), "old", 9), run=1)
     assert by_index(spark, path) == before == by_scan(spark, path)
+
+
+def test_no_task_and_no_driver_holds_a_long_table_of_keys(spark, root, monkeypatch):
+    path = f"{root}/raw"
+    rows = [(str(k), at(1 + k % 3), "x", 0) for k in range(40)]
+    put(spark, path, *rows)
+    plans = []
+
+    def kept(frame, folder, written=raw_table.written):
+        plans.append(frame)
+        return written(frame, folder)
+
+    monkeypatch.setattr(raw_table, "MOST_HELD", 10, raising=False)
+    monkeypatch.setattr(raw_table, "written", kept)
+    monkeypatch.setattr(raw_table, "_write", lambda frame, to, write=raw_table._write: plans.append(frame) or write(frame, to))
+    put(spark, path, *[(k, day, "y", page) for k, day, _, page in rows], run=2)
+    texts = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert sum("SortMergeJoin" in t for t in texts) >= 3
+    assert not any("Broadcast" in t for t in texts)
+    assert {r["status"] for r in read_raw(spark, path).collect()} == {"y"}

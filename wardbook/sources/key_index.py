@@ -84,7 +84,7 @@ def add(spark: SparkSession, path: str, places: DataFrame, number: int) -> None:
     touched = buckets_of(rows)
     crowded = [b for b in touched if len(folders.get(b, [])) >= MOST_FOLDERS]
     if crowded:
-        older = entries(spark, path, crowded).join(rows.select(KEY), KEY, "left_anti")
+        older = entries(spark, path, crowded).join(rows.select(KEY).hint("merge"), KEY, "left_anti")
         rows = rows.unionByName(_dated(older, number))
     change = _write(rows, path)
     kept = {b: [] if b in crowded else f for b, f in folders.items()}

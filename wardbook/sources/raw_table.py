@@ -25,6 +25,9 @@ PROBE_TABLE = "raw_311_requests_probe"
 RAW_TABLES = [PRODUCTION_TABLE, PROBE_TABLE]
 
 KEY = "unique_key"
+#: Keys that a task may hold, and the driver while they are sent to all tasks. Files of more keys
+#: than this may be small, so their bytes do not tell.
+MOST_HELD = 250_000
 #: Which row of a batch one is.
 PLACE = [KEY, *ARRIVAL_COLUMNS, "page_file", "pos"]
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -108,42 +111,54 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, run_no: int | None,
     try:
         # The batch, parsed once. It may hold a key on several pages.
         batch = written(arrived, f"{scratch}/batch")
-        if wanted is not None:
-            newest = latest_per_key(batch.select(*PLACE, "created_date", "wanted"), KEY, arrival_order())
-            batch = batch.where("wanted").join(newest.where("wanted").select(KEY), KEY, "left_semi")
-        loaded = batch.count()
+        narrow = batch.select(*PLACE, "created_date", PARTITION_COLUMN, "wanted")
+        newest = latest_per_key(narrow, KEY, arrival_order()).drop("created_date")
+        if wanted is None:
+            keys, loaded = batch.select(KEY), batch.count()
+        else:
+            current_ = F.col("wanted") & F.col(KEY).isNotNull()
+            newest = written(newest.where(current_), f"{scratch}/newest")
+            batch, keys = batch.where("wanted"), newest.select(KEY)
+            loaded = batch.select(KEY).join(_matched(keys), KEY, "left_semi").count()
         if loaded:
-            _merge(spark, path, batch, scratch)
+            _merge(spark, path, batch, newest.drop("wanted"), keys, scratch)
     finally:
         remove(spark, scratch)
     return loaded
 
 
+def _matched(keys: DataFrame) -> DataFrame:
+    """A written table of keys as the side of a join that is looked up: sorted, if it is long."""
+    return keys.hint("merge") if keys.count() > MOST_HELD else keys
+
+
 def stored_places(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """key, arrival and day of the stored rows of these keys.
 
     Reads the index for the buckets of these keys, whatever days they are on. Keys are made
-    distinct first, so that many copies of one do not meet in a task.
+    distinct first, so that many copies of one do not meet in a task. Both sides are dealt
+    by the key then, so a sorted join of them moves nothing more.
     """
     number = current_number(spark, path)
     if not key_index.is_current(spark, path, number):
         places = _stored(spark, path).select(KEY, *ARRIVAL_COLUMNS, PARTITION_COLUMN)
         key_index.rebuild(spark, path, places, number)
     found = key_index.entries(spark, path, key_index.buckets_of(keys))
-    return found.join(keys.select(KEY).distinct(), KEY, "left_semi")
+    return found.join(keys.select(KEY).distinct().hint("merge"), KEY, "left_semi")
 
 
-def _merge(spark: SparkSession, path: str, batch: DataFrame, scratch: str) -> None:
+def _merge(spark: SparkSession, path: str, batch: DataFrame, newest: DataFrame, keys: DataFrame, scratch: str) -> None:
+    """Publish the table with the newest row of each of these keys of a batch in it."""
     days = current(spark, path)
-    touched = written(stored_places(spark, path, batch.select(KEY)), f"{scratch}/touched")
-    winners = written(_replacing(batch, touched), f"{scratch}/winners")
+    touched = written(stored_places(spark, path, keys), f"{scratch}/touched")
+    winners = written(_replacing(newest, touched), f"{scratch}/winners")
     if winners.isEmpty():  # later arrivals are stored already
         return
-    keys = winners.select(KEY)
+    keys = _matched(winners.select(KEY))
     changed = _days(winners) | _days(touched.join(keys, KEY, "left_semi"))
     rewritten = {d for d in changed if _name(d) in days}
 
-    replacing = batch.join(winners.select(*PLACE), PLACE, "left_semi").select(*STORED_SCHEMA.names)
+    replacing = batch.join(_matched(winners.select(*PLACE)), PLACE, "left_semi").select(*STORED_SCHEMA.names)
     kept = _stored(spark, path, {_name(d) for d in rewritten}).join(keys, KEY, "left_anti")
     version = f"version={uuid.uuid4().hex}"
     _write(kept.unionByName(replacing) if rewritten else replacing, f"{path}/{version}")
@@ -168,15 +183,13 @@ def _stored(spark: SparkSession, path: str, days: set[str] | None = None) -> Dat
     return spark.read.schema(STORED_SCHEMA).option("basePath", path).parquet(*paths).select(*STORED_SCHEMA.names)
 
 
-def _replacing(batch: DataFrame, touched: DataFrame) -> DataFrame:
-    """Where in the batch the latest row of each key is, if the stored row is no later arrival."""
-    narrow = batch.select(*PLACE, "created_date", PARTITION_COLUMN)
-    newest = latest_per_key(narrow, KEY, arrival_order()).drop("created_date")
+def _replacing(newest: DataFrame, touched: DataFrame) -> DataFrame:
+    """Those of the newest rows' places whose stored row is no later arrival."""
     latest_stored = latest_per_key(touched, KEY, [F.desc(c) for c in ARRIVAL_COLUMNS])
     stored_arrival = latest_stored.select(KEY, F.struct(*ARRIVAL_COLUMNS).alias("stored_arrival"))
     is_later = F.struct(*ARRIVAL_COLUMNS) >= F.col("stored_arrival")
     return (
-        newest.join(stored_arrival, KEY, "left")
+        newest.join(stored_arrival.hint("merge"), KEY, "left")
         .where(F.col("stored_arrival").isNull() | is_later)
         .drop("stored_arrival")
     )
