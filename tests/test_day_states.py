@@ -77,6 +77,18 @@ def test_only_changed_days_are_read_and_only_their_months_written(spark, root, m
     assert all("/states/" in f for f in plan.inputFiles())
 
 
+def test_rows_are_cleaned_once_and_counted_before_lookups(spark, root):
+    pick = random.Random(5)
+    raw = f"{root}/raw"
+    upsert(spark, raw, batch_frame(spark, *[request(pick, k, [at(1), at(2)]) for k in range(30)]), 1)
+    made = day_states._states(raw_table.read_days(spark, raw, {"2026-07-01", "2026-07-02"}), f"{root}/staged")
+    for name, rows in made.items():
+        assert all("/staged/" in f for f in rows.inputFiles()), name
+    # Only the mix looks anything but the status up.
+    plans = {name: rows._jdf.queryExecution().optimizedPlan().toString().count("Join ") for name, rows in made.items()}
+    assert plans["created"] <= 1 and plans["closed"] <= 1
+
+
 def test_emptied_days_go(spark, root):
     raw, states = f"{root}/raw", f"{root}/states"
     pick = random.Random(4)

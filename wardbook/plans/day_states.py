@@ -21,13 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.functions.dates import day, elapsed_seconds
+from wardbook.functions.keys import COMPLAINT_TYPE_KEY, LOCATION_KEY, STATUS_KEY
 from wardbook.functions.text import clean_with_default
 from wardbook.operators.measures import QUANTILES, SECONDS_PER_HOUR
 from wardbook.plans import core, marts
 from wardbook.plans.flags import complaints_flagged
 from wardbook.plans.staging import stage_requests
-from wardbook.schema import UNSPECIFIED
-from wardbook.sources.folders import names, put_text, text_of
+from wardbook.schema import TIMESTAMP_COLUMNS, UNSPECIFIED
+from wardbook.sources.folders import names, put_text, remove, text_of, written
 from wardbook.sources.raw_table import NULL_PARTITION, read_days
 from wardbook.sources.versions import current, publish
 
@@ -37,6 +38,16 @@ SKETCH_SIZE = 4096
 #: The manifest's entry for the raw days that the states belong to.
 RAW_DAYS = "raw"
 DAY = "created_day"
+#: What facts and lookups take of a cleaned request.
+STAGED = [
+    "unique_key",
+    *TIMESTAMP_COLUMNS,
+    *[f"{name}_key" for name in ("location", "agency", "complaint_type", "status", "channel")],
+    *LOCATION_KEY,
+    *COMPLAINT_TYPE_KEY,
+    *STATUS_KEY,
+    "police_precinct",
+]
 
 
 def _created_states(flagged: DataFrame) -> DataFrame:
@@ -56,33 +67,44 @@ def _closed_states(flagged: DataFrame) -> DataFrame:
     )
 
 
-def _mix_states(flagged: DataFrame) -> DataFrame:
+def _mix_states(flagged: DataFrame, dim_location: DataFrame, dim_type: DataFrame) -> DataFrame:
+    """Requests by day, borough and complaint type, counted before any lookup.
+
+    A day's requests of one location and type meet the lookups as one row.
+    """
+    counted = (
+        flagged.where(F.col("created_at").isNotNull())
+        .groupBy(day(F.col("created_at")).alias(DAY), "location_id", "complaint_type_id")
+        .agg(F.count("*").alias("n"))
+    )
+    types = dim_type.select("complaint_type_id", "complaint_type")
+    locations = dim_location.select("location_id", "borough")
     # The lookups of the metric: a request's own borough and type, or the default.
     return (
-        flagged.where(F.col("created_at").isNotNull())
+        counted.join(types, "complaint_type_id", "left")
+        .join(locations, "location_id", "left")
         .groupBy(
-            day(F.col("created_at")).alias(DAY),
+            DAY,
             clean_with_default(F.col("borough"), UNSPECIFIED).alias("borough"),
             F.coalesce("complaint_type", F.lit(UNSPECIFIED)).alias("complaint_type"),
         )
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
 
-STATES = {"created": _created_states, "closed": _closed_states, "mix": _mix_states}
-
-
-def _flagged(raw: DataFrame) -> DataFrame:
-    """The flagged facts of raw rows, with the borough and type that the mix looks up.
+def _states(raw: DataFrame, staged: str) -> dict[str, DataFrame]:
+    """The states of raw rows by kind. The rows are cleaned once, and written.
 
     The lookups come from the same rows: a key is a hash of its attributes, so they hold the
     attributes that the dimensions of all rows hold.
     """
-    stg = stage_requests(raw.drop("raw_json"))
+    stg = written(stage_requests(raw.drop("raw_json")).select(*STAGED), staged)
     flagged = complaints_flagged(core.fct_complaint(stg), core.dim_status(stg))
-    locations = core.dim_location(stg).select("location_id", "borough")
-    types = core.dim_complaint_type(stg).select("complaint_type_id", "complaint_type")
-    return flagged.join(types, "complaint_type_id", "left").join(locations, "location_id", "left")
+    return {
+        "created": _created_states(flagged),
+        "closed": _closed_states(flagged),
+        "mix": _mix_states(flagged, core.dim_location(stg), core.dim_complaint_type(stg)),
+    }
 
 
 def refresh(spark: SparkSession, root: str, raw_path: str) -> set[str]:
@@ -96,11 +118,11 @@ def refresh(spark: SparkSession, root: str, raw_path: str) -> set[str]:
     # Requests of an unknown day are in no metric.
     dated = {d for d in changed if d != NULL_PARTITION}
     months = {d[:7] for d in dated}
-    flagged = _flagged(read_days(spark, raw_path, dated))
     version = f"version-{uuid.uuid4().hex}"
+    staged = f"{root}/{version}/staged"
+    made = _states(read_days(spark, raw_path, dated), staged)
     after = {name: folder for name, folder in published.items() if name.split("/")[-1] not in months}
-    for name, made in STATES.items():
-        rows = made(flagged)
+    for name, rows in made.items():
         older = [published[f"{name}/{m}"] for m in sorted(months) if f"{name}/{m}" in published]
         if older:
             stored = spark.read.schema(rows.schema).parquet(*[f"{root}/{f}" for f in older])
@@ -111,6 +133,7 @@ def refresh(spark: SparkSession, root: str, raw_path: str) -> set[str]:
         rows.withColumn("month", month).hint("rebalance", "month").write.partitionBy("month").parquet(folder)
         written = [n.split("=", 1)[1] for n in names(spark, folder) if n.startswith("month=")]
         after |= {f"{name}/{m}": f"{version}/{name}/month={m}" for m in written}
+    remove(spark, staged)
     put_text(spark, f"{root}/{version}/raw.json", json.dumps(now))
     publish(spark, root, after | {RAW_DAYS: f"{version}/raw.json"})
     return changed
