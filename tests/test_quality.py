@@ -1,10 +1,12 @@
+from collections import Counter
 from decimal import Decimal
 
 import pytest
-from rows import at
+from rows import at, raw_frame
 
 from wardbook.operators import quality
 from wardbook.plans import model_tests
+from wardbook.plans.warehouse import MODELS, Warehouse
 
 
 def test_nulls(spark):
@@ -76,3 +78,29 @@ def test_the_declared_suite_is_complete():
     count += len(model_tests.COMPOSITE_UNIQUE) + len(model_tests.RELATIONSHIPS)
     # Accepted boroughs, share total, time-order flag.
     assert count + 3 == 65
+
+
+def test_values_of_a_column_are_shuffled_once_for_all_its_tests(spark, root):
+    columns = [c for group in model_tests._groups(model_tests.TESTS) for c in group]
+    assert len(columns) == len(set(columns)) == 29
+    day = {"created_date": at(1), "closed_date": at(2), "status": "Open", "agency": "A", "borough": "Nowhere"}
+    keys = ["1", "1", "2", None, "3"]
+    warehouse = Warehouse(root, raw_frame(spark, *[{**day, "unique_key": k, "city": f"c{i % 2}"} for i, k in enumerate(keys)]))
+    tables = {name: warehouse.table(name) for name in MODELS}
+    # A child without a parent, and parents without children.
+    tables["dim_status"] = tables["dim_status"].where("false")
+    tables["fct_311_complaint_text"] = tables["fct_311_complaint_text"].where("unique_key = '1'")
+    found = {(r["test"], r["value"]): (r["rows"], r["parents"]) for r in model_tests.values(tables).collect()}
+
+    def counts(model, column):
+        return Counter(str(r[0]) for r in tables[model].select(column).collect() if r[0] is not None)
+
+    for model, unique in model_tests.UNIQUE.items():
+        for c in unique:
+            test = f"unique {model}.{c}"
+            assert {v: n for (t, v), (n, _) in found.items() if t == test} == counts(model, c), test
+    for child, column, parent, field in model_tests.RELATIONSHIPS:
+        test, rows, parents = model_tests.relationship(child, column, parent, field), counts(child, column), counts(parent, field)
+        wanted = {v: (rows[v], parents[v]) for v in rows.keys() | parents.keys()}
+        assert {v: n for (t, v), n in found.items() if t == test} == wanted, test
+    assert found["accepted_values stg_311_requests.borough", "NOWHERE"] == (5, 0)

@@ -88,62 +88,95 @@ def relationship(child: str, column: str, parent: str, field: str) -> str:
     return f"relationships {child}.{column} {parent}.{field}"
 
 
-#: The tests by value. Rows carry a test's place in this list, not its name, to the shuffle.
-BY_VALUE = [
-    *[f"unique {model}.{c}" for model, columns in UNIQUE.items() for c in columns],
-    *[f"unique_composite_key {model}" for model in COMPOSITE_UNIQUE],
-    "accepted_values stg_311_requests.borough",
-    *[relationship(*r) for r in RELATIONSHIPS],
-]
+def _composite(model: str) -> str:
+    return f"{model} {' '.join(COMPOSITE_UNIQUE[model])}"
+
+
+def _tests() -> dict[str, tuple[str, str | None]]:
+    """The tests by value: whose rows each counts, and the parent, if it has one."""
+    outside = "stg_311_requests.borough outside"
+    return {
+        **{f"unique {model}.{c}": (f"{model}.{c}", None) for model, columns in UNIQUE.items() for c in columns},
+        **{f"unique_composite_key {model}": (_composite(model), None) for model in COMPOSITE_UNIQUE},
+        "accepted_values stg_311_requests.borough": (outside, None),
+        **{relationship(*r): (f"{r[0]}.{r[1]}", f"{r[2]}.{r[3]}") for r in RELATIONSHIPS},
+    }
+
 
+TESTS = _tests()
+BY_VALUE = list(TESTS)
 
-def _pair(test: str, value: Column, is_parent: bool = False) -> Column:
-    number = F.lit(BY_VALUE.index(test)).cast("smallint")
-    return F.struct(number.alias("number"), value.alias("value"), F.lit(is_parent).alias("is_parent"))
-
-
-def _pairs(model: str, unique: bool) -> list[Column]:
-    """What a row of a model says to the tests by value: (number, value, is_parent)."""
-    text = lambda c: F.col(c).cast("string")
-    pairs = []
-    if unique:
-        pairs += [_pair(f"unique {model}.{c}", text(c)) for c in UNIQUE.get(model, [])]
-        if model in COMPOSITE_UNIQUE:
-            combined = F.to_json(F.array(*[text(c) for c in COMPOSITE_UNIQUE[model]]))
-            pairs.append(_pair(f"unique_composite_key {model}", combined))
-        if model == "stg_311_requests":
-            outside = F.when(~F.col("borough").isin(ACCEPTED_BOROUGHS), F.col("borough"))
-            pairs.append(_pair(f"accepted_values {model}.borough", outside))
-    for child, column, parent, field in RELATIONSHIPS:
-        test = relationship(child, column, parent, field)
-        if model == child:
-            pairs.append(_pair(test, text(column)))
-        if model == parent:
-            pairs.append(_pair(test, text(field), is_parent=True))
-    return pairs
+
+def _groups(tests: dict[str, tuple[str, str | None]]) -> list[list[str]]:
+    """The columns of these tests, those that are compared with each other together.
+
+    A column is in one group, whatever tests it is in, so its values are shuffled once. Rows
+    carry the places of group and column in these lists, not their names, to the shuffle.
+    """
+    parent_of = {column: parent for column, parent in tests.values() if parent}
+    groups: dict[str, list[str]] = {}
+    for column in dict.fromkeys(c for both in tests.values() for c in both if c):
+        groups.setdefault(parent_of.get(column, column), []).append(column)
+    return list(groups.values())
+
+
+def _value(column: str) -> Column:
+    """The text that a column's rows are counted by."""
+    model, _, name = column.partition(".")
+    if column == "stg_311_requests.borough outside":
+        return F.when(~F.col("borough").isin(ACCEPTED_BOROUGHS), F.col("borough"))
+    if name:
+        return F.col(name).cast("string")
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in COMPOSITE_UNIQUE[column.split(" ")[0]]]))
 
 
 def values(tables: dict[str, DataFrame], unique: bool = True) -> DataFrame:
     """(test, value, rows, parents) of the tests by value: uniqueness and accepted values,
     if unique, and relationships.
 
-    Every table is scanned once: each row gives a pair for each test, and all pairs are
+    Every table is scanned once: each row gives a value for each column, and all values are
     grouped together. Rows of one value are counted before the shuffle, so one that a
     third of all rows carry is a row a task. NULLs are in no test by value.
     """
+    tests = {t: both for t, both in TESTS.items() if unique or both[1]}
+    groups = _groups(tests)
+    place = {c: (g, i) for g, columns in enumerate(groups) for i, c in enumerate(columns)}
     parts = []
     for model in MODEL_NAMES:
-        pairs = _pairs(model, unique)
-        if pairs:
-            parts.append(tables[model].select(F.inline(F.array(*pairs))))
-    grouped = (
+        own = [
+            F.struct(
+                F.lit(g).cast("smallint").alias("group"),
+                _value(c).alias("value"),
+                F.lit(i).cast("smallint").alias("column"),
+            )
+            for c, (g, i) in place.items()
+            if model in (c.split(".")[0], c.split(" ")[0])
+        ]
+        if own:
+            parts.append(tables[model].select(F.inline(F.array(*own))))
+    most = max(len(columns) for columns in groups)
+    counted = (
         reduce(DataFrame.unionByName, parts)
         .where("value IS NOT NULL")
-        .groupBy("number", "value")
-        .agg(F.count_if(~F.col("is_parent")).alias("rows"), F.count_if("is_parent").alias("parents"))
+        .groupBy("group", "value")
+        .agg(*[F.count_if(F.col("column") == i).alias(f"n{i}") for i in range(most)])
     )
-    test = F.element_at(F.array(*[F.lit(n) for n in BY_VALUE]), F.col("number") + 1)
-    return grouped.select(test.alias("test"), "value", "rows", "parents")
+
+    def count(column: str | None) -> Column:
+        return F.col(f"n{place[column][1]}") if column else F.lit(0).cast("bigint")
+
+    told = [
+        F.array(
+            *[
+                F.struct(F.lit(t).alias("test"), count(c).alias("rows"), count(parent).alias("parents"))
+                for t, (c, parent) in tests.items()
+                if place[c][0] == g
+            ]
+        )
+        for g in range(len(groups))
+    ]
+    of_group = reduce(lambda found, g: found.when(F.col("group") == g, told[g]), range(1, len(told)), F.when(F.col("group") == 0, told[0]))
+    return counted.select("value", F.inline(of_group)).where("rows > 0 OR parents > 0").select("test", "value", "rows", "parents")
 
 
 def orphans(tables: dict[str, DataFrame]) -> DataFrame:
