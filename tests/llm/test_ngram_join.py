@@ -7,7 +7,7 @@ import pytest
 
 from tests.llm.tables import documents, prose
 from wardbook.llm.components import components
-from wardbook.llm.ngram_join import JoinRules, joined, one_of_each
+from wardbook.llm.ngram_join import JoinRules, _described, _near, _perhaps, joined, keyed, one_of_each
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -124,3 +124,33 @@ def test_components(spark, seed):
         parent[high] = low
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame([*pairs, (None, 1)], "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent if find(x) != x}
+
+
+def test_unrelated_texts_of_a_bucket_are_not_compared_in_full(spark):
+    chance = random.Random(4)
+    texts = [prose(chance, 100 + i % 40) for i in range(240)]
+    texts += [texts[0] + " one more", " ".join(texts[1].split()[:60])]
+    rows = keyed(documents(spark, *texts))
+    sets = _described(rows, JoinRules()).selectExpr("*", "7L AS path", "0 AS i", "0 AS j", "0 AS block", "array(7L) AS paths")
+    near = _near(sets.coalesce(1), JoinRules()).select("k1", "k2").distinct()
+    assert sorted(r["doc_id"] for r in rows.join(near, ["k1", "k2"]).collect()) == [0, 240]
+
+
+def test_sets_near_by_sketch_have_like_sizes(spark):
+    words = [f"w{i}" for i in range(104)]
+    # 100 n-grams, then 80 and 79 of these: similarity 0.8 and 0.79.
+    for n, kept in ((84, 2), (83, 0)):
+        rows = keyed(documents(spark, " ".join(words), " ".join(words[:n])))
+        sets = _described(rows, JoinRules()).selectExpr("*", "7L AS path", "0 AS i", "0 AS j", "0 AS block", "array(7L) AS paths")
+        assert _near(sets.coalesce(1), JoinRules()).count() == kept
+
+
+def test_texts_that_no_key_asks_for_are_left_out_early(spark):
+    rows = keyed(documents(spark, *[f"a text {i}" for i in range(2000)], "a text 7", None, " "))
+    keys = rows.where("doc_id IN (7, 1998, 2000)").select("k1", "k2").distinct()
+    found = _perhaps(rows, keys)
+    assert found.columns == rows.columns
+    got = {r["doc_id"] for r in found.collect()}
+    assert {7, 1998, 2000} <= got and len(got) < 20
+    assert {7, 1998, 2000} <= {r["doc_id"] for r in _perhaps(rows, rows.select("k1", "k2").where("k1 IS NOT NULL")).collect()}
+    assert _perhaps(rows, keys.limit(0)).count() == 0

@@ -29,7 +29,11 @@ from wardbook.llm.words import lists, mix, pieces, window_hashes, within, words_
 
 KEY = ("k1", "k2")
 CELL = ("path", "i", "j")
-SKETCH_BITS = 128
+#: 64-bit words of a sketch.
+SKETCH = ("s1", "s2", "s3", "s4")
+#: Bits for each key that is looked for among all texts, and of all of them at most: 8 MB. A bitmap
+#: of Spark's has 32,768.
+BITS_A_KEY, BITMAP, BITMAPS = 64, 32_768, 2_048
 
 
 @dataclass(frozen=True)
@@ -41,7 +45,7 @@ class JoinRules:
     bucket: int = 256  # sets of a bucket that is not split
     block: int = 640  # sets of a block, where a bucket is larger
     recall: float = 0.9999  # of pairs at the threshold; more similar ones are met more often
-    sketch_distance: int = 48  # bits of 128; a pair at the threshold differs in 19, with a deviation of 4
+    sketch_distance: int = 88  # bits of 256; a pair at the threshold differs in 39, with a deviation of 6
 
     @property
     def runs(self) -> int:
@@ -75,13 +79,16 @@ def ngrams(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """SimHashes of 128 bits."""
-    out = np.zeros((len(first) - 1, 2), np.uint64)
+    """SimHashes of 256 bits."""
+    out = np.zeros((len(first) - 1, len(SKETCH)), np.uint64)
     some = np.flatnonzero(np.diff(first))
     if len(some):
-        bits = np.unpackbits(np.stack([grams, mix(grams, 1)], axis=1).view(np.uint8), axis=1)
-        ones = np.add.reduceat(bits, first[some], axis=0, dtype=np.int32)
-        out[some] = np.packbits(2 * ones > np.diff(first)[some][:, None], axis=1).view(np.uint64)
+        half = np.diff(first)[some][:, None]
+        for word in range(len(SKETCH)):
+            hashes = mix(grams, word) if word else grams
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+            ones = np.add.reduceat(bits, first[some], axis=0, dtype=np.int32)
+            out[some, word] = np.packbits(2 * ones > half, axis=1).view(np.uint64)[:, 0]
     return out
 
 
@@ -116,7 +123,7 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 
 def _described(texts: DataFrame, rules: JoinRules) -> DataFrame:
-    """For each text its key, sketch and samples."""
+    """For each text its key, number of n-grams, sketch and samples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
@@ -127,15 +134,18 @@ def _described(texts: DataFrame, rules: JoinRules) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     *[piece.column(c) for c in (*KEY, "doc_id")],
-                    pa.array(sketch[:, 0]),
-                    pa.array(sketch[:, 1]),
+                    pa.array(np.diff(first), pa.int32()),
+                    *[pa.array(sketch[:, word]) for word in range(len(SKETCH))],
                     lists(slots, counts, pa.int32()),
                     lists(tokens.view(np.int64), counts, pa.int64()),
                 ],
-                [*KEY, "doc_id", "s1", "s2", "slots", "tokens"],
+                [*KEY, "doc_id", "size", *SKETCH, "slots", "tokens"],
             )
 
-    return texts.mapInArrow(run, "k1 long, k2 long, doc_id long, s1 long, s2 long, slots array<int>, tokens array<bigint>")
+    words = ", ".join(f"{c} long" for c in SKETCH)
+    return texts.mapInArrow(
+        run, f"k1 long, k2 long, doc_id long, size int, {words}, slots array<int>, tokens array<bigint>"
+    )
 
 
 def _leaves(classes: DataFrame, rules: JoinRules) -> DataFrame:
@@ -239,20 +249,30 @@ def _pairs(rows: pa.RecordBatch, low: int, high: int) -> np.ndarray:
 
 
 def _near(cells: DataFrame, rules: JoinRules) -> DataFrame:
-    """The members of cells that have a partner near by sketch whom they meet there first."""
+    """The members of cells that have a partner of like size, near by sketch, whom they meet there first.
+
+    Sets of similarity s have sizes of which the smaller is s of the larger one at least.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, at in _groups(batches):
-            sketch = np.stack([rows.column(c).to_numpy() for c in ("s1", "s2")], axis=1).view(np.uint64)
+            sketch = [rows.column(c).to_numpy() for c in SKETCH]
+            sizes = rows.column("size").to_numpy()
             paths = rows.column("paths")
             path = rows.column("path").to_numpy()
             keep = np.zeros(rows.num_rows, bool)
             for low, high in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 if high - low < 2:
                     continue
-                some = sketch[low:high]
-                apart = np.bitwise_count(some[:, None] ^ some[None]).sum(axis=2, dtype=np.int16)
+                apart = np.zeros((high - low, high - low), np.int16)
+                for words in sketch:
+                    some = words[low:high].view(np.uint64)
+                    apart += np.bitwise_count(some[:, None] ^ some[None])
                 near = (apart <= rules.sketch_distance) & _pairs(rows, low, high)
+                if near.any():
+                    size = sizes[low:high]
+                    least, most = np.minimum(size[:, None], size[None]), np.maximum(size[:, None], size[None])
+                    near &= least >= rules.similarity * most - 1e-9
                 if near.any():
                     near &= _first_here(paths, path[low], low, high)
                     keep[low:high] = near.any(axis=0) | near.any(axis=1)
@@ -291,7 +311,7 @@ def _linked(cells: DataFrame, rules: JoinRules) -> DataFrame:
     """For each member of a cell with links: their number, and the lowest key it is tied to there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, at in _groups(batches):
+        for rows, at in _groups(_with_ngrams(batches, rules)):
             path = rows.column("path").to_numpy()
             links, root = np.zeros(rows.num_rows, np.int64), np.arange(rows.num_rows)
             for low, high in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -325,19 +345,35 @@ def _lowest(linked: np.ndarray) -> np.ndarray:
         label = to
 
 
-def _texts(keyed_documents: DataFrame, keys: DataFrame, rules: JoinRules) -> DataFrame:
-    """The n-grams of the texts of these keys. Both sides of the join are dealt by the key."""
-    once = keyed_documents.where("k1 IS NOT NULL").groupBy(*KEY).agg(F.any_value("text").alias("text"))
+def _perhaps(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of these keys, and few others: each key sets a bit, and rows whose bit is not
+    set go. All tasks get the bitmaps, which are bounded; with very many keys, more rows stay."""
+    bitmaps = min(BITMAPS, max(1, ceil(keys.count() * BITS_A_KEY / BITMAP)))
+    slot = F.pmod("k1", F.lit(bitmaps * BITMAP).cast("long"))
+    part, bit = F.floor(slot / BITMAP).cast("int").alias("part"), (slot % BITMAP).cast("long").alias("bit")
+    # Dealt before they are grouped, so that no task makes a bitmap of each part.
+    maps = keys.select(part, bit).repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    found = rows.select("*", part, bit).join(F.broadcast(maps), "part")
+    return found.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1).drop("part", "bit", "bits")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
-            grams, first = ngrams(piece.column("text"), rules.words)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("k1"), piece.column("k2"), lists(grams.view(np.int64), np.diff(first), pa.int64())],
-                [*KEY, "grams"],
-            )
 
-    return once.join(keys, list(KEY)).select(*KEY, "text").mapInArrow(run, "k1 long, k2 long, grams array<bigint>")
+def _texts(keyed_documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """The texts of these keys, and few others, each once. Texts that no key asks for are left
+    out before the others are dealt by the key."""
+    asked = _perhaps(keyed_documents.where("k1 IS NOT NULL"), keys)
+    return asked.groupBy(*KEY).agg(F.any_value("text").alias("text"))
+
+
+def _with_ngrams(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
+    """The batches with the n-grams of their texts in the texts' place."""
+    for batch in batches:
+        found = []
+        for piece in pieces([batch], "text"):
+            grams, first = ngrams(piece.column("text"), rules.words)
+            found.append(lists(grams.view(np.int64), np.diff(first), pa.int64()))
+        if found:
+            yield batch.drop_columns(["text"]).append_column("grams", pa.concat_arrays(found))
 
 
 def text_classes(documents: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
@@ -356,17 +392,17 @@ def text_classes(documents: DataFrame, rules: JoinRules = JoinRules()) -> DataFr
         described.groupBy(*KEY).agg(
             F.min("doc_id").alias("rep_id"),
             F.count(F.lit(1)).alias("copies"),
-            *[F.any_value(c).alias(c) for c in ("s1", "s2", "slots", "tokens")],
+            *[F.any_value(c).alias(c) for c in ("size", *SKETCH, "slots", "tokens")],
         ),
         "classes",
     )
     leaves = _leaves(classes, rules)
     met = leaves.groupBy(*KEY).agg(F.array_sort(F.collect_set("path")).alias("paths"))
-    members = met.join(classes.select(*KEY, "s1", "s2"), list(KEY))
+    members = met.join(classes.select(*KEY, "size", *SKETCH), list(KEY))
     cells = _dealt(leaves, rules).join(members, list(KEY))
-    near = kept_table(_near(_together(cells.select(*CELL, "block", *KEY, "s1", "s2", "paths")), rules), "near")
-    grams = _texts(rows.select(*KEY, "text"), near.select(*KEY).distinct(), rules)
-    linked = kept_table(_linked(_together(near.join(grams, list(KEY))), rules), "linked")
+    near = kept_table(_near(_together(cells.select(*CELL, "block", *KEY, "size", *SKETCH, "paths")), rules), "near")
+    texts = _texts(rows.select(*KEY, "text"), near.select(*KEY).distinct())
+    linked = kept_table(_linked(_together(near.join(texts, list(KEY))), rules), "linked")
     key = F.struct(*KEY)
     tied = components(linked.select(key.alias("a"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("b")))
     counts = linked.groupBy(*KEY).agg(F.sum("n_links").alias("n_links"))
