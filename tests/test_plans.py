@@ -179,3 +179,10 @@ def test_the_test_input_reads_whole_lookup_tables(spark):
 
 def queries_of(name, spark):
     return registry.bind()[name](spark, SF_DIR)
+
+
+def test_orders_stay_spread_over_all_tasks_while_they_are_looked_up(spark):
+    plan = physical(registry.bind()["raw_normalized"](spark, f"{TESTDATA}/sf0.01"))
+    assert plan.count("BroadcastHashJoin") == 5
+    assert "BuildLeft" not in plan  # the orders are on the left
+    assert re.search(r"Exchange hashpartitioning\(o_orderkey#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
