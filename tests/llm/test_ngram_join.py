@@ -4,10 +4,12 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.tables import documents, prose
 from wardbook.llm.components import components
-from wardbook.llm.ngram_join import JoinRules, _described, _near, _perhaps, joined, keyed, one_of_each
+from wardbook.llm.ngram_join import JoinRules, _described, _near, joined, keyed, one_of_each
+from wardbook.operators.perhaps import perhaps
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -148,9 +150,10 @@ def test_sets_near_by_sketch_have_like_sizes(spark):
 def test_texts_that_no_key_asks_for_are_left_out_early(spark):
     rows = keyed(documents(spark, *[f"a text {i}" for i in range(2000)], "a text 7", None, " "))
     keys = rows.where("doc_id IN (7, 1998, 2000)").select("k1", "k2").distinct()
-    found = _perhaps(rows, keys)
+    k1 = F.col("k1")
+    found = perhaps(rows, keys, k1)
     assert found.columns == rows.columns
     got = {r["doc_id"] for r in found.collect()}
     assert {7, 1998, 2000} <= got and len(got) < 20
-    assert {7, 1998, 2000} <= {r["doc_id"] for r in _perhaps(rows, rows.select("k1", "k2").where("k1 IS NOT NULL")).collect()}
-    assert _perhaps(rows, keys.limit(0)).count() == 0
+    assert {7, 1998, 2000} <= {r["doc_id"] for r in perhaps(rows, rows.select("k1", "k2").where("k1 IS NOT NULL"), k1).collect()}
+    assert perhaps(rows, keys.limit(0), k1).count() == 0

@@ -26,14 +26,12 @@ from pyspark.sql import functions as F
 from wardbook.llm.components import components
 from wardbook.llm.tables import bound_batches, kept_table
 from wardbook.llm.words import lists, mix, pieces, window_hashes, within, words_of
+from wardbook.operators.perhaps import perhaps
 
 KEY = ("k1", "k2")
 CELL = ("path", "i", "j")
 #: 64-bit words of a sketch.
 SKETCH = ("s1", "s2", "s3", "s4")
-#: Bits for each key that is looked for among all texts, and of all of them at most: 8 MB. A bitmap
-#: of Spark's has 32,768.
-BITS_A_KEY, BITMAP, BITMAPS = 64, 32_768, 2_048
 
 
 @dataclass(frozen=True)
@@ -345,23 +343,10 @@ def _lowest(linked: np.ndarray) -> np.ndarray:
         label = to
 
 
-def _perhaps(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of these keys, and few others: each key sets a bit, and rows whose bit is not
-    set go. All tasks get the bitmaps, which are bounded; with very many keys, more rows stay."""
-    bitmaps = min(BITMAPS, max(1, ceil(keys.count() * BITS_A_KEY / BITMAP)))
-    slot = F.pmod("k1", F.lit(bitmaps * BITMAP).cast("long"))
-    part, bit = F.floor(slot / BITMAP).cast("int").alias("part"), (slot % BITMAP).cast("long").alias("bit")
-    # Dealt before they are grouped, so that no task makes a bitmap of each part.
-    maps = keys.select(part, bit).repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    found = rows.select("*", part, bit).join(F.broadcast(maps), "part")
-    return found.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1).drop("part", "bit", "bits")
-
-
 def _texts(keyed_documents: DataFrame, keys: DataFrame) -> DataFrame:
     """The texts of these keys, and few others, each once. Texts that no key asks for are left
     out before the others are dealt by the key."""
-    asked = _perhaps(keyed_documents.where("k1 IS NOT NULL"), keys)
+    asked = perhaps(keyed_documents.where("k1 IS NOT NULL"), keys, F.col("k1"))
     return asked.groupBy(*KEY).agg(F.any_value("text").alias("text"))
 
 

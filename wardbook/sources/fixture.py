@@ -193,7 +193,7 @@ def event_records(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
         "location": F.struct(F.col("value").alias("reading")),
         "source_field": F.lit("kept in raw_json only"),
     }
-    events = read_table(spark, sf_dir, "events").repartition("event_id")
+    events = read_table(spark, sf_dir, "events").repartition(_tasks(spark), "event_id")
     return events.select(
         F.floor(event_id / PAGE_SIZE).cast("bigint").alias("page_no"),
         (event_id % PAGE_SIZE).alias("pos"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.dates import day
 from wardbook.operators.latest import arrival_order, latest_per_key
+from wardbook.operators.perhaps import perhaps
 from wardbook.schema import ARRIVAL_COLUMNS, PARTITION_COLUMN, RAW_COLUMNS, STORED_SCHEMA
 from wardbook.sources import key_index
 from wardbook.sources.folders import many_tasks, names, remove, written
@@ -132,6 +133,16 @@ def _matched(keys: DataFrame) -> DataFrame:
     return keys.hint("merge") if keys.count() > MOST_HELD else keys
 
 
+def _of_places(batch: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of a batch at these places. If their join sorts, wide rows at other places are
+    left out before it, because most of a batch may be older versions."""
+    if places.count() <= MOST_HELD:
+        return batch.join(places, PLACE, "left_semi")
+    few = perhaps(batch, places, F.xxhash64(*PLACE))
+    # An inner join: Spark would put a semi join below the one with the bitmaps.
+    return few.join(places.distinct().hint("merge"), PLACE)
+
+
 def stored_places(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """key, arrival and day of the stored rows of these keys.
 
@@ -158,7 +169,7 @@ def _merge(spark: SparkSession, path: str, batch: DataFrame, newest: DataFrame,
     changed = _days(winners) | _days(touched.join(keys, KEY, "left_semi"))
     rewritten = {d for d in changed if _name(d) in days}
 
-    replacing = batch.join(_matched(winners.select(*PLACE)), PLACE, "left_semi").select(*STORED_SCHEMA.names)
+    replacing = _of_places(batch, winners.select(*PLACE)).select(*STORED_SCHEMA.names)
     kept = _stored(spark, path, {_name(d) for d in rewritten}).join(keys, KEY, "left_anti")
     version = f"version={uuid.uuid4().hex}"
     _write(kept.unionByName(replacing) if rewritten else replacing, f"{path}/{version}")
