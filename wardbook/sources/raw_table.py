@@ -29,6 +29,8 @@ KEY = "unique_key"
 #: Keys that a task may hold, and the driver while they are sent to all tasks. Files of more keys
 #: than this may be small, so their bytes do not tell.
 MOST_HELD = 250_000
+#: Rows of a batch for each that is kept, from which on the others are left out before a sort.
+MOST_OLD = 2
 #: Which row of a batch one is.
 PLACE = [KEY, *ARRIVAL_COLUMNS, "page_file", "pos"]
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -134,10 +136,11 @@ def _matched(keys: DataFrame) -> DataFrame:
 
 
 def _of_places(batch: DataFrame, places: DataFrame) -> DataFrame:
-    """The rows of a batch at these places. If their join sorts, wide rows at other places are
-    left out before it, because most of a batch may be older versions."""
-    if places.count() <= MOST_HELD:
-        return batch.join(places, PLACE, "left_semi")
+    """The rows of a batch at these places. If their join sorts and most of the batch are older
+    versions, wide rows at other places are left out before it."""
+    matched = _matched(places)
+    if matched is places or batch.count() < MOST_OLD * places.count():
+        return batch.join(matched, PLACE, "left_semi")
     few = perhaps(batch, places, F.xxhash64(*PLACE))
     # An inner join: Spark would put a semi join below the one with the bitmaps.
     return few.join(places.distinct().hint("merge"), PLACE)
