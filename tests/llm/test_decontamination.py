@@ -173,6 +173,64 @@ def test_fingerprints_of_long_texts():
         assert np.unpackbits(np.array([got]).view(np.uint8)).tolist() == expected[order].tolist()
 
 
+def test_runs_counted_in_planes_have_the_fingerprints_of_runs_counted_one_by_one():
+    chance = np.random.default_rng(11)
+    hashes = chance.integers(0, 2**64, 700, dtype=np.uint64)
+    hashes[100:160] = hashes[100]
+    hashes[200:300] &= np.uint64(0xFF)
+    hashes[300:400] |= np.uint64(0xFFFF << 40)
+    ones = D.Shingles(hashes, None).ones()
+    for length in range(1, D.LONG):
+        runs = D.RunCounts(hashes, max(length, int(chance.integers(1, D.LONG))))
+        step, start = int(chance.integers(1, 12)), int(chance.integers(0, 90))
+        for stop in (len(hashes) - length + 1, start + step + 1, start):
+            places = np.arange(start, stop, step)
+            expected = D.fingerprints(ones[places], ones[places + length], np.full(len(places), length))
+            assert runs.fingerprints(start, stop, step, length).tolist() == expected.tolist()
+
+
+@pytest.mark.parametrize("at_once", [7, D.WINDOWS_AT_ONCE])
+def test_candidates_are_all_windows_within_the_radius(monkeypatch, at_once):
+    chance = random.Random(12)
+    items = [prose(chance, n) for n in (5, 6, 9, 20, 21, 60, 130, 131, 132, 180, 400)]
+    texts = ["", None, "one two"]
+    for item in items:
+        words = item.split()
+        cut = chance.randrange(len(words) // 5 + 1)
+        texts += [item, " ".join(words[cut:]), prose(chance, 37) + " " + item + " " + prose(chance, 11), " ".join(words[: len(words) - cut])]
+    texts.append(None)
+    rules = D.LeakRules()
+    for least, most in ((0, 130), (0, 1000), (131, 1000), (5, 7)):
+        some = [item for item in items if least < len(item.split()) < most]
+        index = D.Index(D.Items(list(range(len(some))), [D.Shingles.of(pa.array([item]), 5).hashes for item in some]), rules)
+        found = D.Shingles.of(pa.array(texts), 5)
+        ones, expected = found.ones(), set()
+        for length, groups in index.classes:
+            for first, stop in zip(found.first, found.first[1:]):
+                step = max(1, length // rules.steps)
+                for start in range(-(-first // step) * step, stop, step):
+                    end = min(start + length, stop)
+                    if end - start >= rules.similarity * length * 0.9:
+                        [got] = D.fingerprints(ones[[start]], ones[[end]], np.array([end - start]))
+                        for members, prints, _ in groups:
+                            expected |= {(start, end, item) for item, p in zip(members, prints) if int(got ^ p).bit_count() <= rules.radius}
+        monkeypatch.setattr(D, "WINDOWS_AT_ONCE", at_once)
+        got = [row for batch in index.candidates(found) for row in zip(*(c.tolist() for c in batch))]
+        assert len(got) == len(set(got)) and set(got) == expected and expected
+
+
+def test_only_windows_cut_by_the_ends_of_texts_are_counted_one_by_one(monkeypatch):
+    chance = random.Random(13)
+    items = [D.Shingles.of(pa.array([prose(chance, n)]), 5).hashes for n in (14, 30, 60, 100)]
+    index = D.Index(D.Items([0, 1, 2, 3], items), D.LeakRules())
+    texts = D.Shingles.of(pa.array([prose(chance, 2000) for _ in range(5)]), 5)
+    counted, count = [], D.fingerprints
+    monkeypatch.setattr(D, "fingerprints", lambda *a: counted.append(len(a[2])) or count(*a))
+    list(index.candidates(texts))
+    windows = sum(len(texts.hashes) // max(1, length // 12) for length, _ in index.classes)
+    assert 0 < sum(counted) < windows / 100
+
+
 def test_edge_cases(spark):
     chance = random.Random(5)
     item = prose(chance, 20)

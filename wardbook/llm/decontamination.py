@@ -31,7 +31,9 @@ from wardbook.llm.words import pieces, plain_words_of, ranges, window_hashes, wi
 BITS, BLOCKS = 64, 4
 BLOCK_BITS = BITS // BLOCKS
 LANES, ONE_EACH = 16, np.uint64(0x0001000100010001)
-WINDOWS_AT_ONCE = 8192
+WINDOWS_AT_ONCE = 1 << 16
+#: Windows of fewer shingles are counted in planes of bits, many at a time.
+LONG = 128
 SEEN_BITS = 22
 
 
@@ -95,6 +97,73 @@ def fingerprints(before: np.ndarray, upto: np.ndarray, sizes: np.ndarray) -> np.
     return np.packbits(have > half, axis=1).view(np.uint64)[:, 0]
 
 
+def _bit_order() -> np.ndarray:
+    """For each byte of a hash and each value of it, its bits where fingerprints() puts them."""
+    tables = []
+    for byte in range(8):
+        ones = Shingles(np.arange(256, dtype=np.uint64) << np.uint64(8 * byte), None).ones()
+        tables.append(fingerprints(ones[:-1], ones[1:], np.ones(256, np.int64)))
+    return np.array(tables)
+
+
+_BIT_ORDER = _bit_order()
+
+#: A count for each bit of a hash: the numbers with the lowest bits of all counts, with the next, ...
+Planes = list[np.ndarray]
+
+
+def _added(a: Planes, b: Planes, most: int) -> Planes:
+    """The sums of counts, none of them over most."""
+    planes: Planes = []
+    carry: Planes = []
+    for i in range(most.bit_length()):
+        x, *others = a[i : i + 1] + b[i : i + 1] + carry
+        carry = []
+        last = i + 1 == most.bit_length()
+        for y in others:
+            if not last:
+                carry.append(x & y)
+            x = x ^ y
+        carry = [carry[0] | carry[1]] if len(carry) == 2 else carry  # never both
+        planes.append(x)
+    return planes
+
+
+class RunCounts:
+    """How many shingles of each run of fewer than LONG have each bit.
+
+    The counts of runs of 1, 2, 4, ... shingles are kept, from every shingle on; each is the
+    sum of two of half the length, and every other run is a sum of some of them.
+    """
+
+    def __init__(self, hashes: np.ndarray, longest: int):
+        ordered = np.zeros_like(hashes)
+        for byte, table in enumerate(_BIT_ORDER):
+            ordered |= table.take(hashes.view(np.uint8)[byte::8])
+        self.doubled: list[Planes] = [[ordered]]
+        for power in range(1, longest.bit_length()):
+            half, n = 1 << power - 1, max(0, len(hashes) - (1 << power) + 1)
+            have = self.doubled[-1]
+            self.doubled.append(_added([p[:n] for p in have], [p[half : half + n] for p in have], 2 * half))
+
+    def fingerprints(self, start: int, stop: int, step: int, length: int) -> np.ndarray:
+        """fingerprints() of the runs of this length that start at start, start + step, ... before stop."""
+        planes: Planes = []
+        done = 0
+        for power, have in enumerate(self.doubled):
+            if length >> power & 1:
+                part = [p[start + done : stop + done : step] for p in have]
+                done += 1 << power
+                planes = _added(planes, part, done)
+        more = None  # than half the length, by the bits up to each plane
+        for i, plane in enumerate(planes):
+            if length // 2 >> i & 1:
+                more = more if more is None else more & plane
+            else:
+                more = plane if more is None else more | plane
+        return np.ascontiguousarray(more)
+
+
 class Index:
     """Items by the length of window they are sought with, and by blocks of their fingerprints."""
 
@@ -176,35 +245,71 @@ class Index:
 
     def candidates(self, texts: Shingles) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Starts and ends of windows and the item that each is within the radius of."""
+        if len(texts.hashes) and self.classes:
+            yield from self._whole(texts)
+            yield from self._cut_or_long(texts)
+
+    def _whole(self, texts: Shingles) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """candidates() among the windows of fewer than LONG shingles that lie in one text."""
         n = len(texts.hashes)
-        if not n:
+        short = [(length, groups) for length, groups in self.classes if length < LONG]
+        if not short:
             return
-        ones = texts.ones()
-        stop = np.repeat(texts.first[1:], np.diff(texts.first))
+        longest = max(length for length, _ in short)
+        part = -(-n // -(-n // WINDOWS_AT_ONCE))
+        for at in range(0, n, part):
+            runs = RunCounts(texts.hashes[at : at + part + longest - 1], longest)
+            for length, groups in short:
+                step = max(1, length // self.rules.steps)
+                first = -(-at // step) * step
+                stop = min(at + part, n - length + 1)
+                if first >= stop:
+                    continue
+                found = runs.fingerprints(first - at, stop - at, step, length)
+                for window, item in self._within_radius(found, groups):
+                    start = first + step * window
+                    whole = start + length <= texts.first[np.searchsorted(texts.first, start, "right")]
+                    yield start[whole], start[whole] + length, item[whole]
+
+    def _cut_or_long(self, texts: Shingles) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """candidates() among the windows that a text's end cuts off and the long ones, which are
+        counted one by one."""
+        first, stop = texts.first[:-1], texts.first[1:]
+        longest = max(length for length, _ in self.classes)
+        lasts = np.minimum(stop - first, longest) if longest < LONG else stop - first
+        ones = Shingles(texts.hashes[ranges(stop - lasts, lasts)], None).ones()
+        shift = np.cumsum(lasts) - stop
         for length, groups in self.classes:
             step = max(1, length // self.rules.steps)
             # A document shorter than the window is a window, if an item of this size can match it.
-            starts = np.arange(0, n, step)
-            ends = np.minimum(starts + length, stop[::step])
-            full = ends - starts >= self.rules.similarity * length * 0.9
+            least = int(np.ceil(self.rules.similarity * length * 0.9))
+            low = -(-(np.maximum(first, stop - length + 1) if length < LONG else first) // step)
+            counts = np.maximum((stop - least) // step + 1 - low, 0)
+            starts, of = step * ranges(low, counts), np.repeat(np.arange(len(first)), counts)
             for at in range(0, len(starts), WINDOWS_AT_ONCE):
-                start, end = starts[at : at + WINDOWS_AT_ONCE], ends[at : at + WINDOWS_AT_ONCE]
-                before = ones[start[0] : start[-1] + 1 : step]
-                found = fingerprints(before, ones.take(end, axis=0), end - start)
-                blocks = found.view(np.uint16).reshape(-1, BLOCKS)
-                for items, prints, tables in groups:
-                    near = tables[0].take(blocks[:, 0])
-                    for block in range(1, BLOCKS):
-                        near |= tables[block].take(blocks[:, block])
-                    near *= full[at : at + WINDOWS_AT_ONCE]
-                    window = np.flatnonzero(near)
-                    bits = np.unpackbits(near[window].view(np.uint8), bitorder="little")
-                    place = np.flatnonzero(bits.view(bool))
-                    row, item = np.divmod(place, 8 * near.itemsize)
-                    window = window[row]
-                    close = np.flatnonzero(np.bitwise_count(found[window] ^ prints[item]) <= self.rules.radius)
-                    if len(close):
-                        yield start[window[close]], end[window[close]], items[item[close]]
+                start, text = starts[at : at + WINDOWS_AT_ONCE], of[at : at + WINDOWS_AT_ONCE]
+                end = np.minimum(start + length, stop[text])
+                before, upto = (ones.take(places + shift[text], axis=0) for places in (start, end))
+                found = fingerprints(before, upto, end - start)
+                for window, item in self._within_radius(found, groups):
+                    yield start[window], end[window], item
+
+    def _within_radius(self, found: np.ndarray, groups: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Which of the windows with these fingerprints are within the radius of an item, and the items."""
+        blocks = found.view(np.uint16).reshape(-1, BLOCKS)
+        for items, prints, tables in groups:
+            shift = tables.itemsize.bit_length() + 2  # 8 * itemsize bits a window
+            near = tables[0].take(blocks[:, 0])
+            for block in range(1, BLOCKS):
+                near |= tables[block].take(blocks[:, block])
+            near = near.view(np.uint8)
+            some = np.flatnonzero(near != 0)
+            place = np.flatnonzero(np.unpackbits(near.take(some), bitorder="little").view(bool))
+            bit = (some.take(place >> 3) << 3) + (place & 7)
+            window, item = bit >> shift, bit & (1 << shift) - 1
+            close = np.flatnonzero(np.bitwise_count(found.take(window) ^ prints.take(item)) <= self.rules.radius)
+            if len(close):
+                yield window[close], items[item[close]]
 
     def leaks(self, column: pa.Array) -> list[tuple[int, int, float, int]]:
         """Of each text and item that leak: the text's place, the item's, the similarity and
@@ -236,7 +341,10 @@ class Index:
             place = np.minimum(np.searchsorted(wanted, part), len(wanted) - 1)
             hit = wanted[place] == part
             span = min(size, len(part))
-            # A window shares no more than it has of the item's shingles.
+            # A window shares no more than it has of the item's shingles, and no more than all parts have.
+            all_hits = min(span, int(np.count_nonzero(hit)))
+            if all_hits / (size + span - all_hits) < self.rules.similarity:
+                continue
             most = np.concatenate([[0], np.cumsum(hit)])
             most = most[span:] - most[: len(most) - span]
             enough = np.flatnonzero(most / (size + span - most) >= self.rules.similarity)
